@@ -12,7 +12,7 @@ from termloom.functions.codec import join_positions
 from termloom.operators.browse import get_documents, snippets, term_documents
 from termloom.operators.documents import build_documents, document_metadata
 from termloom.operators.lists import decode_lists, encode_lists, posting_lists
-from termloom.operators.postings import build_postings, prune_postings, term_stats
+from termloom.operators.postings import build_postings, prune_postings, scan_postings, term_stats
 from termloom.operators.search import (
     corpus_size,
     result_page,
@@ -20,7 +20,12 @@ from termloom.operators.search import (
     tf_idf_scores,
 )
 from termloom.operators.stopwords import drop_common_terms, drop_listed_terms
-from termloom.operators.tokens import tokenize, tokenize_positions
+from termloom.operators.tokens import (
+    spread,
+    tokenize,
+    tokenize_positions,
+    tokenize_positions_windowed,
+)
 from termloom.operators.wordcount import word_count, words
 from termloom.session import scratch_path
 from termloom.sources.text_files import line_locator, write_lists
@@ -89,11 +94,15 @@ def page_body_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokenize(_docs(spark, sf_dir))
+    return tokenize(spread(_docs(spark, sf_dir)))
 
 
 def query_tokenize_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokenize_positions(_docs(spark, sf_dir))
+    return tokenize_positions(spread(_docs(spark, sf_dir)))
+
+
+def query_tokenize_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenize_positions_windowed(_docs(spark, sf_dir))
 
 
 def term_doc_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +176,7 @@ def decode_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _search(spark: SparkSession, sf_dir: str, queries, mode: str, start=0, amount=10, caps=None) -> DataFrame:
-    postings = _postings(spark, sf_dir, positions=False)
+    postings = scan_postings(_docs(spark, sf_dir))
     if caps:
         postings = prune_postings(postings, **caps)
     return _scored(search(postings, queries, mode, start, amount, _docs(spark, sf_dir)))
@@ -202,12 +211,12 @@ def document_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_documents_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings = _postings(spark, sf_dir, positions=False)
+    postings = scan_postings(_docs(spark, sf_dir))
     return term_documents(postings, _docs(spark, sf_dir).drop("text"), TERM, "tf", 5, 10)
 
 
 def term_documents_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings = _postings(spark, sf_dir, positions=False)
+    postings = scan_postings(_docs(spark, sf_dir))
     return term_documents(postings, _docs(spark, sf_dir).drop("text"), TERM, "id", 5, 10)
 
 
@@ -270,7 +279,7 @@ def query_line_locator(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
-    scores = tf_idf_scores(_postings(spark, sf_dir, positions=False), docs, QUERY)
+    scores = tf_idf_scores(scan_postings(docs), docs, QUERY)
     return _scored(result_page(scores, documents=docs))
 
 
@@ -299,6 +308,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "page_body_regex": page_body_regex,
         "tokenize": query_tokenize,
         "tokenize_positions": query_tokenize_positions,
+        "tokenize_windowed": query_tokenize_windowed,
         "term_doc_tf": term_doc_tf,
         "term_df": term_df,
         "positional_postings": positional_postings,
@@ -456,6 +466,7 @@ def oracle_sql() -> dict[str, str]:
             WHERE length(body) > 0""",
         "tokenize": f"WITH {_TF} SELECT doc_id, term FROM tok",
         "tokenize_positions": f"WITH {_POSITIONS} SELECT doc_id, term, position FROM pos",
+        "tokenize_windowed": f"WITH {_POSITIONS} SELECT doc_id, term, position FROM pos",
         "term_doc_tf": f"WITH {_TF} SELECT term, doc_id, tf FROM tf",
         "term_df": f"""WITH {_TF} SELECT term, count(*)::BIGINT AS df, sum(tf)::BIGINT AS total_tf,
             max(tf)::BIGINT AS max_tf FROM tf GROUP BY term""",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,6 +30,88 @@ def gaps_and_terms(text: Column) -> Column:
     )
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed a single time per row, however often it is read."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _indexes(items: Column) -> Column:
+    return F.when(F.size(items) > 0, F.sequence(F.lit(0), F.size(items) - 1)).otherwise(
+        F.array().cast("array<int>")
+    )
+
+
+def term_starts(text: Column) -> Column:
+    """0-based code-point index of the first letter of each letter run."""
+
+    def is_letter(char: Column) -> Column:
+        return (char >= "a") & (char <= "z")
+
+    def starts(chars: Column) -> Column:
+        # The character before index 0 is null, which is no letter.
+        return F.filter(
+            _indexes(chars),
+            lambda i: is_letter(chars[i]) & ~F.coalesce(is_letter(F.get(chars, i - 1)), F.lit(False)),
+        )
+
+    return _once(F.split(F.lower(text), ""), starts)
+
+
+def term_positions(text: Column) -> Column:
+    """Array of ``struct(term, position)`` in text order."""
+    return F.arrays_zip(letter_runs(text).alias("term"), term_starts(text).alias("position"))
+
+
+def _per_run(terms: Column, build: Callable[[Column, Column], Column]) -> Column:
+    """``build(first, length)`` for each stretch of equal values in a sorted array."""
+    firsts = F.filter(
+        _indexes(terms), lambda i: (i == 0) | (F.get(terms, i) != F.get(terms, i - 1))
+    )
+
+    def runs(starts: Column) -> Column:
+        return F.transform(
+            starts,
+            lambda first, n: build(first, F.coalesce(F.get(starts, n + 1), F.size(terms)) - first),
+        )
+
+    return _once(firsts, runs)
+
+
+def counted_terms(text: Column) -> Column:
+    """Array of ``struct(term, tf)``, one for each distinct term of the text."""
+
+    def counts(words: Column) -> Column:
+        return _per_run(
+            words,
+            lambda first, length: F.struct(
+                F.get(words, first).alias("term"), length.cast("bigint").alias("tf")
+            ),
+        )
+
+    return _once(F.sort_array(letter_runs(text)), counts)
+
+
+def placed_terms(text: Column) -> Column:
+    """Array of ``struct(term, positions)``, one for each distinct term, positions ascending."""
+
+    def places(found: Column) -> Column:
+        def with_terms(terms: Column) -> Column:
+            def with_positions(positions: Column) -> Column:
+                return _per_run(
+                    terms,
+                    lambda first, length: F.struct(
+                        F.get(terms, first).alias("term"),
+                        F.slice(positions, first + 1, length).alias("positions"),
+                    ),
+                )
+
+            return _once(found["position"], with_positions)
+
+        return _once(found["term"], with_terms)
+
+    return _once(F.sort_array(term_positions(text)), places)
+
+
 def distinct_terms(query: Column) -> Column:
     """The set of terms of a query string."""
     return F.array_distinct(letter_runs(query))

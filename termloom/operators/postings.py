@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termloom.functions.tokens import counted_terms, placed_terms
 from termloom.operators.groups import top_per_group
-from termloom.operators.tokens import by_document, tokenize, tokenize_positions
+from termloom.operators.tokens import spread, tokenize, tokenize_positions_windowed
 
 # The caps of the pruned index.
 MAX_TERM_LENGTH = 50
@@ -14,25 +15,44 @@ MAX_POSTINGS = 900
 
 
 def build_postings(
-    documents: DataFrame, positions: bool = True, co_located: bool = False
+    documents: DataFrame, positions: bool = True, long_texts: bool = False
 ) -> DataFrame:
     """One row per (term, document) with its frequency and, if wanted, sorted positions.
 
-    Rows of a document stay in the partition its text was hashed to, so grouping
-    needs no further shuffle and no term, however frequent, gathers in one task.
+    A document's terms are sorted and grouped inside its own row, so nothing is
+    shuffled and no term, however frequent, gathers in one task. A task holds one
+    document at a time, at about a hundred bytes per character; ``long_texts`` sorts
+    token rows by document instead, which can spill.
     """
-    if not positions:
-        tokens = tokenize(by_document(documents, co_located))
-        return tokens.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
-    tokens = tokenize_positions(documents, co_located)
-    grouped = tokens.groupBy("term", "doc_id").agg(
-        F.sort_array(F.collect_list("position")).alias("positions")
-    )
-    return grouped.select(
-        "term", "doc_id", F.size("positions").cast("bigint").alias("tf"), "positions"
+    if not positions and not long_texts:
+        counted = spread(documents).select("doc_id", F.inline(counted_terms(F.col("text"))))
+        return counted.select("term", "doc_id", "tf")
+    if long_texts:
+        placed = (
+            tokenize_positions_windowed(documents)
+            .groupBy("term", "doc_id")
+            .agg(F.sort_array(F.collect_list("position")).alias("positions"))
+        )
+    else:
+        placed = spread(documents).select("doc_id", F.inline(placed_terms(F.col("text"))))
+    return placed.select(
+        "term",
+        "doc_id",
+        F.size("positions").cast("bigint").alias("tf"),
+        *(["positions"] if positions else []),
     )
 
 
+def scan_postings(documents: DataFrame) -> DataFrame:
+    """``(term, doc_id, tf)`` for searching documents that have no stored index.
+
+    A filter on ``term`` is applied to the tokens before anything is shuffled, so
+    only the wanted terms' counts move and the texts stay where they are read.
+    """
+    tokens = tokenize(spread(documents))
+    return tokens.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
+
+
 def term_stats(postings: DataFrame) -> DataFrame:
     """``(term, df, total_tf, max_tf)`` for every term."""
     return postings.groupBy("term").agg(

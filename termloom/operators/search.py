@@ -91,13 +91,14 @@ def or_scores(postings: DataFrame, queries: Queries) -> DataFrame:
 def and_scores(postings: DataFrame, queries: Queries) -> DataFrame:
     """``(query_id, doc_id, score)`` of every document that holds all terms."""
     found, wanted, small = _matches(postings, queries)
-    full = (
-        found.join(_sized(wanted, small), "term")
-        .groupBy("query_id", "doc_id", "n_terms")
-        .agg(F.collect_list(F.struct("term", "tf")).alias("hits"))
-        .filter(F.size("hits") == F.col("n_terms"))
-        .select("query_id", "doc_id", F.inline("hits"))
+    matched = found.join(_sized(wanted, small), "term")
+    whole = (
+        matched.groupBy("query_id", "doc_id", "n_terms")
+        .agg(F.count(F.lit(1)).alias("n_found"))
+        .filter(F.col("n_found") == F.col("n_terms"))
+        .select("query_id", "doc_id")
     )
+    full = matched.join(whole, ["query_id", "doc_id"], "left_semi")
     scale = full.groupBy("query_id", "term").agg(F.max("tf").alias("scale"))
     return (
         full.join(_sized(scale, small), ["query_id", "term"])

@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.functions.tokens import gaps_and_terms, letter_runs
+from termloom.functions.tokens import gaps_and_terms, letter_runs, term_positions
 
 
-def by_document(documents: DataFrame, co_located: bool = False) -> DataFrame:
-    """``(doc_id, text)`` hash-partitioned by document.
+def spread(documents: DataFrame) -> DataFrame:
+    """``(doc_id, text)``, dealt out evenly if the scan has fewer tasks than there are cores.
 
-    This is the only shuffle of an index build: whole texts move once, and the
-    running sums and the (term, document) groups after it find their rows already
-    together. Pass ``co_located=True`` for a table bucketed by ``doc_id``.
+    A table of many files is left as it is; only a small one is worth moving.
     """
     kept = documents.select("doc_id", "text")
-    return kept if co_located else kept.repartition("doc_id")
+    cores = documents.sparkSession.sparkContext.defaultParallelism
+    return kept.repartition(cores) if kept.rdd.getNumPartitions() < cores else kept
 
 
 def tokenize(documents: DataFrame) -> DataFrame:
@@ -24,14 +23,21 @@ def tokenize(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.explode(letter_runs(F.col("text"))).alias("term"))
 
 
-def tokenize_positions(documents: DataFrame, co_located: bool = False) -> DataFrame:
-    """``(doc_id, term, position)`` with 0-based code-point positions in the text.
+def tokenize_positions(documents: DataFrame) -> DataFrame:
+    """``(doc_id, term, position)`` with 0-based code-point positions. No shuffle."""
+    return documents.select("doc_id", F.inline(term_positions(F.col("text"))))
 
-    A term starts where the lengths of all gaps and terms before it end, so the
-    position is a running sum over the document.
+
+def tokenize_positions_windowed(documents: DataFrame) -> DataFrame:
+    """The same rows for texts too long to be held as an array of characters.
+
+    A term starts where the lengths of all gaps and terms before it end: a running
+    sum over the document, which spills to disk. Whole texts are shuffled by document.
     """
-    parts = by_document(documents, co_located).select(
-        "doc_id", F.posexplode(gaps_and_terms(F.col("text"))).alias("ordinal", "part")
+    parts = (
+        documents.select("doc_id", "text")
+        .repartition("doc_id")
+        .select("doc_id", F.posexplode(gaps_and_terms(F.col("text"))).alias("ordinal", "part"))
     )
     lengths = parts.filter(F.col("part.term") != "").select(
         "doc_id",
