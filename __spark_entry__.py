@@ -51,8 +51,13 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "text", F.lower("source").alias("title"))
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, text)`` of every document, over all cores though the table is one file."""
+    return spread(_table(spark, sf_dir, "documents"))
+
+
 def _postings(spark: SparkSession, sf_dir: str, positions: bool = True) -> DataFrame:
-    return build_postings(_docs(spark, sf_dir), positions)
+    return build_postings(_texts(spark, sf_dir), positions)
 
 
 def _lists(spark: SparkSession, sf_dir: str, make, postings: DataFrame, *args, **options) -> DataFrame:
@@ -94,11 +99,11 @@ def page_body_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokenize(spread(_docs(spark, sf_dir)))
+    return tokenize(_texts(spark, sf_dir))
 
 
 def query_tokenize_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokenize_positions(spread(_docs(spark, sf_dir)))
+    return tokenize_positions(_texts(spark, sf_dir))
 
 
 def query_tokenize_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +181,7 @@ def decode_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _search(spark: SparkSession, sf_dir: str, queries, mode: str, start=0, amount=10, caps=None) -> DataFrame:
-    postings = scan_postings(_docs(spark, sf_dir))
+    postings = scan_postings(_texts(spark, sf_dir))
     if caps:
         postings = prune_postings(postings, **caps)
     return _scored(search(postings, queries, mode, start, amount, _docs(spark, sf_dir)))
@@ -211,12 +216,12 @@ def document_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_documents_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings = scan_postings(_docs(spark, sf_dir))
+    postings = scan_postings(_texts(spark, sf_dir))
     return term_documents(postings, _docs(spark, sf_dir).drop("text"), TERM, "tf", 5, 10)
 
 
 def term_documents_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings = scan_postings(_docs(spark, sf_dir))
+    postings = scan_postings(_texts(spark, sf_dir))
     return term_documents(postings, _docs(spark, sf_dir).drop("text"), TERM, "id", 5, 10)
 
 
@@ -226,7 +231,7 @@ def query_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(_table(spark, sf_dir, "documents"), column="text")
+    return word_count(_texts(spark, sf_dir), column="text")
 
 
 def word_count_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,7 +284,7 @@ def query_line_locator(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
-    scores = tf_idf_scores(scan_postings(docs), docs, QUERY)
+    scores = tf_idf_scores(scan_postings(_texts(spark, sf_dir)), docs, QUERY)
     return _scored(result_page(scores, documents=docs))
 
 

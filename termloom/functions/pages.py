@@ -46,11 +46,11 @@ def contributor_block(page: Column) -> Column:
 
 
 def contributor(page: Column) -> Column:
-    """``struct(name, id)``, empty strings for an anonymous edit, null without a block."""
+    """Lower-case ``struct(name, id)``; empty strings for an anonymous edit, null without a block."""
     block = contributor_block(page)
     fields = F.struct(
-        first_group(block, USERNAME_PATTERN).alias("name"),
-        first_group(block, ID_PATTERN).alias("id"),
+        F.lower(first_group(block, USERNAME_PATTERN)).alias("name"),
+        F.lower(first_group(block, ID_PATTERN)).alias("id"),
     )
     return F.when(block.isNotNull(), fields)
 

@@ -30,7 +30,7 @@ def gaps_and_terms(text: Column) -> Column:
     )
 
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed a single time per row, however often it is read."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -54,7 +54,7 @@ def term_starts(text: Column) -> Column:
             lambda i: is_letter(chars[i]) & ~F.coalesce(is_letter(F.get(chars, i - 1)), F.lit(False)),
         )
 
-    return _once(F.split(F.lower(text), ""), starts)
+    return once(F.split(F.lower(text), ""), starts)
 
 
 def term_positions(text: Column) -> Column:
@@ -74,7 +74,7 @@ def _per_run(terms: Column, build: Callable[[Column, Column], Column]) -> Column
             lambda first, n: build(first, F.coalesce(F.get(starts, n + 1), F.size(terms)) - first),
         )
 
-    return _once(firsts, runs)
+    return once(firsts, runs)
 
 
 def counted_terms(text: Column) -> Column:
@@ -88,7 +88,7 @@ def counted_terms(text: Column) -> Column:
             ),
         )
 
-    return _once(F.sort_array(letter_runs(text)), counts)
+    return once(F.sort_array(letter_runs(text)), counts)
 
 
 def placed_terms(text: Column) -> Column:
@@ -105,11 +105,11 @@ def placed_terms(text: Column) -> Column:
                     ),
                 )
 
-            return _once(found["position"], with_positions)
+            return once(found["position"], with_positions)
 
-        return _once(found["term"], with_terms)
+        return once(found["term"], with_terms)
 
-    return _once(F.sort_array(term_positions(text)), places)
+    return once(F.sort_array(term_positions(text)), places)
 
 
 def distinct_terms(query: Column) -> Column:

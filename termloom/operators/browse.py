@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from termloom.functions.tokens import once
+
 
 def get_documents(documents: DataFrame, ids: Sequence[int]) -> DataFrame:
     """The documents with these ids; unknown ids have no row. The filter reaches the scan."""
@@ -47,18 +49,24 @@ def snippets(hits: DataFrame, documents: DataFrame, width: int = 10) -> DataFram
     """``(doc_id, term, position, snippet)``: ``width`` characters from each position on.
 
     ``hits`` are postings with positions, usually of a result page. The text is cut
-    while it is still one row per document.
+    inside its own row, so no row repeats it.
     """
     per_document = hits.groupBy("doc_id").agg(
         F.collect_list(F.struct("term", "positions")).alias("found")
     )
     joined = per_document.join(documents.select("doc_id", "text"), "doc_id")
-    rows = joined.select("doc_id", "text", F.inline("found")).select(
-        "doc_id", "text", "term", F.explode("positions").alias("position")
-    )
-    return rows.select(
-        "doc_id",
-        "term",
-        "position",
-        F.substring("text", F.col("position") + 1, F.lit(width)).alias("snippet"),
-    )
+
+    def cut(chars: Column) -> Column:
+        def around(hit: Column) -> Column:
+            return F.transform(
+                hit["positions"],
+                lambda position: F.struct(
+                    hit["term"].alias("term"),
+                    position.alias("position"),
+                    F.array_join(F.slice(chars, position + 1, F.lit(width)), "").alias("snippet"),
+                ),
+            )
+
+        return F.flatten(F.transform("found", around))
+
+    return joined.select("doc_id", F.inline(once(F.split("text", ""), cut)))

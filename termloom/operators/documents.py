@@ -23,7 +23,7 @@ def build_documents(
         raise ValueError("text_mode must be 'index' or 'regex'")
     page = F.col("page")
     body = pages.body_by_index(page) if text_mode == "index" else pages.body_by_regex(page)
-    block = pages.contributor(F.lower(page))
+    block = pages.contributor(page)
     parsed = raw_pages.filter(F.length("page") > 0).select(
         pages.page_id(page).alias("doc_id"),
         F.lower(pages.page_title(page)).alias("title"),
@@ -51,7 +51,7 @@ def document_metadata(chunks: DataFrame) -> DataFrame:
     columns are shuffled to number the bytes, never the page text.
     """
     page = F.col("page")
-    block = pages.contributor(F.lower(page))
+    block = pages.contributor(page)
     skipped = F.octet_length("prefix")
     before_text = F.octet_length(F.substring(page, F.lit(1), pages.body_start(page) - 1))
     narrow = chunks.select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions.tokens import counted_terms, placed_terms
 from termloom.operators.groups import top_per_group
-from termloom.operators.tokens import spread, tokenize, tokenize_positions_windowed
+from termloom.operators.tokens import tokenize, tokenize_positions_windowed
 
 # The caps of the pruned index.
 MAX_TERM_LENGTH = 50
@@ -25,7 +25,7 @@ def build_postings(
     token rows by document instead, which can spill.
     """
     if not positions and not long_texts:
-        counted = spread(documents).select("doc_id", F.inline(counted_terms(F.col("text"))))
+        counted = documents.select("doc_id", F.inline(counted_terms(F.col("text"))))
         return counted.select("term", "doc_id", "tf")
     if long_texts:
         placed = (
@@ -34,7 +34,7 @@ def build_postings(
             .agg(F.sort_array(F.collect_list("position")).alias("positions"))
         )
     else:
-        placed = spread(documents).select("doc_id", F.inline(placed_terms(F.col("text"))))
+        placed = documents.select("doc_id", F.inline(placed_terms(F.col("text"))))
     return placed.select(
         "term",
         "doc_id",
@@ -49,7 +49,7 @@ def scan_postings(documents: DataFrame) -> DataFrame:
     A filter on ``term`` is applied to the tokens before anything is shuffled, so
     only the wanted terms' counts move and the texts stay where they are read.
     """
-    tokens = tokenize(spread(documents))
+    tokens = tokenize(documents)
     return tokens.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
 
 

@@ -28,6 +28,8 @@ LITERAL_TERMS = 1000
 
 def query_frame(spark: SparkSession, queries: Sequence[str]) -> DataFrame:
     """``(query_id, query)`` from strings, numbered from 0."""
+    if len(queries) > LITERAL_TERMS:
+        return spark.createDataFrame(list(enumerate(queries)), "query_id bigint, query string")
     rows = [
         F.struct(F.lit(i).cast("bigint").alias("query_id"), F.lit(q).alias("query"))
         for i, q in enumerate(queries)
@@ -53,16 +55,14 @@ def _matches(postings: DataFrame, queries: Queries) -> tuple[DataFrame, DataFram
     if isinstance(queries, DataFrame):
         wanted = query_terms(queries)
     else:
-        texts = [queries] if isinstance(queries, str) else list(queries)
-        if not texts:
-            texts = [""]
-        wanted = query_terms(query_frame(postings.sparkSession, texts))
+        texts = [queries] if isinstance(queries, str) else list(queries) or [""]
         literals = _literal_terms(texts)
         small = len(literals) <= LITERAL_TERMS and len(texts) <= LITERAL_TERMS
+        wanted = query_terms(query_frame(postings.sparkSession, texts))
     columns = postings.select("term", "doc_id", "tf")
     if small:
         # A literal list reaches the Parquet scan and skips row groups.
-        found = columns.filter(F.col("term").isin(literals)) if literals else columns.limit(0)
+        found = columns.filter(F.col("term").isin(literals) if literals else F.lit(False))
     else:
         found = columns.join(wanted.select("term"), "term", "left_semi")
     # Both the scales and the scores read this one exchange.

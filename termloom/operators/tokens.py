@@ -9,9 +9,11 @@ from termloom.functions.tokens import gaps_and_terms, letter_runs, term_position
 
 
 def spread(documents: DataFrame) -> DataFrame:
-    """``(doc_id, text)``, dealt out evenly if the scan has fewer tasks than there are cores.
+    """``(doc_id, text)`` of a stored table, dealt out evenly if its scan has too few tasks.
 
-    A table of many files is left as it is; only a small one is worth moving.
+    For small tables in one file, which one task would read. A table with at least
+    as many splits as the session has cores is left as it is. Pass a plain scan:
+    counting the splits of anything else would run it.
     """
     kept = documents.select("doc_id", "text")
     cores = documents.sparkSession.sparkContext.defaultParallelism
