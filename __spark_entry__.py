@@ -28,8 +28,8 @@ from termloom.operators.tokens import (
 )
 from termloom.operators.wordcount import word_count, words
 from termloom.session import scratch_path
-from termloom.sources.text_files import line_locator, write_lists
-from termloom.sources.xml_pages import read_chunks, read_pages
+from termloom.sources.text_files import line_locator, read_lists, write_lists
+from termloom.sources.xml_pages import read_chunks, read_page_offsets, read_pages
 
 QUERY = "the and that"
 DOCUMENT_IDS = [3, 17, 42, 150, 999999]
@@ -282,6 +282,38 @@ def query_line_locator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_locator(spark, path)
 
 
+def line_locator_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the last line of every file ends, summed: the size of the whole export."""
+    path = scratch_path(spark, "lists")
+    write_lists(inverted_index(spark, sf_dir), path)
+    lines = read_lists(spark, path).select(
+        F.col("term").alias("key"),
+        (F.octet_length("term") + F.octet_length("posting_list") + 2).alias("n_bytes"),
+    )
+    ends = (
+        line_locator(spark, path)
+        .join(lines, "key")
+        .groupBy("file_name")
+        .agg(
+            F.count(F.lit(1)).alias("n_keys"),
+            F.max(F.col("byte_offset") + F.col("n_bytes")).alias("file_bytes"),
+        )
+    )
+    return ends.agg(F.sum("n_keys").alias("n_keys"), F.sum("file_bytes").alias("total_bytes"))
+
+
+def xml_page_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of the written dump, their bytes, and where the last page of every file ends, summed."""
+    offsets = read_page_offsets(spark, _written_dump(spark, sf_dir))
+    ends = offsets.groupBy("file_name").agg(
+        F.count(F.lit(1)).alias("n_pages"),
+        F.sum("page_bytes").alias("page_bytes"),
+        # A line break follows the last page.
+        (F.max(F.col("byte_offset") + F.col("page_bytes")) + 1).alias("file_bytes"),
+    )
+    return ends.agg(*[F.sum(c).alias(c) for c in ("n_pages", "page_bytes", "file_bytes")])
+
+
 def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
     scores = tf_idf_scores(scan_postings(_texts(spark, sf_dir)), docs, QUERY)
@@ -344,7 +376,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "input_words": input_words,
         "xml_roundtrip": xml_roundtrip,
         "xml_metadata": xml_metadata,
+        "xml_page_offsets": xml_page_offsets,
         "line_locator": query_line_locator,
+        "line_locator_bytes": line_locator_bytes,
         "tf_idf": tf_idf,
         "corpus_size": query_corpus_size,
         "stop_words": stop_words,
@@ -453,6 +487,14 @@ _SKIP_WORDS = f"""(SELECT word FROM (
     WHERE word <> '')"""
 
 _ESCAPED = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+_PAGE = f"""'<page>' || chr(10) || '    <title>Page ' || lang || ' ' || doc_id || '</title>' || chr(10)
+    || '    <id>' || doc_id || '</id>' || chr(10)
+    || '    <revision><id>1</id><timestamp>2019-11-01T00:00:00Z</timestamp>'
+    || CASE WHEN doc_id % 11 = 0 THEN ''
+       ELSE '<contributor>' || CASE WHEN doc_id % 7 = 0 THEN '<ip>10.0.0.1</ip>'
+            ELSE '<username>' || source || '</username><id>' || n_chars || '</id>' END || '</contributor>' END
+    || '<text xml:space=' || chr(10) || '"preserve">' || {_ESCAPED} || '</text></revision>' || chr(10)
+    || '  </page>'"""
 _STOP_LIST = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 
@@ -521,6 +563,11 @@ FROM (SELECT *, doc_id // 64 AS block FROM tf) JOIN cuts USING (term, block) GRO
             CASE WHEN doc_id % 7 = 0 THEN '' ELSE n_chars::VARCHAR END AS contributor_id,
             '2019-11-01t00:00:00z' AS ts, length({_ESCAPED})::BIGINT AS text_len
             FROM documents WHERE length(text) > 0 AND doc_id % 11 <> 0""",
+        "xml_page_offsets": f"""SELECT count(*)::BIGINT AS n_pages, sum(n)::BIGINT AS page_bytes,
+            sum(n + 3)::BIGINT AS file_bytes FROM (SELECT octet_length(encode({_PAGE})) AS n FROM documents)""",
+        "line_locator_bytes": f"""SELECT count(*)::BIGINT AS n_keys,
+            sum(octet_length(encode(term || posting_list)) + 2)::BIGINT AS total_bytes
+            FROM ({_list_sql("tf", _TF, False, "doc_id || '-' || tf")})""",
         "tf_idf": _page_sql(f"{_TF},{_ONE_QUERY},{_TF_IDF}"),
         "corpus_size": "SELECT count(*)::BIGINT AS n_documents FROM documents",
         "stop_words": f"WITH {_TF} SELECT term, doc_id, tf FROM tf WHERE term NOT IN ({_STOP_LIST})",

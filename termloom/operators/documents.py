@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions import pages
+from termloom.session import staged
 from termloom.sources.offsets import with_byte_offsets
 
 
@@ -42,13 +43,14 @@ def build_documents(
     return kept.withColumn("edited_at", F.try_to_timestamp(F.upper("ts")))
 
 
-def document_metadata(chunks: DataFrame) -> DataFrame:
+def document_metadata(chunks: DataFrame, store: bool = False) -> DataFrame:
     """``(doc_id, title, contributor_name, contributor_id, ts, text_start, text_len)``.
 
     ``chunks`` come from :func:`termloom.sources.xml_pages.read_chunks`.
     ``text_start`` is the byte offset of the text in its file, ``text_len`` counts
     code points. Pages without a contributor block have no row. Only these narrow
-    columns are shuffled to number the bytes, never the page text.
+    columns are shuffled to number the bytes, never the page text; with ``store``
+    they are written to the shared folder, so that the dump itself is read once.
     """
     page = F.col("page")
     block = pages.contributor(page)
@@ -67,7 +69,7 @@ def document_metadata(chunks: DataFrame) -> DataFrame:
         (skipped + before_text).alias("into"),
         pages.body_length(page).alias("text_len"),
     )
-    placed = with_byte_offsets(narrow)
+    placed = with_byte_offsets(staged(narrow, "pages") if store else narrow)
     kept = placed.filter(
         F.col("doc_id").isNotNull()
         & F.col("contributor").isNotNull()

@@ -52,12 +52,12 @@ def lossy_index(spark: SparkSession, source: str, target: str, **caps) -> None:
 
 def document_index(spark: SparkSession, source: str, target: str) -> None:
     """``id  title,name,contributor_id,time,text_start,text_len``, sorted by id."""
-    write_metadata(document_metadata(read_chunks(spark, source)), target)
+    write_metadata(document_metadata(read_chunks(spark, source), store=True), target)
 
 
 def locator(spark: SparkSession, source: str, target: str) -> None:
     """``key  file,byte_offset`` of every line of an exported index."""
-    rows = line_locator(spark, source)
+    rows = line_locator(spark, source, store=True)
     place = F.concat_ws(",", "file_name", F.col("byte_offset").cast("string"))
     write_pairs(rows, "key", place, target)
 

@@ -6,12 +6,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from termloom.operators.browse import get_documents
 from termloom.operators.documents import build_documents, sorted_by_id
 from termloom.operators.postings import build_postings, prune_postings, sorted_by_term
 from termloom.operators.search import Queries, search
 from termloom.sources.xml_pages import read_pages
 
 
+# Result rows of literal queries whose titles are looked up by id.
+LOOKUP_ROWS = 1000
+
+
 @dataclass(frozen=True)
 class IndexTables:
     """``postings`` and ``documents`` are whole; ``top_postings`` holds each term's best."""
@@ -23,17 +28,34 @@ class IndexTables:
     def search(
         self, queries: Queries, mode: str = "and", start: int = 0, amount: int = 10
     ) -> DataFrame:
-        """OR reads the pruned postings, AND the whole ones."""
+        """OR reads the pruned postings, AND the whole ones.
+
+        The page of a few literal queries is computed at once, so that its ids reach
+        the scan of the documents as a filter; a longer one is joined with them.
+        """
         either = mode.strip().lower() in ("or", "tf")
         postings = self.top_postings if either else self.postings
-        return search(postings, queries, mode, start, amount, self.documents)
+        if isinstance(queries, DataFrame):
+            return search(postings, queries, mode, start, amount, self.documents)
+        n_queries = 1 if isinstance(queries, str) else len(queries)
+        if n_queries * amount > LOOKUP_ROWS:
+            return search(postings, queries, mode, start, amount, self.documents)
+        page = search(postings, queries, mode, start, amount).drop("title")
+        rows = page.collect()
+        shown = postings.sparkSession.createDataFrame(rows, page.schema)
+        titles = get_documents(self.documents, [r.doc_id for r in rows]).select("doc_id", "title")
+        return shown.join(titles, "doc_id", "left").select(
+            "query_id", "number", "title", "doc_id", "score", "url"
+        )
 
 
 def write_index(spark: SparkSession, documents: DataFrame, path: str, **caps) -> IndexTables:
     """Write documents, postings and pruned postings below ``path`` and open them.
 
     Each table is read back before the next is derived from it, so no stage depends
-    on a long lineage and a lost executor costs only its own tasks.
+    on a long lineage and a lost executor costs only its own tasks. Postings are
+    stored once as built (``unsorted_postings``, not needed afterwards), because
+    finding the ranges of the sorted table reads them one more time.
     """
     sorted_by_id(documents).write.parquet(f"{path}/documents")
     stored = spark.read.parquet(f"{path}/documents")

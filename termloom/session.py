@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, app_name: str = "termloom") -> SparkSession:
@@ -34,3 +34,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         shared = tempfile.mkdtemp(prefix="termloom-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written once to the shared folder and read back.
+
+    For narrow results of a costly scan that several branches of a plan read.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -25,7 +25,8 @@ def with_byte_offsets(records: DataFrame) -> DataFrame:
     Needs ``file_path, block_start, record, n_bytes`` and every record of the file;
     select what else is needed as narrowly as possible first. Bytes are summed along
     each input split, and the totals of the splits along each file, so no task
-    handles more than one split.
+    handles more than one split. The rows are read twice; after a costly scan, store
+    them first (:func:`termloom.session.staged`).
     """
     inside = (
         Window.partitionBy("file_path", "block_start")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.session import staged
 from termloom.sources.offsets import source_columns, with_byte_offsets
 
 MAX_SKIP_PATTERNS = 10_000
@@ -15,10 +16,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_line_offsets(spark: SparkSession, path: str) -> DataFrame:
+def read_line_offsets(spark: SparkSession, path: str, store: bool = False) -> DataFrame:
     """``(file_name, byte_offset, key)`` of every line; ``key`` is what precedes the first tab.
 
-    A line without a tab has an empty key.
+    A line without a tab has an empty key. With ``store``, keys and lengths are
+    written to the shared folder, so that the files are read once.
     """
     value = F.col("value")
     key = F.when(F.instr(value, "\t") > 0, F.substring_index(value, "\t", 1)).otherwise("")
@@ -28,12 +30,13 @@ def read_line_offsets(spark: SparkSession, path: str) -> DataFrame:
         (F.octet_length("value") + F.lit(1)).alias("n_bytes"),
         key.alias("key"),
     )
-    return with_byte_offsets(narrow).select("file_name", "byte_offset", "key")
+    placed = with_byte_offsets(staged(narrow, "lines") if store else narrow)
+    return placed.select("file_name", "byte_offset", "key")
 
 
-def line_locator(spark: SparkSession, path: str) -> DataFrame:
+def line_locator(spark: SparkSession, path: str, store: bool = False) -> DataFrame:
     """``(key, file_name, byte_offset)`` of an exported index: where each key's line starts."""
-    return read_line_offsets(spark, path).select("key", "file_name", "byte_offset")
+    return read_line_offsets(spark, path, store).select("key", "file_name", "byte_offset")
 
 
 def read_skip_patterns(spark: SparkSession, path: str) -> list[str]:

@@ -34,9 +34,25 @@ def test_same_answers(documents, index, mode):
     ]
 
 
-def test_terms_reach_the_scan(index):
-    plan = index.search("the and", "and")._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [In(term, [and,the])" in plan
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_terms_and_ids_reach_the_scans(index):
+    assert "PushedFilters: [In(term, [and,the])" in plan_of(search(index.postings, "the and", "and"))
+    assert "PushedFilters: [In(doc_id, [" in plan_of(index.search("the and", "and"))
+
+
+def test_long_pages_and_query_tables_are_joined(spark, index):
+    want = [(r.doc_id, r.title) for r in index.search("the", "or").orderBy("number").collect()]
+    long = index.search("the", "or", amount=2000).orderBy("number").limit(10).collect()
+    table = spark.createDataFrame([(5, "the")], "query_id bigint, query string")
+    rows = index.search(table, "or").orderBy("number").collect()
+    assert [(r.doc_id, r.title) for r in long] == [(r.doc_id, r.title) for r in rows] == want
+
+
+def test_no_matches_at_all(index):
+    assert index.search("zzzzqqq", "and").count() == 0 and index.search(["", "1"], "or").count() == 0
 
 
 def test_dump_to_answers(spark, tmp_path):
