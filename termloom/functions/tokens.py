@@ -42,19 +42,14 @@ def _indexes(items: Column) -> Column:
 
 
 def term_starts(text: Column) -> Column:
-    """0-based code-point index of the first letter of each letter run."""
-
-    def is_letter(char: Column) -> Column:
-        return (char >= "a") & (char <= "z")
-
-    def starts(chars: Column) -> Column:
-        # The character before index 0 is null, which is no letter.
-        return F.filter(
-            _indexes(chars),
-            lambda i: is_letter(chars[i]) & ~F.coalesce(is_letter(F.get(chars, i - 1)), F.lit(False)),
-        )
-
-    return once(F.split(F.lower(text), ""), starts)
+    """0-based code-point index of the first letter of each letter run.
+
+    The first letter of each run becomes a capital, which no other character of a
+    lower-cased text is; the marks' places among the characters are the answer.
+    """
+    marked = F.regexp_replace(F.lower(text), "[a-z]([a-z]*)", "S$1")
+    places = F.transform(F.split(marked, ""), lambda char, i: F.when(char == "S", i))
+    return F.array_compact(places)
 
 
 def term_positions(text: Column) -> Column:

@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 
 from termloom.operators.documents import build_documents, document_metadata
 from termloom.operators.lists import encode_lists, posting_lists
-from termloom.operators.postings import build_postings, prune_postings
+from termloom.operators.postings import (
+    MAX_POSTINGS,
+    MAX_TERM_LENGTH,
+    build_postings,
+    prune_postings,
+)
 from termloom.operators.wordcount import word_count
+from termloom.session import staged
 from termloom.sources.text_files import (
     line_locator,
     read_lines,
@@ -24,9 +30,17 @@ def _documents(spark: SparkSession, source: str, text_mode: str) -> DataFrame:
     return build_documents(read_pages(spark, source), text_mode=text_mode)
 
 
+def _postings(
+    spark: SparkSession, source: str, text_mode: str = "index", positions: bool = True
+) -> DataFrame:
+    """Postings in the shared folder: long lists are found in one reading, written in another."""
+    postings = build_postings(_documents(spark, source, text_mode), positions=positions)
+    return staged(postings, "postings")
+
+
 def inverted_index(spark: SparkSession, source: str, target: str, text_mode: str = "index") -> None:
     """``term  df;id-tf;...;``"""
-    postings = build_postings(_documents(spark, source, text_mode), positions=False)
+    postings = _postings(spark, source, text_mode, positions=False)
     write_lists(posting_lists(postings, "id", positions=False), target)
 
 
@@ -34,20 +48,25 @@ def positional_index(
     spark: SparkSession, source: str, target: str, order: str = "id", text_mode: str = "index"
 ) -> None:
     """``term  df;id-tf-p1,p2;...;`` in id, tf or tf_id order."""
-    postings = build_postings(_documents(spark, source, text_mode))
-    write_lists(posting_lists(postings, order), target)
+    write_lists(posting_lists(_postings(spark, source, text_mode), order), target)
 
 
 def lossless_index(spark: SparkSession, source: str, target: str, order: str = "tf_id") -> None:
     """Delta-coded lists of all postings."""
-    postings = build_postings(_documents(spark, source, "index"))
-    write_lists(encode_lists(postings, order), target)
+    write_lists(encode_lists(_postings(spark, source), order), target)
 
 
-def lossy_index(spark: SparkSession, source: str, target: str, **caps) -> None:
-    """Delta-coded lists of the pruned postings, in tf_id order."""
+def lossy_index(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    max_term_length: int = MAX_TERM_LENGTH,
+    max_postings: int = MAX_POSTINGS,
+) -> None:
+    """Delta-coded lists of the pruned postings, in tf_id order; none outgrows ``max_postings``."""
     postings = build_postings(_documents(spark, source, "index"))
-    write_lists(encode_lists(prune_postings(postings, **caps), "tf_id"), target)
+    kept = prune_postings(postings, max_term_length, max_postings)
+    write_lists(encode_lists(kept, "tf_id", max_df=max_postings), target)
 
 
 def document_index(spark: SparkSession, source: str, target: str) -> None:
