@@ -15,6 +15,9 @@ WORD_SEPARATORS = r"[ \t\n\r\f]+"
 # last match of a text is empty and is dropped by the caller.
 GAP_AND_TERM = "([^a-z]*+)([a-z]*+)"
 
+# Characters looked at together when positions are found.
+PIECE_LENGTH = 4096
+
 
 def letter_runs(text: Column) -> Column:
     """All maximal runs of letters in the lower-cased text, in order."""
@@ -45,11 +48,20 @@ def term_starts(text: Column) -> Column:
     """0-based code-point index of the first letter of each letter run.
 
     The first letter of each run becomes a capital, which no other character of a
-    lower-cased text is; the marks' places among the characters are the answer.
+    lower-cased text is; the marks' places among the characters are the answer. The
+    text is looked through in pieces of one length, so that only the characters of
+    a piece are held apart.
     """
     marked = F.regexp_replace(F.lower(text), "[a-z]([a-z]*)", "S$1")
-    places = F.transform(F.split(marked, ""), lambda char, i: F.when(char == "S", i))
-    return F.array_compact(places)
+    pieces = F.regexp_extract_all(marked, F.lit(rf"[\s\S]{{1,{PIECE_LENGTH}}}"), F.lit(0))
+
+    def places(piece: Column, n: Column) -> Column:
+        chars = F.split(piece, "")
+        return F.array_compact(
+            F.transform(chars, lambda char, i: F.when(char == "S", n * PIECE_LENGTH + i))
+        )
+
+    return F.flatten(F.transform(pieces, places))
 
 
 def term_positions(text: Column) -> Column:

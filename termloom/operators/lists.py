@@ -94,14 +94,14 @@ def encode_lists(postings: DataFrame, order: str = "id", **options) -> DataFrame
 def explode_lists(lists: DataFrame) -> DataFrame:
     """One row per posting of each line, as written: ``(term, head, ordinal, id_part, tf, coded)``.
 
-    ``head`` is the line's first posting; with the term it names the line, also
-    after a task is run again.
+    ``head`` is id and frequency of the line's first posting; with the term it names
+    the line, also after a task is run again.
     """
     items = F.split(F.rtrim(F.col("posting_list"), F.lit(";")), ";")
     lines = lists.select("term", items.alias("items"))
     rows = lines.select(
         "term",
-        F.get("items", F.lit(1)).alias("head"),
+        F.substring_index(F.get("items", F.lit(1)), "-", 2).alias("head"),
         F.posexplode(F.slice("items", F.lit(2), F.size("items"))).alias("ordinal", "item"),
     ).withColumn("fields", F.split("item", "-", 3))
     return rows.select(
