@@ -53,7 +53,7 @@ def term_starts(text: Column) -> Column:
     a piece are held apart.
     """
     marked = F.regexp_replace(F.lower(text), "[a-z]([a-z]*)", "S$1")
-    pieces = F.regexp_extract_all(marked, F.lit(rf"[\s\S]{{1,{PIECE_LENGTH}}}"), F.lit(0))
+    pieces = F.regexp_extract_all(marked, F.lit(f"(?s).{{1,{PIECE_LENGTH}}}"), F.lit(0))
 
     def places(piece: Column, n: Column) -> Column:
         chars = F.split(piece, "")
