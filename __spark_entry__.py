@@ -31,6 +31,19 @@ from termloom.session import scratch_path
 from termloom.sources.text_files import line_locator, read_lists, write_lists
 from termloom.sources.xml_pages import read_chunks, read_page_offsets, read_pages
 
+try:
+    from termloom.llm import queries as corpus_queries
+except ModuleNotFoundError as missing:  # the subpackage can be left out
+    if not (missing.name or "").startswith("termloom.llm"):
+        raise
+    corpus_queries = None
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("termloom.llm"):
+        raise
+    corpus_pipeline = None
+
 QUERY = "the and that"
 DOCUMENT_IDS = [3, 17, 42, 150, 999999]
 TERM = "the"
@@ -338,8 +351,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return search_or(spark, "/root/testdata/sf0.001")
 
 
+def _corpus(attribute: str) -> dict:
+    """What the optional modules add."""
+    found = dict(getattr(corpus_queries, attribute)) if corpus_queries else {}
+    if corpus_pipeline:
+        added = corpus_pipeline.run if attribute == "QUERIES" else corpus_pipeline.ORACLE_SQL
+        found |= {"pipeline": added} if added else {}
+    return found
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return _corpus("QUERIES") | {
         "page_title": page_title,
         "page_body_index": page_body_index,
         "page_body_regex": page_body_regex,
@@ -505,7 +527,7 @@ def oracle_sql() -> dict[str, str]:
     by_id = _list_sql("post", _POSTINGS, False, _PLAIN)
     by_tf = _list_sql("post", _POSTINGS, True, _PLAIN)
     decoded = f"WITH {_POSTINGS} SELECT term, doc_id, tf, positions FROM post"
-    return {
+    return _corpus("ORACLE_SQL") | {
         "page_title": "SELECT page_id, lower(regexp_extract(html, '<title>(.*?)</title>', 1)) AS title FROM pages",
         "page_body_index": _BODY_INDEX,
         "page_body_regex": r"""SELECT page_id, body FROM (

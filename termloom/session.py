@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = 8, app_name: str = "termloom") -> SparkSession:
+def local_session(cores: int | str = 8, app_name: str = "termloom", scratch: str | None = None) -> SparkSession:
     """A local session. On a cluster, pass your own session to every function."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
@@ -19,20 +20,30 @@ def local_session(cores: int | str = 8, app_name: str = "termloom") -> SparkSess
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    if scratch:
+        builder = builder.config("spark.checkpoint.dir", scratch)
+    return builder.getOrCreate()
+
+
+@functools.cache
+def _single_host_folder() -> str:
+    return tempfile.mkdtemp(prefix="termloom-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the cluster's shared ``spark.checkpoint.dir``.
 
-    The setting is read from the session. Only where it is unset, as in tests on
-    one host, a local temporary folder takes its place.
+    The setting is read from the session. Where it is unset, a session within one JVM
+    gets a temporary folder of its host; on a cluster that is an error, because no
+    executor would see what another has written.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        shared = tempfile.mkdtemp(prefix="termloom-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = _single_host_folder()
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
