@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.llm import bpe, mixing, pii, quality_classifier, quality_rules
 from termloom.llm.warc import mark_revisits, read_archives, write_archives
-from termloom.session import scratch_path
+from termloom.session import scratch_path, staged
+
+TOKENIZER = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,8 +55,92 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every text, as counts and as one string."""
+    found = pii.find_pii(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    base = F.filter("pii", lambda s: s["kind"].isin(*pii.KINDS[:4]))
+
+    def listed(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+        )
+
+    def count(kind: str):
+        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.KINDS],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("pii")).alias("spans"),
+        F.transform("pii", lambda s: s["score"]).alias("scores"),
+    )
+
+
+def held_out(doc_id: str = "doc_id"):
+    """The fold that no label is learned from; a row without an id is not in it."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+KEEP_FROM = 0.7
+
+
+def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality_classifier.Model:
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out())
+    return quality_classifier.train(docs, labels, "quality")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every text."""
+    docs = _table(spark, sf_dir, "documents")
+    scored = quality_classifier.score(docs, quality_model(spark, sf_dir, docs), keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= KEEP_FROM).cast("int").alias("predicted"),
+    )
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "source", mixing.word_count().alias("size"), mixing.place().alias("place")
+    )
+    docs = staged(docs, "mix-sizes")
+    mixed = mixing.mix(docs, mixing.plan_mix(docs))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every text, and whether it passes all quality rules."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality_rules.order_rules(docs, quality_rules.FURTHER_RULES)
+    return quality_rules.stats_and_verdict(docs, rules, keep=["doc_id"])
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded again, as digests."""
+    path = public_tokenizers.path(TOKENIZER)
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), path, keep=["doc_id"])
+    decoded = bpe.decode(coded, path)
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op3_pii": op3_pii,
+    "op4_quality": op4_quality,
+    "op5_mixing": op5_mixing,
+    "op6_quality_rules": op6_quality_rules,
+    "op9_bpe": op9_bpe,
 }
 
 _BASE32 = " || ".join(
@@ -61,10 +149,57 @@ _BASE32 = " || ".join(
     for s in (15, 10, 5, 0)
 )
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+_OP5 = f"""WITH d AS (
+    SELECT doc_id, source, len({_WORDS})::BIGINT AS size,
+           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 12))::BIGINT AS place
+    FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, 3.0::DOUBLE * source_size AS most, [5.0, 2.0, 1.0][
+          ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INTEGER]::DOUBLE AS weight FROM s),
+l AS (SELECT *, row_number() OVER o AS number, most / weight AS reach,
+             (sum(source_size) OVER () - coalesce(sum(most) OVER (
+                 ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+             / sum(weight) OVER (
+                 ORDER BY most / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+      FROM w WINDOW o AS (ORDER BY most / weight, source NULLS LAST)),
+g AS (SELECT source, source_size, coalesce(least(most, weight *
+          (SELECT level FROM l WHERE level <= reach ORDER BY number LIMIT 1)), most) AS target FROM l),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS passes FROM g),
+c AS (SELECT source, place, sum(size) AS size FROM d GROUP BY ALL),
+r AS (SELECT source, place, size, sum(size) OVER (PARTITION BY source ORDER BY place) AS upto FROM c),
+e AS (SELECT r.source, CASE WHEN upto - rest < rest - (upto - size) THEN place + 1 ELSE place END AS threshold
+      FROM r JOIN (SELECT *, target - passes * source_size AS rest FROM p) q ON r.source IS NOT DISTINCT FROM q.source
+      WHERE upto - size < rest AND rest <= upto)
+SELECT doc_id, size, source_size, target,
+       ((passes + (place < coalesce(threshold, 0))::INTEGER) * size)::BIGINT AS taken
+FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN e ON d.source IS NOT DISTINCT FROM e.source"""
+
+_OP6 = f"""WITH d AS (SELECT doc_id, text, {_WORDS} AS w FROM documents),
+b AS (SELECT doc_id, len(w)::BIGINT AS n_words,
+             coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+             length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+             list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines,
+             length(regexp_replace(coalesce(text, ''), '[^A-Z]', '', 'g')) AS n_upper,
+             length(regexp_replace(coalesce(text, ''), '[^a-z]', '', 'g')) AS n_lower, w FROM d),
+i AS (SELECT doc_id, unnest(range(1, greatest(len(w) - 1, 1))) AS i, w FROM d),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM i),
+q AS (SELECT doc_id, count(DISTINCT spot)::BIGINT AS n_repeat_words FROM (
+          SELECT doc_id, unnest([i, i + 1, i + 2]) AS spot FROM g WHERE n > 1) GROUP BY doc_id),
+s AS (SELECT b.*, (len(lines) - list_unique(lines))::BIGINT AS n_dup_lines,
+             coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words FROM b LEFT JOIN q USING (doc_id)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 10 * n_symbols <= 3 * n_words AND 10 * n_dup_lines <= 6 * len(lines)
+       AND n_upper <= n_lower AND word_chars BETWEEN 2 * n_words AND 25 * n_words AS kept FROM f"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 last AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS newest FROM p)
 SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
        CASE WHEN page_id IS NOT DISTINCT FROM newest THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id IS DISTINCT FROM newest THEN newest END AS refers_to FROM last""",
+    "op5_mixing": _OP5,
+    "op6_quality_rules": _OP6,
 }
