@@ -42,17 +42,19 @@ def add_columns(
     ddl: str,
     column: str = "text",
     keep: list[str] | None = None,
+    reads: tuple[str, ...] = (),
 ) -> DataFrame:
     """The rows of ``df`` with the columns that ``make`` derives from each slice of them.
 
     ``keep`` names the columns that stay (default: all). Where a kept column has the name
-    of a new one, in any case, the new one takes its place.
+    of a new one, in any case, the new one takes its place. ``reads`` names further
+    columns that ``make`` needs.
     """
     new = StructType.fromDDL(ddl)
     names = {name.lower() for name in new.names}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in names]
     schema = StructType([df.schema[c] for c in kept] + new.fields)
-    read = list(dict.fromkeys([*kept, column]))
+    read = list(dict.fromkeys([*kept, column, *reads]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

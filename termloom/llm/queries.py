@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, mixing, pii, quality_classifier, quality_rules
+from termloom.llm import bpe, mixing, pii, quality_classifier, quality_rules, substring_dedup
 from termloom.llm.warc import mark_revisits, read_archives, write_archives
 from termloom.session import scratch_path, staged
 
@@ -134,6 +134,12 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the passages that a document with a smaller id has."""
+    found = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_pii": op3_pii,
@@ -141,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op9_bpe": op9_bpe,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 _BASE32 = " || ".join(
@@ -194,6 +201,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND 10 * n_symbols <= 3 * n_words AND 10 * n_dup_lines <= 6 * len(lines)
        AND n_upper <= n_lower AND word_chars BETWEEN 2 * n_words AND 25 * n_words AS kept FROM f"""
 
+_OP10 = f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 11, 1))) AS i FROM d),
+m AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY array_to_string(w[i:i + 12], ' ')) AS least FROM i),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM m WHERE least < doc_id),
+k AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+s AS (SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY i) AS kept
+      FROM k ANTI JOIN g USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN s USING (doc_id)"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 last AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS newest FROM p)
@@ -202,4 +219,5 @@ SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, {_BASE32} A
        CASE WHEN page_id IS DISTINCT FROM newest THEN newest END AS refers_to FROM last""",
     "op5_mixing": _OP5,
     "op6_quality_rules": _OP6,
+    "op10_substring_dedup": _OP10,
 }
