@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, mixing, pii, quality_classifier, quality_rules, substring_dedup
+from termloom.llm import bpe, fingerprints, mixing, pii, quality_classifier, quality_rules, substring_dedup
 from termloom.llm.warc import mark_revisits, read_archives, write_archives
 from termloom.session import scratch_path, staged
 
@@ -121,6 +121,23 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.stats_and_verdict(docs, rules, keep=["doc_id"])
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and how alike they and the next one's are."""
+    docs = fingerprints.edited_neighbours(_table(spark, sf_dir, "documents"))
+    docs = docs.withColumns(
+        {"own": fingerprints.sketch(F.col("text")), "other": fingerprints.sketch(F.col("edited"))}
+    )
+    return docs.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("own")).alias("fingerprint"),
+        fingerprints.as_text(F.col("other")).alias("edited_fingerprint"),
+        fingerprints.resemblance(F.col("own"), F.col("other")).alias("near_edited"),
+        fingerprints.resemblance(F.col("own"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again, as digests."""
     path = public_tokenizers.path(TOKENIZER)
@@ -146,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_fingerprints": op7_fingerprints,
     "op9_bpe": op9_bpe,
     "op10_substring_dedup": op10_substring_dedup,
 }
