@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, fingerprints, mixing, pii, quality_classifier, quality_rules, substring_dedup
+from termloom.llm import bpe, fingerprints, mixing, ngram_jaccard, pii, quality_classifier, quality_rules, substring_dedup
 from termloom.llm.warc import mark_revisits, read_archives, write_archives
 from termloom.session import scratch_path, staged
 
@@ -55,6 +55,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size and component of every document's set of 4-word shingles, linked from 85 percent on."""
+    return ngram_jaccard.join_similar(_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every text, as counts and as one string."""
     found = pii.find_pii(_table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -159,6 +164,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_pii": op3_pii,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
