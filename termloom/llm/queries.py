@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, fingerprints, mixing, ngram_jaccard, pii, quality_classifier, quality_rules, substring_dedup
+from termloom.llm import (
+    bpe,
+    fingerprints,
+    lm_scoring,
+    mixing,
+    ngram_jaccard,
+    pii,
+    quality_classifier,
+    quality_rules,
+    substring_dedup,
+)
 from termloom.llm.warc import mark_revisits, read_archives, write_archives
 from termloom.session import scratch_path, staged
 
@@ -143,6 +153,13 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much every document is like the benchmark rather than like all documents."""
+    docs = _table(spark, sf_dir, "documents")
+    scorer = lm_scoring.fit(_table(spark, sf_dir, "benchmark"), docs)
+    return lm_scoring.score(docs, scorer, keep=["doc_id"])
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again, as digests."""
     path = public_tokenizers.path(TOKENIZER)
@@ -170,6 +187,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op7_fingerprints": op7_fingerprints,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_bpe": op9_bpe,
     "op10_substring_dedup": op10_substring_dedup,
 }
