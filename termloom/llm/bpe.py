@@ -37,6 +37,8 @@ LONG_CHARS = 1 << 16
 PIECE_CHARS = 1 << 12
 #: Words kept by a task; beyond that it forgets them and starts anew.
 CACHED_WORDS = 200_000
+#: Words that the library encodes at a time; what it returns for each takes about a kilobyte.
+ENCODED_WORDS = 2_000
 WINDOW = 4
 
 
@@ -61,7 +63,7 @@ class Encoder:
         self.whole.no_padding()
         #: The same merges without a mark at the end, for pieces that do not end a word.
         self.open_model = BPE(vocab=model["vocab"], merges=merges)
-        self.names = {i: name for name, i in self.whole.get_vocab(with_added_tokens=True).items()}
+        self.names = names(path)
         added = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self.known: dict[bytes, bytes] = {}
@@ -74,8 +76,10 @@ class Encoder:
         if len(known) + len(new) > CACHED_WORDS:
             known.clear()
             new = list({word for words in cut for word in words})
-        coded = self.whole.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        known.update((word, pack(code.ids)) for word, code in zip(new, coded, strict=True))
+        for at in range(0, len(new), ENCODED_WORDS):
+            some = new[at : at + ENCODED_WORDS]
+            coded = self.whole.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
+            known.update((word, pack(code.ids)) for word, code in zip(some, coded, strict=True))
         return [b"".join([known[word] for word in words]) for words in cut]
 
     def pieces(self, text: str) -> Iterator[tuple[int, str, str]]:
@@ -147,6 +151,23 @@ def _halved(text: str, ends: bool) -> Iterator[tuple[str, bool]]:
         yield from _halved(text[middle:], ends)
 
 
+@cache
+def names(path: str) -> dict[int, str]:
+    """Tokens by id, added ones included."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    return {i: name for name, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+
+
+@cache
+def decoding_tokenizer(path: str) -> Tokenizer | None:
+    """None where decoding is no more than names with spaces between them."""
+    with open(path, encoding="utf-8") as file:
+        if json.load(file).get("decoder") is None:
+            return None
+    return Tokenizer.from_file(path)
+
+
 @cache
 def encoder(path: str) -> Encoder:
     """One per worker process."""
@@ -223,12 +244,12 @@ def decode(coded: DataFrame, path: str, keep: list[str] | None = None) -> DataFr
     """
 
     def make(part: pa.RecordBatch) -> dict[str, pa.Array]:
-        own = encoder(path)
+        tokenizer, known = decoding_tokenizer(path), names(path)
         rows = [np.frombuffer(ids, "<u4").tolist() for ids in filled(part.column("ids")).to_pylist()]
-        if own.whole.decoder is None:  # names with spaces between them
-            texts = [" ".join([own.names[i] for i in ids if i in own.names]) for ids in rows]
+        if tokenizer is None:
+            texts = [" ".join([known[i] for i in ids if i in known]) for ids in rows]
         else:
-            texts = own.whole.decode_batch(rows, skip_special_tokens=False)
+            texts = tokenizer.decode_batch(rows, skip_special_tokens=False)
         return {"decoded": pa.array(texts, pa.string())}
 
     return add_columns(coded, make, "decoded string", "ids", keep)
