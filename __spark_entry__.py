@@ -4,31 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions import pages as page_fields
 from termloom.functions.codec import join_positions
-from termloom.operators.browse import get_documents, snippets, term_documents
-from termloom.operators.documents import build_documents, document_metadata
+from termloom.operators.browse import get_documents, snippets, term_documents, text_snippets
+from termloom.operators.documents import build_documents, document_metadata, sorted_by_id
 from termloom.operators.lists import decode_lists, encode_lists, posting_lists
-from termloom.operators.postings import build_postings, prune_postings, scan_postings, term_stats
-from termloom.operators.search import (
-    corpus_size,
-    result_page,
-    search,
-    tf_idf_scores,
+from termloom.operators.postings import (
+    build_postings,
+    prune_postings,
+    scan_postings,
+    sorted_by_term,
+    term_stats,
 )
+from termloom.operators.search import corpus_size, literal_terms, result_page, search, tf_idf_scores
 from termloom.operators.stopwords import drop_common_terms, drop_listed_terms
-from termloom.operators.tokens import (
-    spread,
-    tokenize,
-    tokenize_positions,
-    tokenize_positions_windowed,
-)
+from termloom.operators.tokens import tokenize, tokenize_positions, tokenize_positions_in_pieces
+from termloom.plans.index_tables import IndexTables, open_index, write_index
 from termloom.operators.wordcount import word_count, words
 from termloom.session import scratch_path
-from termloom.sources.text_files import line_locator, read_lists, write_lists
+from termloom.sources.text_files import (
+    read_lists,
+    read_metadata,
+    read_skip_patterns,
+    write_lists,
+    write_metadata,
+)
 from termloom.sources.xml_pages import read_chunks, read_page_offsets, read_pages
 
 try:
@@ -52,6 +55,10 @@ SKIP_PATTERNS = [r"\.", ",", "!", "to"]
 CAPS = {"max_term_length": 8, "max_postings": 50}
 STOP_WORDS = ["the", "and", "of", "de", "la", "der", "und", "que"]
 COMMON_RATIO = 0.3
+# Ids are scattered over 97 blocks of this many, far from each other within each.
+SPARSE_BLOCK = 1 << 50
+SPARSE_STEP = 7_919
+INDEX_CAPS = {"max_term_length": 8, "max_postings": 50}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,20 +72,13 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, text)`` of every document, over all cores though the table is one file."""
-    return spread(_table(spark, sf_dir, "documents"))
+    return _table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def _postings(spark: SparkSession, sf_dir: str, positions: bool = True) -> DataFrame:
     return build_postings(_texts(spark, sf_dir), positions)
 
 
-def _lists(spark: SparkSession, sf_dir: str, make, postings: DataFrame, *args, **options) -> DataFrame:
-    """One line per term: no list is longer than the number of documents, read from the footers."""
-    bound = _table(spark, sf_dir, "documents").count()
-    return make(postings, *args, max_df=bound, **options).select("term", "df", "posting_list")
-
-
 def _scored(results: DataFrame) -> DataFrame:
     return results.withColumn("score", F.round("score", 6))
 
@@ -120,7 +120,7 @@ def query_tokenize_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_tokenize_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokenize_positions_windowed(_docs(spark, sf_dir))
+    return tokenize_positions_in_pieces(_texts(spark, sf_dir))
 
 
 def term_doc_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,47 +139,66 @@ def positional_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     postings = _postings(spark, sf_dir, positions=False)
-    return _lists(spark, sf_dir, posting_lists, postings, "id", positions=False)
+    return posting_lists(postings, "id", positions=False)
 
 
 def index_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lists(spark, sf_dir, posting_lists, _postings(spark, sf_dir), "id")
+    return posting_lists(_postings(spark, sf_dir), "id")
 
 
 def index_by_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lists(spark, sf_dir, posting_lists, _postings(spark, sf_dir), "tf")
+    return posting_lists(_postings(spark, sf_dir), "tf")
 
 
 def index_by_tf_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lists(spark, sf_dir, posting_lists, _postings(spark, sf_dir), "tf_id")
+    return posting_lists(_postings(spark, sf_dir), "tf_id")
 
 
 def lossless_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lists(spark, sf_dir, encode_lists, _postings(spark, sf_dir), "tf_id")
+    return encode_lists(_postings(spark, sf_dir), "tf_id")
 
 
 def lossless_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lists(spark, sf_dir, encode_lists, _postings(spark, sf_dir), "id")
+    return encode_lists(_postings(spark, sf_dir), "id")
 
 
 def lossy_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
     postings = prune_postings(_postings(spark, sf_dir), **CAPS)
-    return _lists(spark, sf_dir, encode_lists, postings, "tf_id")
+    return encode_lists(postings, "tf_id")
 
 
 def pruned_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prune_postings(_postings(spark, sf_dir, positions=False), **CAPS)
 
 
+def _small_segments(postings: DataFrame, order: str) -> DataFrame:
+    """A new line starts past 100 postings, at a block of 64 ids."""
+    return posting_lists(postings, order, positions=False, segment_rows=100, block_bits=6)
+
+
 def segmented_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hot terms over several lines: a new line starts past 100 postings, at a block of 64 ids."""
-    postings = _postings(spark, sf_dir, positions=False)
-    lists = posting_lists(postings, "id", positions=False, segment_rows=100, block_bits=6)
-    return lists
+    return _small_segments(_postings(spark, sf_dir, positions=False), "id")
+
+
+def segmented_lists_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _small_segments(_postings(spark, sf_dir, positions=False), "tf_id")
+
+
+def _sparse(postings: DataFrame) -> DataFrame:
+    """The postings under ids that are far from each other."""
+    return postings.withColumn("doc_id", F.pmod(F.col("doc_id") * F.lit(SPARSE_STEP), F.lit(97)) * F.lit(SPARSE_BLOCK) + F.col("doc_id") * F.lit(SPARSE_STEP))
+
+
+def sparse_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _small_segments(_sparse(_postings(spark, sf_dir, positions=False)), "id")
+
+
+def sparse_lists_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _small_segments(_sparse(_postings(spark, sf_dir, positions=False)), "tf_id")
 
 
 def _decoded(spark: SparkSession, sf_dir: str, order: str) -> DataFrame:
-    lists = _lists(spark, sf_dir, encode_lists, _postings(spark, sf_dir), order)
+    lists = encode_lists(_postings(spark, sf_dir), order)
     return decode_lists(lists, order).select(
         "term", "doc_id", "tf", join_positions(F.col("positions")).alias("positions")
     )
@@ -194,7 +213,8 @@ def decode_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _search(spark: SparkSession, sf_dir: str, queries, mode: str, start=0, amount=10, caps=None) -> DataFrame:
-    postings = scan_postings(_texts(spark, sf_dir))
+    terms = literal_terms([queries]) if isinstance(queries, str) else None
+    postings = scan_postings(_texts(spark, sf_dir), terms)
     if caps:
         postings = prune_postings(postings, **caps)
     return _scored(search(postings, queries, mode, start, amount, _docs(spark, sf_dir)))
@@ -224,6 +244,76 @@ def search_batch_and(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _search(spark, sf_dir, _batch(spark, sf_dir), "and")
 
 
+def search_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries without letters and with unknown terms have no rows."""
+    postings = scan_postings(_texts(spark, sf_dir))
+    return _scored(search(postings, ["", "12 !", "zzzzqqqq"], "or", documents=_docs(spark, sf_dir)))
+
+
+def _stored_index(spark: SparkSession, sf_dir: str) -> IndexTables:
+    """The documents' index, written to the shared folder and opened again."""
+    path = scratch_path(spark, "index")
+    write_index(spark, _docs(spark, sf_dir), path, **INDEX_CAPS)
+    return open_index(spark, path)
+
+
+def stored_search_or(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(_stored_index(spark, sf_dir).search(QUERY, "or"))
+
+
+def stored_search_and(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(_stored_index(spark, sf_dir).search(QUERY, "and"))
+
+
+def stored_search_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(_stored_index(spark, sf_dir).search(QUERY, "or", pruned=True))
+
+
+def stored_term_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_index(spark, sf_dir).term_documents(TERM, "tf", 5, 10)
+
+
+def stored_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_index(spark, sf_dir).snippets(SNIPPET_TERMS, DOCUMENT_IDS, width=20)
+
+
+def search_exported_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists written as text, read, decoded and searched."""
+    path = scratch_path(spark, "lists")
+    write_lists(lossless_id(spark, sf_dir), path)
+    wanted = read_lists(spark, path).filter(F.col("term").isin(literal_terms([QUERY])))
+    postings = decode_lists(wanted, "id", positions=False)
+    return _scored(search(postings, QUERY, "and", documents=_docs(spark, sf_dir)))
+
+
+def sorted_index_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of both sorted tables: rows, and partitions whose rows are out of order or overlap the next."""
+    documents = sorted_by_id(_texts(spark, sf_dir), 5)
+    postings = sorted_by_term(_postings(spark, sf_dir, positions=False), 5)
+    counts = []
+    for name, table, key in (
+        ("documents", documents, F.struct("doc_id")),
+        ("postings", postings, F.struct("term", "doc_id")),
+    ):
+        placed = table.select(key.alias("key"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
+        parts = placed.groupBy("part").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("key").alias("low"),
+            F.max("key").alias("high"),
+            (F.min_by("key", "at") == F.min("key")).alias("begins"),
+            (F.max_by("key", "at") == F.max("key")).alias("ends"),
+        )
+        after = parts.select((F.col("part") - 1).alias("part"), F.col("low").alias("next_low"))
+        joined = parts.join(after, "part", "left")
+        wrong = ~F.col("begins") | ~F.col("ends") | F.coalesce(F.col("high") >= F.col("next_low"), F.lit(False))
+        counts.append(
+            joined.agg(F.sum("n").alias("n_rows"), F.sum(wrong.cast("bigint")).alias("out_of_order")).select(
+                F.lit(name).alias("table_name"), "n_rows", "out_of_order"
+            )
+        )
+    return counts[0].unionByName(counts[1])
+
+
 def document_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return get_documents(_docs(spark, sf_dir), DOCUMENT_IDS)
 
@@ -239,6 +329,10 @@ def term_documents_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_snippets(_texts(spark, sf_dir), SNIPPET_TERMS, width=20)
+
+
+def snippets_of_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = _postings(spark, sf_dir).filter(F.col("term").isin(SNIPPET_TERMS))
     return snippets(hits, _docs(spark, sf_dir), width=20)
 
@@ -257,11 +351,26 @@ def input_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.agg(F.count(F.lit(1)).alias("input_words"))
 
 
+def word_count_skip_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skip patterns from a file, which holds the two-letter words of the benchmark."""
+    path = scratch_path(spark, "patterns")
+    found = _table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("value"))
+    found.filter(F.col("value").rlike("^[a-z]{2}$")).write.text(path)
+    lines = _table(spark, sf_dir, "conversations")
+    return word_count(lines, False, read_skip_patterns(spark, path), column="text")
+
+
+def observed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counter that a word count fills while it runs."""
+    seen = Observation()
+    counted = word_count(_table(spark, sf_dir, "conversations"), False, SKIP_PATTERNS, column="text", counter=seen)
+    counted.write.format("noop").mode("overwrite").save()
+    return spark.range(1).select(F.lit(seen.get["input_words"]).cast("bigint").alias("input_words"))
+
+
 def _written_dump(spark: SparkSession, sf_dir: str) -> str:
     """The documents table written out as page markup, in the shared folder."""
-    text = F.col("text")
-    for plain, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-        text = F.replace(text, F.lit(plain), F.lit(escaped))
+    text = _escaped(F.col("text"))
     named = F.concat(F.lit("<username>"), F.col("source"), F.lit("</username><id>"), F.col("n_chars"), F.lit("</id>"))
     # Every seventh edit is anonymous, every eleventh page has no contributor.
     who = F.when(F.col("doc_id") % 7 == 0, F.lit("<ip>10.0.0.1</ip>")).otherwise(named)
@@ -284,47 +393,64 @@ def xml_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_documents(pages).select("doc_id", "title", "ts", "text")
 
 
-def xml_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metadata = document_metadata(read_chunks(spark, _written_dump(spark, sf_dir)))
-    return metadata.drop("text_start")
+def _escaped(text: Column) -> Column:
+    for plain, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(plain), F.lit(escaped))
+    return text
 
 
-def query_line_locator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "lists")
-    write_lists(lossless_id(spark, sf_dir), path)
-    return line_locator(spark, path)
+def xml_without_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose id is missing or not a number have no document; the tags are in capitals."""
+    case = F.col("doc_id") % 5
+    marked = F.concat(F.lit("<ID>"), F.when(case == 1, "n").otherwise(""), F.col("doc_id"), F.lit("</ID>"))
+    page = F.concat(
+        F.lit("<page>\n<TITLE>Page "), F.col("doc_id"), F.lit("</TITLE>\n"), F.when(case == 0, "").otherwise(marked),
+        F.lit('<TEXT xml:space="preserve">'), _escaped(F.col("text")), F.lit("</TEXT>\n</page>"),
+    )
+    pages = _table(spark, sf_dir, "documents").select(page.alias("page"))
+    return build_documents(pages).select("doc_id", "title", "text")
 
 
-def line_locator_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where the last line of every file ends, summed: the size of the whole export."""
-    path = scratch_path(spark, "lists")
-    write_lists(inverted_index(spark, sf_dir), path)
-    lines = read_lists(spark, path).select(
-        F.col("term").alias("key"),
-        (F.octet_length("term") + F.octet_length("posting_list") + 2).alias("n_bytes"),
-    )
-    ends = (
-        line_locator(spark, path)
-        .join(lines, "key")
-        .groupBy("file_name")
-        .agg(
-            F.count(F.lit(1)).alias("n_keys"),
-            F.max(F.col("byte_offset") + F.col("n_bytes")).alias("file_bytes"),
-        )
-    )
-    return ends.agg(F.sum("n_keys").alias("n_keys"), F.sum("file_bytes").alias("total_bytes"))
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """Files of a folder as they are."""
+    name = F.element_at(F.split("path", "/"), -1).alias("file_name")
+    return spark.read.format("binaryFile").load(path).select(name, "content")
+
+
+def _bytes_at(placed: DataFrame, files: DataFrame, start: str, size: str, kept: list[str], digest: str) -> DataFrame:
+    """The kept columns and the digest of the bytes of the file at each place; a file is looked through once."""
+    places = placed.groupBy("file_name").agg(F.collect_list(F.struct(*dict.fromkeys([*kept, start, size]))).alias("places"))
+
+    def read(place: Column) -> Column:
+        there = F.substring("content", (place[start] + 1).cast("int"), place[size].cast("int"))
+        return F.struct(*[place[c].alias(c) for c in kept], F.sha2(there, 256).alias(digest))
+
+    return places.join(files, "file_name").select(F.inline(F.transform("places", read)))
+
+
+def xml_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata of the written dump, with the digest of the bytes that stand at ``text_start``."""
+    path = _written_dump(spark, sf_dir)
+    metadata = document_metadata(read_chunks(spark, path), keep_file=True)
+    kept = ["doc_id", "title", "contributor_name", "contributor_id", "ts", "text_len"]
+    return _bytes_at(metadata, _files(spark, path), "text_start", "text_bytes", kept, "text_sha256")
+
+
+def metadata_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata written as text lines and read back, bad lines apart."""
+    path = scratch_path(spark, "metadata")
+    write_metadata(document_metadata(read_chunks(spark, _written_dump(spark, sf_dir))), path)
+    bad = _table(spark, sf_dir, "region").select(F.concat(F.col("r_regionkey"), F.lit("\ta,b")).alias("value"))
+    bad.coalesce(1).write.mode("append").text(path)
+    # A rejected line has no numbers.
+    return read_metadata(spark, path).drop("text_start").na.fill(-1, ["doc_id", "text_len"])
 
 
 def xml_page_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of the written dump, their bytes, and where the last page of every file ends, summed."""
-    offsets = read_page_offsets(spark, _written_dump(spark, sf_dir))
-    ends = offsets.groupBy("file_name").agg(
-        F.count(F.lit(1)).alias("n_pages"),
-        F.sum("page_bytes").alias("page_bytes"),
-        # A line break follows the last page.
-        (F.max(F.col("byte_offset") + F.col("page_bytes")) + 1).alias("file_bytes"),
-    )
-    return ends.agg(*[F.sum(c).alias(c) for c in ("n_pages", "page_bytes", "file_bytes")])
+    """Every page of the written dump by the bytes that stand at its offset."""
+    path = _written_dump(spark, sf_dir)
+    offsets = read_page_offsets(spark, path)
+    return _bytes_at(offsets, _files(spark, path), "byte_offset", "page_bytes", ["page_bytes"], "page_sha256")
 
 
 def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,7 +498,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "term_df": term_df,
         "positional_postings": positional_postings,
         "inverted_index": inverted_index,
-        "positional_index": index_by_id,
         "index_by_id": index_by_id,
         "index_by_tf": index_by_tf,
         "index_by_tf_id": index_by_tf_id,
@@ -381,26 +506,40 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lossy_tf": lossy_tf,
         "pruned_postings": pruned_postings,
         "segmented_lists": segmented_lists,
+        "segmented_lists_tf": segmented_lists_tf,
+        "sparse_lists": sparse_lists,
+        "sparse_lists_tf": sparse_lists_tf,
         "decode_id": decode_id,
         "decode_tf": decode_tf,
         "search_or": search_or,
         "search_or_pruned": search_or_pruned,
         "search_and": search_and,
         "search_page2": search_page2,
+        "search_nothing": search_nothing,
+        "search_exported_lists": search_exported_lists,
+        "stored_search_or": stored_search_or,
+        "stored_search_and": stored_search_and,
+        "stored_search_pruned": stored_search_pruned,
+        "stored_term_documents": stored_term_documents,
+        "stored_snippets": stored_snippets,
+        "sorted_index_order": sorted_index_order,
         "search_batch": search_batch,
         "search_batch_and": search_batch_and,
         "document_lookup": document_lookup,
         "term_documents_tf": term_documents_tf,
         "term_documents_id": term_documents_id,
         "snippets": query_snippets,
+        "snippets_of_hits": snippets_of_hits,
         "word_count": query_word_count,
         "word_count_skip": word_count_skip,
+        "word_count_skip_file": word_count_skip_file,
         "input_words": input_words,
+        "observed_words": observed_words,
         "xml_roundtrip": xml_roundtrip,
+        "xml_without_ids": xml_without_ids,
         "xml_metadata": xml_metadata,
+        "metadata_lines": metadata_lines,
         "xml_page_offsets": xml_page_offsets,
-        "line_locator": query_line_locator,
-        "line_locator_bytes": line_locator_bytes,
         "tf_idf": tf_idf,
         "corpus_size": query_corpus_size,
         "stop_words": stop_words,
@@ -434,7 +573,7 @@ post AS (SELECT term, doc_id, count(*)::BIGINT AS tf,
 def _list_sql(source: str, ctes: str, by_tf: bool, fields: str) -> str:
     order = "tf DESC, doc_id" if by_tf else "doc_id"
     return f"""WITH {ctes}
-SELECT term, count(*)::BIGINT AS df,
+SELECT term, 0::BIGINT AS segment, count(*)::BIGINT AS df,
        count(*) || ';' || string_agg({fields}, ';' ORDER BY {order}) || ';' AS posting_list
 FROM {source} GROUP BY term"""
 
@@ -445,6 +584,23 @@ coded AS (SELECT *, doc_id - lag(doc_id, 1, 0) OVER (PARTITION BY term ORDER BY
 _DELTA_RUN = """
 coded AS (SELECT *, doc_id - lag(doc_id, 1, 0) OVER (PARTITION BY term, tf ORDER BY doc_id) AS id_gap FROM {0})"""
 
+_SPARSE_ID = f"(doc_id * {SPARSE_STEP} % 97) * {SPARSE_BLOCK} + doc_id * {SPARSE_STEP}"
+
+
+def _segment_sql(doc_id: str, by_tf: bool) -> str:
+    """Lines begin at the first block of 64 ids before which a hundred postings stand."""
+    run, order = (", tf", "tf DESC, ") if by_tf else ("", "")
+    return f"""WITH {_TF},
+p AS (SELECT term, {doc_id} AS doc_id, tf FROM tf),
+blocks AS (SELECT term{run}, doc_id >> 6 AS block, count(*) AS n FROM p GROUP BY ALL),
+cuts AS (SELECT term{run}, block, (coalesce(sum(n) OVER (PARTITION BY term ORDER BY {order}block
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 100)::BIGINT AS segment FROM blocks),
+all_of AS (SELECT term, count(*)::BIGINT AS df FROM p GROUP BY term)
+SELECT term, segment, df, df || ';' || string_agg(doc_id || '-' || tf, ';' ORDER BY {order}doc_id) || ';' AS posting_list
+FROM (SELECT *, doc_id >> 6 AS block FROM p) JOIN cuts USING (term{run}, block) JOIN all_of USING (term)
+GROUP BY term, segment, df"""
+
+
 _PLAIN = "doc_id || '-' || tf || '-' || positions"
 _CODED = "id_gap || '-' || tf || '-' || gaps"
 
@@ -491,7 +647,7 @@ def _term_page_sql(order: str) -> str:
     return f"""WITH {_TF},
 ranked AS (SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS n FROM tf WHERE term = '{TERM}')
 SELECT n::INTEGER AS number, doc_id, tf, lower(source) AS title
-FROM ranked JOIN documents USING (doc_id) WHERE n >= 5 AND n < 15"""
+FROM ranked LEFT JOIN documents USING (doc_id) WHERE n >= 5 AND n < 15"""
 
 
 _BODY_INDEX = """SELECT page_id, body FROM (
@@ -517,6 +673,15 @@ _PAGE = f"""'<page>' || chr(10) || '    <title>Page ' || lang || ' ' || doc_id |
             ELSE '<username>' || source || '</username><id>' || n_chars || '</id>' END || '</contributor>' END
     || '<text xml:space=' || chr(10) || '"preserve">' || {_ESCAPED} || '</text></revision>' || chr(10)
     || '  </page>'"""
+_METADATA = f"""doc_id, 'page ' || lower(lang) || ' ' || doc_id AS title,
+    CASE WHEN doc_id % 7 = 0 THEN '' ELSE lower(source) END AS contributor_name,
+    CASE WHEN doc_id % 7 = 0 THEN '' ELSE n_chars::VARCHAR END AS contributor_id,
+    '2019-11-01t00:00:00z' AS ts, length({_ESCAPED})::BIGINT AS text_len"""
+_WITH_METADATA = "FROM documents WHERE length(text) > 0 AND doc_id % 11 <> 0"
+_LOOKED_UP = ", ".join(str(i) for i in DOCUMENT_IDS)
+_SNIPPETS = f"""WITH {_POSITIONS} SELECT doc_id, term, position,
+    substr(text, position + 1, 20) AS snippet FROM pos JOIN documents USING (doc_id)
+    WHERE term IN ({", ".join(f"'{t}'" for t in SNIPPET_TERMS)})"""
 _STOP_LIST = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 
@@ -541,7 +706,6 @@ def oracle_sql() -> dict[str, str]:
             max(tf)::BIGINT AS max_tf FROM tf GROUP BY term""",
         "positional_postings": decoded,
         "inverted_index": _list_sql("tf", _TF, False, "doc_id || '-' || tf"),
-        "positional_index": by_id,
         "index_by_id": by_id,
         "index_by_tf": by_tf,
         "index_by_tf_id": by_tf,
@@ -551,13 +715,10 @@ def oracle_sql() -> dict[str, str]:
             "coded", f"{_POSTINGS},{pruned_post},{_DELTA_RUN.format('pruned')}", True, _CODED
         ),
         "pruned_postings": f"WITH {_TF},{pruned_tf} SELECT term, doc_id, tf FROM pruned",
-        "segmented_lists": f"""WITH {_TF},
-blocks AS (SELECT term, doc_id // 64 AS block, count(*) AS n FROM tf GROUP BY ALL),
-cuts AS (SELECT term, block, (coalesce(sum(n) OVER (PARTITION BY term ORDER BY block
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 100)::BIGINT AS segment FROM blocks)
-SELECT term, segment, count(*)::BIGINT AS df,
-       count(*) || ';' || string_agg(doc_id || '-' || tf, ';' ORDER BY doc_id) || ';' AS posting_list
-FROM (SELECT *, doc_id // 64 AS block FROM tf) JOIN cuts USING (term, block) GROUP BY term, segment""",
+        "segmented_lists": _segment_sql("doc_id", False),
+        "segmented_lists_tf": _segment_sql("doc_id", True),
+        "sparse_lists": _segment_sql(_SPARSE_ID, False),
+        "sparse_lists_tf": _segment_sql(_SPARSE_ID, True),
         "decode_id": decoded,
         "decode_tf": decoded,
         "search_or": _page_sql(f"{_TF},{_ONE_QUERY},{_OR.format('tf')}"),
@@ -567,12 +728,10 @@ FROM (SELECT *, doc_id // 64 AS block FROM tf) JOIN cuts USING (term, block) GRO
         "search_batch": _page_sql(f"{_TF},{_BATCH},{_OR.format('tf')}"),
         "search_batch_and": _page_sql(f"{_TF},{_BATCH},{_AND.format('tf')}"),
         "document_lookup": f"""SELECT doc_id, text, lower(source) AS title FROM documents
-            WHERE doc_id IN ({", ".join(str(i) for i in DOCUMENT_IDS)})""",
+            WHERE doc_id IN ({_LOOKED_UP})""",
         "term_documents_tf": _term_page_sql("tf DESC, doc_id"),
         "term_documents_id": _term_page_sql("doc_id"),
-        "snippets": f"""WITH {_POSITIONS} SELECT doc_id, term, position,
-            substr(text, position + 1, 20) AS snippet FROM pos JOIN documents USING (doc_id)
-            WHERE term IN ({", ".join(f"'{t}'" for t in SNIPPET_TERMS)})""",
+        "snippets": _SNIPPETS,
         "word_count": r"""SELECT word, count(*)::BIGINT AS n FROM (
             SELECT unnest(regexp_split_to_array(text, '[ \t\n\r\f]+')) AS word FROM documents)
             WHERE word <> '' GROUP BY word""",
@@ -580,16 +739,36 @@ FROM (SELECT *, doc_id // 64 AS block FROM tf) JOIN cuts USING (term, block) GRO
         "input_words": f"SELECT count(*)::BIGINT AS input_words FROM {_SKIP_WORDS}",
         "xml_roundtrip": f"""SELECT doc_id, 'page ' || lower(lang) || ' ' || doc_id AS title,
             '2019-11-01t00:00:00z' AS ts, {_ESCAPED} AS text FROM documents WHERE length(text) > 0""",
-        "xml_metadata": f"""SELECT doc_id, 'page ' || lower(lang) || ' ' || doc_id AS title,
-            CASE WHEN doc_id % 7 = 0 THEN '' ELSE lower(source) END AS contributor_name,
-            CASE WHEN doc_id % 7 = 0 THEN '' ELSE n_chars::VARCHAR END AS contributor_id,
-            '2019-11-01t00:00:00z' AS ts, length({_ESCAPED})::BIGINT AS text_len
-            FROM documents WHERE length(text) > 0 AND doc_id % 11 <> 0""",
-        "xml_page_offsets": f"""SELECT count(*)::BIGINT AS n_pages, sum(n)::BIGINT AS page_bytes,
-            sum(n + 3)::BIGINT AS file_bytes FROM (SELECT octet_length(encode({_PAGE})) AS n FROM documents)""",
-        "line_locator_bytes": f"""SELECT count(*)::BIGINT AS n_keys,
-            sum(octet_length(encode(term || posting_list)) + 2)::BIGINT AS total_bytes
-            FROM ({_list_sql("tf", _TF, False, "doc_id || '-' || tf")})""",
+        "xml_without_ids": f"""SELECT doc_id, 'page ' || doc_id AS title, {_ESCAPED} AS text
+            FROM documents WHERE length(text) > 0 AND doc_id % 5 NOT IN (0, 1)""",
+        "xml_metadata": f"SELECT {_METADATA}, sha256({_ESCAPED}) AS text_sha256 {_WITH_METADATA}",
+        "metadata_lines": f"""SELECT {_METADATA}, NULL::VARCHAR AS rejected {_WITH_METADATA}
+            UNION ALL SELECT -1, NULL, NULL, NULL, NULL, -1, r_regionkey || chr(9) || 'a,b' FROM region""",
+        "xml_page_offsets": f"""SELECT octet_length(encode(page))::BIGINT AS page_bytes, sha256(page) AS page_sha256
+            FROM (SELECT {_PAGE} AS page FROM documents)""",
+        "search_nothing": _page_sql(f"{_TF},{_ONE_QUERY},{_OR.format('tf')}") + " AND false",
+        "search_exported_lists": _page_sql(f"{_TF},{_ONE_QUERY},{_AND.format('tf')}"),
+        "stored_search_or": _page_sql(f"{_TF},{_ONE_QUERY},{_OR.format('tf')}"),
+        "stored_search_and": _page_sql(f"{_TF},{_ONE_QUERY},{_AND.format('tf')}"),
+        "stored_search_pruned": _page_sql(
+            f"{_TF},{_PRUNED.format('tf', **INDEX_CAPS)},{_ONE_QUERY},{_OR.format('pruned')}"
+        ),
+        "stored_term_documents": _term_page_sql("tf DESC, doc_id"),
+        "stored_snippets": f"{_SNIPPETS} AND doc_id IN ({_LOOKED_UP})",
+        "sorted_index_order": f"""WITH {_TF}
+            SELECT 'documents' AS table_name, count(*)::BIGINT AS n_rows, 0::BIGINT AS out_of_order FROM documents
+            UNION ALL SELECT 'postings', count(*)::BIGINT, 0::BIGINT FROM tf""",
+        "snippets_of_hits": _SNIPPETS,
+        "observed_words": f"SELECT count(*)::BIGINT AS input_words FROM {_SKIP_WORDS}",
+        "word_count_skip_file": """WITH RECURSIVE
+            found AS (SELECT DISTINCT p FROM (SELECT unnest(string_split(lower(text), ' ')) AS p FROM benchmark)
+                      WHERE regexp_full_match(p, '[a-z]{2}')),
+            listed AS (SELECT p, row_number() OVER (ORDER BY p) AS i FROM found),
+            cleaned AS (SELECT lower(text) AS line, 0::BIGINT AS i FROM conversations
+                        UNION ALL SELECT replace(line, p, ''), c.i + 1 FROM cleaned c JOIN listed l ON l.i = c.i + 1)
+            SELECT word, count(*)::BIGINT AS n FROM (
+                SELECT unnest(regexp_split_to_array(line, '[ \\t\\n\\r\\f]+')) AS word FROM cleaned
+                WHERE i = (SELECT count(*) FROM listed)) WHERE word <> '' GROUP BY word""",
         "tf_idf": _page_sql(f"{_TF},{_ONE_QUERY},{_TF_IDF}"),
         "corpus_size": "SELECT count(*)::BIGINT AS n_documents FROM documents",
         "stop_words": f"WITH {_TF} SELECT term, doc_id, tf FROM tf WHERE term NOT IN ({_STOP_LIST})",

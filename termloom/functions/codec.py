@@ -1,6 +1,6 @@
 """Column expressions for the text form of posting lists.
 
-A list is ``df;posting;posting;...;`` and a posting is ``id-tf-p1,p2,...`` (or
+A list is ``df;posting;posting;...;``, with the term's document count, and a posting is ``id-tf-p1,p2,...`` (or
 ``id-tf`` without positions). Positions are written as they are or as differences
 to the one before.
 """
@@ -10,6 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from termloom.functions.tokens import once
+
+# Running sums go over blocks of this many numbers, then over the sums of blocks.
+SUM_BLOCK = 64
+
 
 def position_deltas(positions: Column) -> Column:
     """First position, then the step from each position to the next."""
@@ -23,7 +28,7 @@ def join_positions(positions: Column) -> Column:
     return F.array_join(positions.cast("array<string>"), ",")
 
 
-def list_text(postings: Column, delta: str | None, with_positions: bool) -> Column:
+def list_text(postings: Column, df: Column, delta: str | None, with_positions: bool) -> Column:
     """Text of one ordered array of ``struct(neg_tf, doc_id, coded)``.
 
     ``delta`` is ``None`` for plain ids, ``"list"`` for differences along the whole
@@ -45,4 +50,30 @@ def list_text(postings: Column, delta: str | None, with_positions: bool) -> Colu
         return F.concat_ws("-", *fields)
 
     body = F.array_join(F.transform(postings, one), ";")
-    return F.concat(F.size(postings).cast("string"), F.lit(";"), body, F.lit(";"))
+    return F.concat(df.cast("string"), F.lit(";"), body, F.lit(";"))
+
+
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+
+def running_sums(numbers: Column) -> Column:
+    """Sums of a not empty BIGINT array up to each of its elements."""
+    last = F.floor((F.size(numbers) - 1) / SUM_BLOCK).cast("int")
+    blocks = F.transform(
+        F.sequence(F.lit(0), last), lambda b: F.slice(numbers, b * SUM_BLOCK + 1, F.lit(SUM_BLOCK))
+    )
+
+    def with_blocks(cut: Column) -> Column:
+        def with_sums(sums: Column) -> Column:
+            def along(block: Column, b: Column) -> Column:
+                return once(
+                    _total(F.slice(sums, F.lit(1), b)),
+                    lambda base: F.transform(block, lambda _, i: base + _total(F.slice(block, F.lit(1), i + 1))),
+                )
+
+            return F.flatten(F.transform(cut, along))
+
+        return once(F.transform(cut, _total), with_sums)
+
+    return once(blocks, with_blocks)

@@ -1,7 +1,7 @@
 """Column expressions that take fields out of one page's markup.
 
-Tags are looked up in the page as it was read, so that lower-casing can never
-shift an offset. Fields are lower-cased after extraction.
+Tags are looked up without regard to the case of A-Z, in the page as it was read, so
+that lower-casing can never shift an offset. Fields are lower-cased after extraction.
 """
 
 from __future__ import annotations
@@ -10,14 +10,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The markup of a page in a wiki export.
-ID_PATTERN = r"<id>(.*?)</id>"
-TITLE_PATTERN = r"<title>(.*?)</title>"
-USERNAME_PATTERN = r"<username>(.*?)</username>"
-TIMESTAMP_PATTERN = r"<timestamp>(.*?)</timestamp>"
+ID_PATTERN = r"(?i)<id>(.*?)</id>"
+TITLE_PATTERN = r"(?i)<title>(.*?)</title>"
+USERNAME_PATTERN = r"(?i)<username>(.*?)</username>"
+TIMESTAMP_PATTERN = r"(?i)<timestamp>(.*?)</timestamp>"
+BODY_PATTERN = r"(?i)<{tag}.*>([\s\S]*)</{tag}>"
 CONTRIBUTOR_OPEN = "<contributor>"
 CONTRIBUTOR_CLOSE = "</contributor>"
 
 
+def plain_case(page: Column) -> Column:
+    """A-Z as a-z; every character keeps its place."""
+    return F.translate(page, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def first_group(text: Column, pattern: str) -> Column:
     """Group 1 of the first match, or the empty string."""
     return F.regexp_extract(text, pattern, 1)
@@ -38,8 +44,8 @@ def page_timestamp(page: Column) -> Column:
 
 def contributor_block(page: Column) -> Column:
     """Text between the contributor tags; null when either tag is missing."""
-    opened = F.locate(CONTRIBUTOR_OPEN, page)
-    closed = F.locate(CONTRIBUTOR_CLOSE, page)
+    opened = F.locate(CONTRIBUTOR_OPEN, plain_case(page))
+    closed = F.locate(CONTRIBUTOR_CLOSE, plain_case(page))
     start = opened + F.lit(len(CONTRIBUTOR_OPEN))
     inner = F.substring(page, start, F.greatest(closed - start, F.lit(0)))
     return F.when((opened > 0) & (closed > 0), inner)
@@ -64,14 +70,14 @@ def body_start(page: Column, tag: str = "text") -> Column:
 
     The opening tag may span lines: the start is the first ``>`` after ``<tag``.
     """
-    opened = F.locate(f"<{tag}", page)
+    opened = F.locate(f"<{tag}", plain_case(page))
     bracket = _locate_from(">", page, opened)
     return F.when((opened > 0) & (bracket > 0), bracket + F.lit(1))
 
 
 def body_length(page: Column, tag: str = "text") -> Column:
     """Length in code points of the body, null when absent, empty or self-closing."""
-    closed = F.locate(f"</{tag}>", page)
+    closed = F.locate(f"</{tag}>", plain_case(page))
     size = closed - body_start(page, tag)
     return F.when((closed > 0) & (size > 0), size)
 
@@ -86,4 +92,4 @@ def body_by_regex(page: Column, tag: str = "text") -> Column:
 
     Null when nothing matches or the body is empty.
     """
-    return F.nullif(first_group(page, rf"<{tag}.*>([\s\S]*)</{tag}>"), F.lit(""))
+    return F.nullif(first_group(page, BODY_PATTERN.format(tag=tag)), F.lit(""))

@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 TERM_PATTERN = "[a-z]+"
 WORD_SEPARATORS = r"[ \t\n\r\f]+"
 
-# Every match takes all it can, so a long run without letters is read once. The
-# last match of a text is empty and is dropped by the caller.
-GAP_AND_TERM = "([^a-z]*+)([a-z]*+)"
-
 # Characters looked at together when positions are found.
 PIECE_LENGTH = 4096
 
@@ -24,20 +20,34 @@ def letter_runs(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM_PATTERN), F.lit(0))
 
 
-def gaps_and_terms(text: Column) -> Column:
-    """Array of ``struct(gap, term)``: each letter run with the characters before it."""
-    lowered = F.lower(text)
-    return F.arrays_zip(
-        F.regexp_extract_all(lowered, F.lit(GAP_AND_TERM), F.lit(1)).alias("gap"),
-        F.regexp_extract_all(lowered, F.lit(GAP_AND_TERM), F.lit(2)).alias("term"),
-    )
-
-
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed a single time per row, however often it is read."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def whole_term_pieces(text: Column) -> Column:
+    """The lower-cased text in pieces of about ``PIECE_LENGTH`` characters that divide no letter run."""
+    return F.regexp_extract_all(F.lower(text), F.lit(f"(?s).{{1,{PIECE_LENGTH}}}[a-z]*"), F.lit(0))
+
+
+def cutter(text: Column, use: Callable[[Callable[[Column, int], Column]], Column]) -> Column:
+    """``use(cut)``, where ``cut(position, width)`` takes characters from a position on.
+
+    The text is divided into pieces once; a cut looks at its piece and the next only.
+    """
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE_LENGTH}}}"), F.lit(0))
+
+    def with_pieces(parts: Column) -> Column:
+        def cut(position: Column, width: int) -> Column:
+            number = F.floor(position / PIECE_LENGTH).cast("int")
+            around = F.array_join(F.slice(parts, number + 1, F.lit(width // PIECE_LENGTH + 2)), "")
+            return F.substring(around, position % PIECE_LENGTH + 1, F.lit(width))
+
+        return use(cut)
+
+    return once(pieces, with_pieces)
+
+
 def _indexes(items: Column) -> Column:
     return F.when(F.size(items) > 0, F.sequence(F.lit(0), F.size(items) - 1)).otherwise(
         F.array().cast("array<int>")
@@ -69,7 +79,7 @@ def term_positions(text: Column) -> Column:
     return F.arrays_zip(letter_runs(text).alias("term"), term_starts(text).alias("position"))
 
 
-def _per_run(terms: Column, build: Callable[[Column, Column], Column]) -> Column:
+def per_run(terms: Column, build: Callable[[Column, Column], Column]) -> Column:
     """``build(first, length)`` for each stretch of equal values in a sorted array."""
     firsts = F.filter(
         _indexes(terms), lambda i: (i == 0) | (F.get(terms, i) != F.get(terms, i - 1))
@@ -84,18 +94,22 @@ def _per_run(terms: Column, build: Callable[[Column, Column], Column]) -> Column
     return once(firsts, runs)
 
 
-def counted_terms(text: Column) -> Column:
-    """Array of ``struct(term, tf)``, one for each distinct term of the text."""
+def counted_terms(text: Column, wanted: Iterable[str] | None = None) -> Column:
+    """Array of ``struct(term, tf)``, one for each distinct term of the text, or each wanted one."""
+    found = letter_runs(text)
+    if wanted is not None:
+        listed = sorted(set(wanted))
+        found = F.filter(found, lambda term: term.isin(listed) if listed else F.lit(False))
 
     def counts(words: Column) -> Column:
-        return _per_run(
+        return per_run(
             words,
             lambda first, length: F.struct(
                 F.get(words, first).alias("term"), length.cast("bigint").alias("tf")
             ),
         )
 
-    return once(F.sort_array(letter_runs(text)), counts)
+    return once(F.sort_array(found), counts)
 
 
 def placed_terms(text: Column) -> Column:
@@ -104,7 +118,7 @@ def placed_terms(text: Column) -> Column:
     def places(found: Column) -> Column:
         def with_terms(terms: Column) -> Column:
             def with_positions(positions: Column) -> Column:
-                return _per_run(
+                return per_run(
                     terms,
                     lambda first, length: F.struct(
                         F.get(terms, first).alias("term"),

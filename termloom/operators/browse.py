@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.functions.tokens import once
+from termloom.functions.tokens import cutter, term_positions
 
 
 def get_documents(documents: DataFrame, ids: Sequence[int]) -> DataFrame:
@@ -26,7 +26,8 @@ def term_documents(
     """One page of a term's documents, by falling frequency or by id.
 
     ``(number, doc_id, tf, <other document columns>)``, ``number`` counting from 0
-    over the whole list. Each task keeps its first ``start + amount`` rows only.
+    over the whole list. Each task keeps its first ``start + amount`` rows only. A document
+    without a row in ``documents`` keeps its place, with nulls.
     """
     by = [F.asc("doc_id")] if order == "id" else [F.desc("tf"), F.asc("doc_id")]
     page = (
@@ -40,9 +41,10 @@ def term_documents(
     numbered = page.withColumn(
         "number", (F.row_number().over(Window.orderBy(*by)) - 1 + start).cast("int")
     )
-    return numbered.join(documents, "doc_id").select(
-        "number", "doc_id", "tf", *[c for c in documents.columns if c != "doc_id"]
-    )
+    columns = [c for c in documents.columns if c != "doc_id"]
+    # Only the page's documents take part in the outer join.
+    shown = documents.join(page.select("doc_id"), "doc_id", "left_semi")
+    return numbered.join(shown, "doc_id", "left").select("number", "doc_id", "tf", *columns).orderBy("number")
 
 
 def snippets(hits: DataFrame, documents: DataFrame, width: int = 10) -> DataFrame:
@@ -56,17 +58,33 @@ def snippets(hits: DataFrame, documents: DataFrame, width: int = 10) -> DataFram
     )
     joined = per_document.join(documents.select("doc_id", "text"), "doc_id")
 
-    def cut(chars: Column) -> Column:
+    def cut_all(cut: Callable[[Column, int], Column]) -> Column:
         def around(hit: Column) -> Column:
             return F.transform(
                 hit["positions"],
                 lambda position: F.struct(
-                    hit["term"].alias("term"),
-                    position.alias("position"),
-                    F.array_join(F.slice(chars, position + 1, F.lit(width)), "").alias("snippet"),
+                    hit["term"].alias("term"), position.alias("position"), cut(position, width).alias("snippet")
                 ),
             )
 
         return F.flatten(F.transform("found", around))
 
-    return joined.select("doc_id", F.inline(once(F.split("text", ""), cut)))
+    return joined.select("doc_id", F.inline(cutter(F.col("text"), cut_all)))
+
+
+def text_snippets(documents: DataFrame, terms: Sequence[str], width: int = 10) -> DataFrame:
+    """The same rows for terms of documents without an index, cut in the row that holds the text."""
+    wanted = sorted({term.lower() for term in terms})
+
+    def cut_all(cut: Callable[[Column, int], Column]) -> Column:
+        hits = F.filter(term_positions(F.col("text")), lambda hit: hit["term"].isin(wanted))
+        return F.transform(
+            hits,
+            lambda hit: F.struct(
+                hit["term"].alias("term"),
+                hit["position"].alias("position"),
+                cut(hit["position"], width).alias("snippet"),
+            ),
+        )
+
+    return documents.select("doc_id", F.inline(cutter(F.col("text"), cut_all)))

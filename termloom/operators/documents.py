@@ -35,15 +35,16 @@ def build_documents(
     )
     kept = parsed.filter(F.col("doc_id").isNotNull() & (F.length("text") > 0))
     if dedupe:
-        others = [c for c in kept.columns if c != "doc_id"]
-        newest = kept.groupBy("doc_id").agg(
-            F.max_by(F.struct(*others), F.struct("ts", "title_raw", "text")).alias("row")
-        )
-        kept = newest.select("doc_id", *[F.col(f"row.{c}").alias(c) for c in others])
+        columns = kept.columns
+        marked = kept.withColumn("mark", F.struct("ts", F.xxhash64("title_raw", "text").alias("hash")))
+        # Narrow rows decide; of equal pages any one is kept.
+        newest = marked.groupBy("doc_id").agg(F.max("mark").alias("newest"))
+        won = marked.join(newest, "doc_id").filter("mark = newest")
+        kept = won.dropDuplicates(["doc_id"]).select(columns)
     return kept.withColumn("edited_at", F.try_to_timestamp(F.upper("ts")))
 
 
-def document_metadata(chunks: DataFrame, store: bool = False) -> DataFrame:
+def document_metadata(chunks: DataFrame, store: bool = False, keep_file: bool = False) -> DataFrame:
     """``(doc_id, title, contributor_name, contributor_id, ts, text_start, text_len)``.
 
     ``chunks`` come from :func:`termloom.sources.xml_pages.read_chunks`.
@@ -51,6 +52,7 @@ def document_metadata(chunks: DataFrame, store: bool = False) -> DataFrame:
     code points. Pages without a contributor block have no row. Only these narrow
     columns are shuffled to number the bytes, never the page text; with ``store``
     they are written to the shared folder, so that the dump itself is read once.
+    ``keep_file`` adds ``file_name`` and ``text_bytes``.
     """
     page = F.col("page")
     block = pages.contributor(page)
@@ -68,6 +70,7 @@ def document_metadata(chunks: DataFrame, store: bool = False) -> DataFrame:
         F.lower(pages.page_timestamp(page)).alias("ts"),
         (skipped + before_text).alias("into"),
         pages.body_length(page).alias("text_len"),
+        F.octet_length(pages.body_by_index(page)).cast("bigint").alias("text_bytes"),
     )
     placed = with_byte_offsets(staged(narrow, "pages") if store else narrow)
     kept = placed.filter(
@@ -83,9 +86,11 @@ def document_metadata(chunks: DataFrame, store: bool = False) -> DataFrame:
         "ts",
         (F.col("byte_offset") + F.col("into")).alias("text_start"),
         F.col("text_len").cast("bigint").alias("text_len"),
+        *(["file_name", "text_bytes"] if keep_file else []),
     )
 
 
-def sorted_by_id(documents: DataFrame) -> DataFrame:
+def sorted_by_id(documents: DataFrame, partitions: int | None = None) -> DataFrame:
     """Range-partitioned and sorted by id, so that id filters skip row groups."""
-    return documents.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    count = [partitions] if partitions else []
+    return documents.repartitionByRange(*count, "doc_id").sortWithinPartitions("doc_id")

@@ -2,40 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.functions.codec import join_positions, list_text, position_deltas
+from termloom.functions.codec import join_positions, list_text, position_deltas, running_sums
+from termloom.functions.tokens import once, per_run
 
 ORDERS = ("id", "tf", "tf_id")
 
-# A term with more postings than this is written as several lines.
+# Format of the lists, the same for every term and every size of data. A new line of a
+# list begins at the first block of ids before which SEGMENT_ROWS postings stand.
 SEGMENT_ROWS = 100_000
-# Postings of one term with ids in one block of this many stay in one line.
 BLOCK_BITS = 16
+# Counts of blocks are summed within ranges of this many blocks, then of ranges, and so on.
+RANGE_BITS = 16
+RANGE_LEVELS = 2
 
 
-def _with_segments(postings: DataFrame, by_tf: bool, segment_rows: int, block_bits: int) -> DataFrame:
-    """Number the lines a hot term is cut into; every other term has line 0 only.
+def _before(within: list[str], by: str) -> Column:
+    window = Window.partitionBy(*within).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("n").over(window), F.lit(0).cast("bigint"))
 
-    Postings are counted per block of ids, the counts are summed in list order, and
-    only the blocks past the first line are joined back. For data without hot terms
-    that table is empty.
+
+def _block_places(rows: DataFrame, lead: list[str]) -> DataFrame:
+    """``(*lead, block, before, df)``: postings of the term before each block, and in all.
+
+    Blocks are counted into ranges of blocks and ranges into ranges; sums run within
+    one range of each level, so that no task sums along a whole term, whether its ids
+    are dense or hashed.
     """
-    keys = ["term", "neg_tf", "block"] if by_tf else ["term", "block"]
-    blocked = postings.withColumn("block", F.shiftright("doc_id", block_bits))
-    counts = blocked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = (
-        Window.partitionBy("term").orderBy(*keys[1:]).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    overflow = (
-        counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .withColumn("segment", F.expr(f"_before div {int(segment_rows)}"))
-        .filter(F.col("segment") > 0)
-        .select(*keys, "segment")
-    )
-    joined = blocked.join(overflow, keys, "left")
-    return joined.withColumn("segment", F.coalesce("segment", F.lit(0).cast("bigint"))).drop("block")
+    levels = [rows.groupBy(*lead, "block").agg(F.count(F.lit(1)).alias("n"))]
+    for _ in range(RANGE_LEVELS):
+        outer = F.shiftright("block", RANGE_BITS).alias("block")
+        levels.append(levels[-1].groupBy(*lead, outer).agg(F.sum("n").alias("n")))
+    runs = levels[-1].groupBy(*lead).agg(F.sum("n").alias("n"))
+    if len(lead) > 1:  # one run per frequency
+        places = runs.select(
+            *lead,
+            _before(["term"], "neg_tf").alias("base"),
+            F.sum("n").over(Window.partitionBy("term")).alias("df"),
+        )
+    else:
+        places = runs.select("term", F.lit(0).cast("bigint").alias("base"), F.col("n").alias("df"))
+    joined = lead
+    for i in range(RANGE_LEVELS, -1, -1):
+        level = levels[i]
+        if i < RANGE_LEVELS:
+            level = level.withColumn("outer", F.shiftright("block", RANGE_BITS))
+            joined = [*lead, "outer"]
+            places = places.withColumnRenamed("block", "outer")
+        level = level.withColumn("inside", _before(joined, "block"))
+        places = level.join(places, joined).select(
+            *lead, "block", (F.col("base") + F.col("inside")).alias("base"), "df"
+        )
+    return places.withColumnRenamed("base", "before")
 
 
 def posting_lists(
@@ -45,44 +65,45 @@ def posting_lists(
     delta: bool = False,
     segment_rows: int = SEGMENT_ROWS,
     block_bits: int = BLOCK_BITS,
-    max_df: int | None = None,
 ) -> DataFrame:
-    """``(term, segment, df, posting_list)``, one text line per term.
+    """``(term, segment, df, posting_list)``, text lines in list order.
 
-    ``order`` is ``"id"`` (ascending id), or ``"tf"`` / ``"tf_id"`` (descending
-    frequency, ascending id; the first leaves ties open, so one order serves both).
-    With ``delta``, ids and positions are written as differences.
+    ``order`` is ``"id"`` (ascending id), ``"tf_id"`` (descending frequency, ascending
+    id) or ``"tf"``, which leaves ties open and is answered in the same way. With
+    ``delta``, ids and positions are written as differences. Ids can't be negative.
 
-    A list longer than ``segment_rows`` is cut between id blocks into numbered
-    lines that hold at most ``segment_rows`` plus one block, so no task ever holds
-    a hot term whole. ``df`` and the header count the postings in the line, and
-    differences start anew in each. Pass ``max_df``, a known bound such as the
-    number of documents, to skip the search for such terms when none can exist.
+    A list is cut between blocks of ids into lines of at most ``segment_rows`` postings
+    plus one block, numbered from 0; in each, differences start anew. ``df`` and the
+    number in front of each line count the term's documents over all of its lines.
+    Postings are shuffled by block, where the counts are taken too, and then by line.
     """
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}")
     by_tf = order != "id"
-    rows = postings.withColumn("neg_tf", -F.col("tf"))
     if positions:
-        coded = position_deltas(F.col("positions")) if delta else F.col("positions")
-        rows = rows.withColumn("coded", join_positions(coded))
+        coded = join_positions(position_deltas(F.col("positions")) if delta else F.col("positions"))
     else:
-        rows = rows.withColumn("coded", F.lit(""))
-    rows = rows.select("term", "doc_id", "neg_tf", "coded")
-    if max_df is not None and max_df <= segment_rows:
-        rows = rows.withColumn("segment", F.lit(0).cast("bigint"))
-    else:
-        rows = _with_segments(rows, by_tf, segment_rows, block_bits)
+        coded = F.lit("")
+    checked = F.when(
+        F.col("doc_id") < 0, F.raise_error(F.lit("posting lists can't hold a negative doc_id")).cast("bigint")
+    ).otherwise(F.col("doc_id"))
+    rows = postings.select("term", checked.alias("doc_id"), (-F.col("tf")).alias("neg_tf"), coded.alias("coded"))
+    lead = ["term", "neg_tf"] if by_tf else ["term"]
+    keys = [*lead, "block"]
+    # The counts and the join below both read this exchange.
+    rows = rows.withColumn("block", F.shiftright("doc_id", block_bits)).repartition(*keys)
+    placed = rows.join(_block_places(rows, lead), keys)
+    placed = placed.withColumn("segment", F.expr(f"before div {int(segment_rows)}"))
     sort_key = ["neg_tf", "doc_id"] if by_tf else ["doc_id", "neg_tf"]
-    grouped = rows.groupBy("term", "segment").agg(
-        F.sort_array(F.collect_list(F.struct(*sort_key, "coded"))).alias("entries")
+    grouped = placed.groupBy("term", "segment").agg(
+        F.first("df").alias("df"), F.sort_array(F.collect_list(F.struct(*sort_key, "coded"))).alias("entries")
     )
     scheme = None if not delta else ("run" if by_tf else "list")
     return grouped.select(
         "term",
         "segment",
-        F.size("entries").cast("bigint").alias("df"),
-        list_text(F.col("entries"), scheme, positions).alias("posting_list"),
+        "df",
+        list_text(F.col("entries"), F.col("df"), scheme, positions).alias("posting_list"),
     )
 
 
@@ -91,55 +112,32 @@ def encode_lists(postings: DataFrame, order: str = "id", **options) -> DataFrame
     return posting_lists(postings, order, positions=True, delta=True, **options)
 
 
-def explode_lists(lists: DataFrame) -> DataFrame:
-    """One row per posting of each line, as written: ``(term, head, ordinal, id_part, tf, coded)``.
-
-    ``head`` is id and frequency of the line's first posting; with the term it names
-    the line, also after a task is run again.
-    """
-    items = F.split(F.rtrim(F.col("posting_list"), F.lit(";")), ";")
-    lines = lists.select("term", items.alias("items"))
-    rows = lines.select(
-        "term",
-        F.substring_index(F.get("items", F.lit(1)), "-", 2).alias("head"),
-        F.posexplode(F.slice("items", F.lit(2), F.size("items"))).alias("ordinal", "item"),
-    ).withColumn("fields", F.split("item", "-", 3))
-    return rows.select(
-        "term",
-        "head",
-        "ordinal",
-        F.get("fields", F.lit(0)).cast("bigint").alias("id_part"),
-        F.get("fields", F.lit(1)).cast("bigint").alias("tf"),
-        F.get("fields", F.lit(2)).alias("coded"),
-    )
+def _fields(items: Column, number: int) -> Column:
+    return F.transform(items, lambda item: F.get(F.split(item, "-", 3), F.lit(number)))
 
 
 def decode_lists(lists: DataFrame, order: str = "id", positions: bool = True) -> DataFrame:
-    """Postings from lines written by :func:`encode_lists`: ``(term, doc_id, tf[, positions])``."""
+    """Postings from lines written by :func:`encode_lists`: ``(term, doc_id, tf[, positions])``.
+
+    Every line is decoded inside its own row: nothing is shuffled, and no row is made
+    for a position.
+    """
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}")
-    keys = ["term", "head"] if order == "id" else ["term", "head", "tf"]
-    so_far = (
-        Window.partitionBy(*keys)
-        .orderBy("ordinal")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    items = F.split(F.rtrim(F.col("posting_list"), F.lit(";")), ";")
+    lines = lists.select("term", F.slice(items, F.lit(2), F.greatest(F.size(items) - 1, F.lit(0))).alias("items"))
+    lines = lines.filter(F.size("items") > 0).select(
+        "term",
+        _fields(F.col("items"), 0).cast("array<bigint>").alias("steps"),
+        _fields(F.col("items"), 1).cast("array<bigint>").alias("tfs"),
+        _fields(F.col("items"), 2).alias("coded"),
     )
-    rows = explode_lists(lists).withColumn("doc_id", F.sum("id_part").over(so_far))
+    if order == "id":
+        ids = running_sums(F.col("steps"))
+    else:  # sums start anew with each frequency
+        ids = F.flatten(per_run(F.col("tfs"), lambda first, n: running_sums(F.slice("steps", first + 1, n))))
+    postings = lines.select("term", F.inline(F.arrays_zip(ids.alias("doc_id"), F.col("tfs").alias("tf"), "coded")))
     if not positions:
-        return rows.select("term", "doc_id", "tf")
-    steps = rows.select(
-        *keys,
-        "doc_id",
-        F.col("tf").alias("posting_tf"),
-        F.posexplode(F.split("coded", ",").cast("array<int>")).alias("nth", "step"),
-    )
-    along = (
-        Window.partitionBy(*keys, "doc_id")
-        .orderBy("nth")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    placed = steps.withColumn("position", F.sum("step").over(along).cast("int"))
-    grouped = placed.groupBy(*keys, "doc_id", "posting_tf").agg(
-        F.sort_array(F.collect_list("position")).alias("positions")
-    )
-    return grouped.select("term", "doc_id", F.col("posting_tf").alias("tf"), "positions")
+        return postings.select("term", "doc_id", "tf")
+    places = once(F.split("coded", ",").cast("array<bigint>"), running_sums).cast("array<int>")
+    return postings.select("term", "doc_id", "tf", places.alias("positions"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.tokens import counted_terms, placed_terms
 from termloom.operators.groups import top_per_group
-from termloom.operators.tokens import tokenize, tokenize_positions_windowed
+from termloom.operators.tokens import tokenize_positions_in_pieces
 
 # The caps of the pruned index.
 MAX_TERM_LENGTH = 50
@@ -29,7 +31,7 @@ def build_postings(
         return counted.select("term", "doc_id", "tf")
     if long_texts:
         placed = (
-            tokenize_positions_windowed(documents)
+            tokenize_positions_in_pieces(documents)
             .groupBy("term", "doc_id")
             .agg(F.sort_array(F.collect_list("position")).alias("positions"))
         )
@@ -43,14 +45,14 @@ def build_postings(
     )
 
 
-def scan_postings(documents: DataFrame) -> DataFrame:
+def scan_postings(documents: DataFrame, terms: Sequence[str] | None = None) -> DataFrame:
     """``(term, doc_id, tf)`` for searching documents that have no stored index.
 
-    A filter on ``term`` is applied to the tokens before anything is shuffled, so
-    only the wanted terms' counts move and the texts stay where they are read.
+    Terms are counted inside the document's row, and with ``terms`` only those, so that
+    no more than the wanted counts is ever moved.
     """
-    tokens = tokenize(documents)
-    return tokens.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
+    counted = documents.select("doc_id", F.inline(counted_terms(F.col("text"), terms)))
+    return counted.select("term", "doc_id", "tf")
 
 
 def term_stats(postings: DataFrame) -> DataFrame:
@@ -82,10 +84,11 @@ def prune_postings(
     return kept.drop("_rank")
 
 
-def sorted_by_term(postings: DataFrame) -> DataFrame:
+def sorted_by_term(postings: DataFrame, partitions: int | None = None) -> DataFrame:
     """Range-partitioned and sorted by (term, doc_id).
 
     The document id takes part in the ranges, so a hot term spreads over several
     partitions; written as Parquet, a filter on ``term`` skips row groups.
     """
-    return postings.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id")
+    count = [partitions] if partitions else []
+    return postings.repartitionByRange(*count, "term", "doc_id").sortWithinPartitions("term", "doc_id")

@@ -18,18 +18,8 @@ from termloom.operators.groups import top_per_group
 
 Queries = str | Sequence[str] | DataFrame
 
-# Above this many results per query the optimizer no longer limits each task's
-# rows ahead of the shuffle, so the ranking is spread instead.
-LIMITED_RANKS = 1000
-# Queries given as strings are small by construction up to this many terms; past
-# it the optimizer chooses the joins.
-LITERAL_TERMS = 1000
-
-
 def query_frame(spark: SparkSession, queries: Sequence[str]) -> DataFrame:
     """``(query_id, query)`` from strings, numbered from 0."""
-    if len(queries) > LITERAL_TERMS:
-        return spark.createDataFrame(list(enumerate(queries)), "query_id bigint, query string")
     rows = [
         F.struct(F.lit(i).cast("bigint").alias("query_id"), F.lit(q).alias("query"))
         for i, q in enumerate(queries)
@@ -45,53 +35,50 @@ def query_terms(queries: DataFrame) -> DataFrame:
     )
 
 
-def _literal_terms(queries: Sequence[str]) -> list[str]:
+def literal_terms(queries: Sequence[str]) -> list[str]:
     return sorted({term for q in queries for term in re.findall("[a-z]+", q.lower())})
 
 
-def _matches(postings: DataFrame, queries: Queries) -> tuple[DataFrame, DataFrame, bool]:
-    """Postings of the queries' terms, the query terms, and whether those are known to be few."""
-    small = False
+def _matches(postings: DataFrame, queries: Queries) -> tuple[DataFrame, DataFrame]:
+    """Postings of the queries' terms, dealt out by document, and the query terms.
+
+    Terms of queries that are given as strings are a literal list, which reaches the
+    Parquet scan and skips row groups.
+    """
+    columns = postings.select("term", "doc_id", "tf")
     if isinstance(queries, DataFrame):
         wanted = query_terms(queries)
+        found = columns.join(wanted.select("term"), "term", "left_semi")
     else:
         texts = [queries] if isinstance(queries, str) else list(queries) or [""]
-        literals = _literal_terms(texts)
-        small = len(literals) <= LITERAL_TERMS and len(texts) <= LITERAL_TERMS
+        literals = literal_terms(texts)
         wanted = query_terms(query_frame(postings.sparkSession, texts))
-    columns = postings.select("term", "doc_id", "tf")
-    if small:
-        # A literal list reaches the Parquet scan and skips row groups.
         found = columns.filter(F.col("term").isin(literals) if literals else F.lit(False))
-    else:
-        found = columns.join(wanted.select("term"), "term", "left_semi")
     # Both the scales and the scores read this one exchange.
-    return found.repartition("doc_id"), wanted, small
-
-
-def _sized(df: DataFrame, small: bool) -> DataFrame:
-    """Broadcast what has at most one row per literal query term; otherwise let Spark decide."""
-    return F.broadcast(df) if small else df
+    return found.repartition("doc_id"), wanted
 
 
 def or_scores(postings: DataFrame, queries: Queries) -> DataFrame:
     """``(query_id, doc_id, score)`` of every document that holds any term."""
-    found, wanted, small = _matches(postings, queries)
+    found, wanted = _matches(postings, queries)
     scale = found.groupBy("term").agg(F.max("tf").alias("scale"))
-    scaled = found.join(_sized(scale, small), "term").select(
-        "term", "doc_id", (F.col("tf") / F.col("scale")).alias("part")
-    )
-    return (
-        scaled.join(_sized(wanted, small), "term")
-        .groupBy("query_id", "doc_id")
-        .agg(F.sum("part").alias("score"))
-    )
+    scaled = found.join(scale, "term").select("term", "doc_id", (F.col("tf") / F.col("scale")).alias("part"))
+    return scaled.join(wanted, "term").groupBy("query_id", "doc_id").agg(F.sum("part").alias("score"))
 
 
 def and_scores(postings: DataFrame, queries: Queries) -> DataFrame:
-    """``(query_id, doc_id, score)`` of every document that holds all terms."""
-    found, wanted, small = _matches(postings, queries)
-    matched = found.join(_sized(wanted, small), "term")
+    """``(query_id, doc_id, score)`` of every document that holds all terms.
+
+    Only documents with a query's rarest term can hold all: those are its candidates,
+    and the other terms are looked up for them.
+    """
+    found, wanted = _matches(postings, queries)
+    counts = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    known = wanted.join(counts, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    rarest = known.groupBy("query_id").agg(F.min_by("term", F.struct("df", "term")).alias("term"))
+    candidates = found.join(rarest, "term").select("query_id", "doc_id")
+    asked = candidates.join(wanted, "query_id")
+    matched = asked.join(found, ["doc_id", "term"])
     whole = (
         matched.groupBy("query_id", "doc_id", "n_terms")
         .agg(F.count(F.lit(1)).alias("n_found"))
@@ -101,7 +88,7 @@ def and_scores(postings: DataFrame, queries: Queries) -> DataFrame:
     full = matched.join(whole, ["query_id", "doc_id"], "left_semi")
     scale = full.groupBy("query_id", "term").agg(F.max("tf").alias("scale"))
     return (
-        full.join(_sized(scale, small), ["query_id", "term"])
+        full.join(scale, ["query_id", "term"])
         .groupBy("query_id", "doc_id")
         .agg(F.sum(F.col("tf") / F.col("scale")).alias("score"))
     )
@@ -109,18 +96,18 @@ def and_scores(postings: DataFrame, queries: Queries) -> DataFrame:
 
 def tf_idf_scores(postings: DataFrame, documents: DataFrame, queries: Queries) -> DataFrame:
     """Extension: ``sum(tf * ln(N / df))`` over the query's terms, N counting all documents."""
-    found, wanted, small = _matches(postings, queries)
+    found, wanted = _matches(postings, queries)
     total = corpus_size(documents).scalar()
     weight = (
         found.groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
         .select("term", F.log(total / F.col("df")).alias("idf"))
     )
-    weighted = found.join(_sized(weight, small), "term").select(
+    weighted = found.join(weight, "term").select(
         "term", "doc_id", (F.col("tf") * F.col("idf")).alias("part")
     )
     return (
-        weighted.join(_sized(wanted, small), "term")
+        weighted.join(wanted, "term")
         .groupBy("query_id", "doc_id")
         .agg(F.sum("part").alias("score"))
     )
@@ -141,7 +128,8 @@ def result_page(
     """Rows ``[start, start + amount)`` of each query by falling score, ties by id.
 
     ``(query_id, number, title, doc_id, score, url)``; ``number`` counts from 0 on
-    the page. A document without metadata keeps its row with a null title.
+    the page, and rows come in its order. A document without metadata keeps its row
+    with a null title.
     """
     last = start + amount
     ranked = top_per_group(
@@ -150,7 +138,7 @@ def result_page(
         [F.desc(F.round("score", 9)), F.asc("doc_id")],
         last,
         rank="_rank",
-        spread_on="doc_id" if last > LIMITED_RANKS else None,
+        spread_on="doc_id",
     )
     page = ranked.filter(F.col("_rank") > start).select(
         "query_id",
@@ -166,7 +154,7 @@ def result_page(
         # Only the page's documents take part in the outer join.
         shown = titles.join(page.select("doc_id"), "doc_id", "left_semi")
         titled = page.join(shown, "doc_id", "left")
-    return titled.select("query_id", "number", "title", "doc_id", "score", "url")
+    return titled.select("query_id", "number", "title", "doc_id", "score", "url").orderBy("query_id", "number")
 
 
 def search(

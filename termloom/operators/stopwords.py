@@ -30,4 +30,4 @@ def common_terms(postings: DataFrame, documents: DataFrame, max_ratio: float) ->
 def drop_common_terms(postings: DataFrame, documents: DataFrame, max_ratio: float) -> DataFrame:
     """Postings whose term is in at most ``max_ratio`` of all documents."""
     common = common_terms(postings, documents, max_ratio).select("term")
-    return postings.join(F.broadcast(common), "term", "left_anti")
+    return postings.join(common, "term", "left_anti")

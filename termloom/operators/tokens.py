@@ -1,59 +1,36 @@
-"""Documents to token rows."""
+"""Documents to token rows. Nothing here is shuffled."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.functions.tokens import gaps_and_terms, letter_runs, term_positions
-
-
-def spread(documents: DataFrame) -> DataFrame:
-    """``(doc_id, text)`` of a stored table, dealt out evenly if its scan has too few tasks.
-
-    For small tables in one file, which one task would read. A table with at least
-    as many splits as the session has cores is left as it is. Pass a plain scan:
-    counting the splits of anything else would run it.
-    """
-    kept = documents.select("doc_id", "text")
-    cores = documents.sparkSession.sparkContext.defaultParallelism
-    return kept.repartition(cores) if kept.rdd.getNumPartitions() < cores else kept
+from termloom.functions.codec import running_sums
+from termloom.functions.tokens import letter_runs, once, term_positions, whole_term_pieces
 
 
 def tokenize(documents: DataFrame) -> DataFrame:
-    """``(doc_id, term)``, one row per letter run. No shuffle."""
+    """``(doc_id, term)``, one row per letter run."""
     return documents.select("doc_id", F.explode(letter_runs(F.col("text"))).alias("term"))
 
 
 def tokenize_positions(documents: DataFrame) -> DataFrame:
-    """``(doc_id, term, position)`` with 0-based code-point positions. No shuffle."""
+    """``(doc_id, term, position)`` with 0-based code-point positions."""
     return documents.select("doc_id", F.inline(term_positions(F.col("text"))))
 
 
-def tokenize_positions_windowed(documents: DataFrame) -> DataFrame:
-    """The same rows for texts too long to be held as an array of characters.
+def tokenize_positions_in_pieces(documents: DataFrame) -> DataFrame:
+    """The same rows for very long texts: each piece of a text becomes a row with its own start.
 
-    A term starts where the lengths of all gaps and terms before it end: a running
-    sum over the document, which spills to disk. Whole texts are shuffled by document.
+    Pieces divide no term, and what a task holds besides the text is bounded by a piece.
     """
-    parts = (
-        documents.select("doc_id", "text")
-        .repartition("doc_id")
-        .select("doc_id", F.posexplode(gaps_and_terms(F.col("text"))).alias("ordinal", "part"))
-    )
-    lengths = parts.filter(F.col("part.term") != "").select(
-        "doc_id",
-        "ordinal",
-        F.col("part.term").alias("term"),
-        F.length("part.gap").alias("gap_len"),
-        F.length("part.term").alias("term_len"),
-    )
-    so_far = (
-        Window.partitionBy("doc_id")
-        .orderBy("ordinal")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    end = F.sum(F.col("gap_len") + F.col("term_len")).over(so_far)
-    return lengths.select(
-        "doc_id", "term", (end - F.col("term_len")).cast("int").alias("position")
-    )
+
+    def with_starts(pieces):
+        lengths = F.transform(pieces, lambda piece: F.length(piece).cast("bigint"))
+        ends = F.when(F.size(pieces) > 0, running_sums(lengths))
+        return F.arrays_zip(ends.alias("end"), pieces.alias("piece"))
+
+    rows = documents.select("doc_id", F.inline(once(whole_term_pieces(F.col("text")), with_starts)))
+    rows = rows.select("doc_id", (F.col("end") - F.length("piece")).alias("start"), "piece")
+    found = rows.select("doc_id", "start", F.inline(term_positions(F.col("piece"))))
+    return found.select("doc_id", "term", (F.col("start") + F.col("position")).cast("int").alias("position"))

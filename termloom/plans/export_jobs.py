@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from termloom.operators.documents import build_documents, document_metadata
 from termloom.operators.lists import encode_lists, posting_lists
@@ -14,9 +13,7 @@ from termloom.operators.postings import (
     prune_postings,
 )
 from termloom.operators.wordcount import word_count
-from termloom.session import staged
 from termloom.sources.text_files import (
-    line_locator,
     read_lines,
     read_skip_patterns,
     write_lists,
@@ -33,9 +30,7 @@ def _documents(spark: SparkSession, source: str, text_mode: str) -> DataFrame:
 def _postings(
     spark: SparkSession, source: str, text_mode: str = "index", positions: bool = True
 ) -> DataFrame:
-    """Postings in the shared folder: long lists are found in one reading, written in another."""
-    postings = build_postings(_documents(spark, source, text_mode), positions=positions)
-    return staged(postings, "postings")
+    return build_postings(_documents(spark, source, text_mode), positions=positions)
 
 
 def inverted_index(spark: SparkSession, source: str, target: str, text_mode: str = "index") -> None:
@@ -63,10 +58,10 @@ def lossy_index(
     max_term_length: int = MAX_TERM_LENGTH,
     max_postings: int = MAX_POSTINGS,
 ) -> None:
-    """Delta-coded lists of the pruned postings, in tf_id order; none outgrows ``max_postings``."""
+    """Delta-coded lists of the pruned postings, in tf_id order."""
     postings = build_postings(_documents(spark, source, "index"))
     kept = prune_postings(postings, max_term_length, max_postings)
-    write_lists(encode_lists(kept, "tf_id", max_df=max_postings), target)
+    write_lists(encode_lists(kept, "tf_id"), target)
 
 
 def document_index(spark: SparkSession, source: str, target: str) -> None:
@@ -74,13 +69,6 @@ def document_index(spark: SparkSession, source: str, target: str) -> None:
     write_metadata(document_metadata(read_chunks(spark, source), store=True), target)
 
 
-def locator(spark: SparkSession, source: str, target: str) -> None:
-    """``key  file,byte_offset`` of every line of an exported index."""
-    rows = line_locator(spark, source, store=True)
-    place = F.concat_ws(",", "file_name", F.col("byte_offset").cast("string"))
-    write_pairs(rows, "key", place, target)
-
-
 def count_words(
     spark: SparkSession,
     source: str,

@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termloom.operators.browse import get_documents
+from termloom.operators.browse import get_documents, term_documents, text_snippets
 from termloom.operators.documents import build_documents, sorted_by_id
 from termloom.operators.postings import build_postings, prune_postings, sorted_by_term
 from termloom.operators.search import Queries, search
+from termloom.session import staged
 from termloom.sources.xml_pages import read_pages
 
 
-# Result rows of literal queries whose titles are looked up by id.
-LOOKUP_ROWS = 1000
-
-
 @dataclass(frozen=True)
 class IndexTables:
     """``postings`` and ``documents`` are whole; ``top_postings`` holds each term's best."""
@@ -26,44 +24,41 @@ class IndexTables:
     top_postings: DataFrame
 
     def search(
-        self, queries: Queries, mode: str = "and", start: int = 0, amount: int = 10
+        self, queries: Queries, mode: str = "and", start: int = 0, amount: int = 10, pruned: bool = False
     ) -> DataFrame:
-        """OR reads the pruned postings, AND the whole ones.
-
-        The page of a few literal queries is computed at once, so that its ids reach
-        the scan of the documents as a filter; a longer one is joined with them.
-        """
-        either = mode.strip().lower() in ("or", "tf")
-        postings = self.top_postings if either else self.postings
-        if isinstance(queries, DataFrame):
-            return search(postings, queries, mode, start, amount, self.documents)
-        n_queries = 1 if isinstance(queries, str) else len(queries)
-        if n_queries * amount > LOOKUP_ROWS:
-            return search(postings, queries, mode, start, amount, self.documents)
-        page = search(postings, queries, mode, start, amount).drop("title")
-        rows = page.collect()
-        shown = postings.sparkSession.createDataFrame(rows, page.schema)
-        titles = get_documents(self.documents, [r.doc_id for r in rows]).select("doc_id", "title")
-        return shown.join(titles, "doc_id", "left").select(
-            "query_id", "number", "title", "doc_id", "score", "url"
-        )
-
-
-def write_index(spark: SparkSession, documents: DataFrame, path: str, **caps) -> IndexTables:
+        """A page of results, lazily. ``pruned`` reads the best postings of each term only."""
+        postings = self.top_postings if pruned else self.postings
+        return search(postings, queries, mode, start, amount, self.documents)
+
+    def get(self, ids: Sequence[int]) -> DataFrame:
+        """The documents with these ids."""
+        return get_documents(self.documents, ids)
+
+    def term_documents(self, term: str, order: str = "tf", start: int = 0, amount: int = 10) -> DataFrame:
+        """A page of the documents that hold a term."""
+        return term_documents(self.postings, self.documents.drop("text"), term, order, start, amount)
+
+    def snippets(self, terms: Sequence[str], ids: Sequence[int], width: int = 10) -> DataFrame:
+        """Text around every place of the terms in these documents."""
+        return text_snippets(self.get(ids), terms, width)
+
+
+def write_index(
+    spark: SparkSession, documents: DataFrame, path: str, partitions: int | None = None, **caps
+) -> IndexTables:
     """Write documents, postings and pruned postings below ``path`` and open them.
 
-    Each table is read back before the next is derived from it, so no stage depends
-    on a long lineage and a lost executor costs only its own tasks. Postings are
-    stored once as built (``unsorted_postings``, not needed afterwards), because
-    finding the ranges of the sorted table reads them one more time.
+    Each table is read back before the next is derived from it, so no stage depends on a
+    long lineage and a lost executor costs only its own tasks. Documents are parsed once:
+    they are staged in the shared folder before their ranges are found. ``partitions`` is
+    the number of ranges of the sorted tables (default: ``spark.sql.shuffle.partitions``).
     """
-    sorted_by_id(documents).write.parquet(f"{path}/documents")
+    sorted_by_id(staged(documents, "documents"), partitions).write.parquet(f"{path}/documents")
     stored = spark.read.parquet(f"{path}/documents")
-    build_postings(stored).write.parquet(f"{path}/unsorted_postings")
-    unsorted = spark.read.parquet(f"{path}/unsorted_postings")
-    sorted_by_term(unsorted).write.parquet(f"{path}/postings")
-    top = prune_postings(unsorted.drop("positions"), **caps)
-    sorted_by_term(top).write.parquet(f"{path}/top_postings")
+    postings = staged(build_postings(stored), "postings")
+    sorted_by_term(postings, partitions).write.parquet(f"{path}/postings")
+    top = prune_postings(postings.drop("positions"), **caps)
+    sorted_by_term(top, partitions).write.parquet(f"{path}/top_postings")
     return open_index(spark, path)
 
 

@@ -5,45 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.session import staged
-from termloom.sources.offsets import source_columns, with_byte_offsets
-
-MAX_SKIP_PATTERNS = 10_000
-
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(value)``, one row per line."""
     return spark.read.text(path)
 
 
-def read_line_offsets(spark: SparkSession, path: str, store: bool = False) -> DataFrame:
-    """``(file_name, byte_offset, key)`` of every line; ``key`` is what precedes the first tab.
+def read_skip_patterns(spark: SparkSession, path: str) -> list[str]:
+    """The distinct patterns of a file, one regular expression per line.
 
-    A line without a tab has an empty key. With ``store``, keys and lengths are
-    written to the shared folder, so that the files are read once.
+    Patterns are part of the query, so they come to the driver, however many there are.
     """
-    value = F.col("value")
-    key = F.when(F.instr(value, "\t") > 0, F.substring_index(value, "\t", 1)).otherwise("")
-    lines = spark.read.option("lineSep", "\n").text(path)
-    narrow = lines.select(
-        *source_columns(),
-        (F.octet_length("value") + F.lit(1)).alias("n_bytes"),
-        key.alias("key"),
-    )
-    placed = with_byte_offsets(staged(narrow, "lines") if store else narrow)
-    return placed.select("file_name", "byte_offset", "key")
-
-
-def line_locator(spark: SparkSession, path: str, store: bool = False) -> DataFrame:
-    """``(key, file_name, byte_offset)`` of an exported index: where each key's line starts."""
-    return read_line_offsets(spark, path, store).select("key", "file_name", "byte_offset")
-
-
-def read_skip_patterns(spark: SparkSession, path: str) -> list[str]:
-    """The distinct patterns of a small file, one regular expression per line."""
-    rows = spark.read.text(path).distinct().limit(MAX_SKIP_PATTERNS + 1).collect()
-    if len(rows) > MAX_SKIP_PATTERNS:
-        raise ValueError(f"more than {MAX_SKIP_PATTERNS} skip patterns in {path}")
+    rows = spark.read.text(path).distinct().toLocalIterator()
     return sorted(row.value for row in rows)
 
 
@@ -55,15 +28,23 @@ def write_pairs(df: DataFrame, key: Column | str, value: Column | str, path: str
 
 
 def write_lists(lists: DataFrame, path: str) -> None:
-    """Write posting lists as ``term <tab> df;...;``."""
-    write_pairs(lists, "term", "posting_list", path)
+    """Write posting lists as ``term <tab> df;...;``.
+
+    The key of a later line of a long list is ``term:segment``, which no term is.
+    """
+    first = F.col("segment") == 0
+    key = F.when(first, F.col("term")).otherwise(F.concat_ws(":", "term", F.col("segment").cast("string")))
+    write_pairs(lists, key, "posting_list", path)
 
 
 def read_lists(spark: SparkSession, path: str) -> DataFrame:
-    """``(term, posting_list)`` from an exported index."""
+    """``(term, segment, posting_list)`` from an exported index."""
     line = F.split(F.col("value"), "\t", 2)
+    key = F.split(F.get(line, F.lit(0)), ":", 2)
     return spark.read.text(path).select(
-        F.get(line, F.lit(0)).alias("term"), F.get(line, F.lit(1)).alias("posting_list")
+        F.get(key, F.lit(0)).alias("term"),
+        F.coalesce(F.get(key, F.lit(1)).cast("bigint"), F.lit(0).cast("bigint")).alias("segment"),
+        F.get(line, F.lit(1)).alias("posting_list"),
     )
 
 
@@ -87,22 +68,33 @@ def write_metadata(metadata: DataFrame, path: str) -> None:
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Metadata rows from text lines.
+    """Metadata rows from text lines, and ``rejected``, the line where it has too few fields or a bad number.
 
     Fields are taken from the right, so commas inside a title are lost and a comma
     in a contributor's name shifts the fields before it, as in files of this format.
+    A rejected line has nulls in all other columns.
     """
     line = F.split(F.col("value"), "\t", 2)
     fields = F.split(F.trim(F.get(line, F.lit(1))), ",")
-    rows = spark.read.text(path).select(
-        F.get(line, F.lit(0)).cast("bigint").alias("doc_id"), fields.alias("f")
-    )
+    rows = spark.read.text(path).select("value", F.get(line, F.lit(0)).try_cast("bigint").alias("id"), fields.alias("f"))
+
+    def field(n: int) -> Column:
+        return F.try_element_at("f", F.lit(n))
+
+    start, length = field(-2).try_cast("bigint"), field(-1).try_cast("bigint")
+    good = (F.size("f") >= 6) & F.col("id").isNotNull() & start.isNotNull() & length.isNotNull()
+    sound = F.coalesce(good, F.lit(False))
+    title = F.array_join(F.slice("f", F.lit(1), F.greatest(F.size("f") - 5, F.lit(0))), "")
+    columns = {
+        "doc_id": F.col("id"),
+        "title": title,
+        "contributor_name": field(-5),
+        "contributor_id": field(-4),
+        "ts": field(-3),
+        "text_start": start,
+        "text_len": length,
+    }
     return rows.select(
-        "doc_id",
-        F.array_join(F.slice("f", F.lit(1), F.size("f") - 5), "").alias("title"),
-        F.element_at("f", -5).alias("contributor_name"),
-        F.element_at("f", -4).alias("contributor_id"),
-        F.element_at("f", -3).alias("ts"),
-        F.element_at("f", -2).cast("bigint").alias("text_start"),
-        F.element_at("f", -1).cast("bigint").alias("text_len"),
+        *[F.when(sound, value).alias(name) for name, value in columns.items()],
+        F.when(~sound, F.col("value")).alias("rejected"),
     )

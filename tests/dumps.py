@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# The names of the elements, here and below.
 HEADER = '<mediawiki xml:lang="en">\n'
 FOOTER = "</mediawiki>\n"
 
@@ -17,8 +18,8 @@ def page(
     lines = [f"{indent}<page>", f"<title>{title}</title>", "<ns>0</ns>"]
     if doc_id is not None:
         lines.append(f"<id>{doc_id}</id>")
-    lines += ["<revision>", "<id>854851586</id>" if doc_id is not None else ""]
-    lines.append("<timestamp>2018-08-14T06:47:24Z</timestamp>")
+    lines += ["<revision>", "<id>31</id>" if doc_id is not None else ""]
+    lines.append("<timestamp>2021-03-05T09:08:07Z</timestamp>")
     if contributor is not None:
         lines.append(f"<contributor>{contributor}</contributor>")
     lines.append("<comment>a note</comment>")
@@ -29,10 +30,10 @@ def page(
 
 
 GOLDEN_TEXTS = {
-    10: "What is the day?",
-    11: "This is distributed system.",
-    12: "What a system error! What is!",
-    2: "What a great day!",
+    10: "Rivers run to the sea.",
+    11: "These boats sail slowly.",
+    12: "Rivers a boats carry! Rivers run.",
+    2: "Rivers a cold sea!",
 }
 
 

@@ -9,13 +9,14 @@ from hypothesis import strategies as st
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from termloom.operators.browse import get_documents, snippets, term_documents
+from termloom.functions.codec import running_sums
+from termloom.operators.browse import get_documents, snippets, term_documents, text_snippets
 from termloom.operators.groups import top_per_group
 from termloom.operators.lists import decode_lists, encode_lists, posting_lists
 from termloom.operators.postings import build_postings, prune_postings, scan_postings
 from termloom.operators.search import tf_idf_scores
 from termloom.operators.stopwords import drop_common_terms, drop_listed_terms
-from termloom.operators.tokens import tokenize_positions, tokenize_positions_windowed
+from termloom.operators.tokens import tokenize_positions, tokenize_positions_in_pieces
 from termloom.operators.wordcount import word_count
 
 ALPHABET = "abZ \n\t.,-<&é中\U0001f600" + "0"
@@ -26,7 +27,7 @@ ALPHABET = "abZ \n\t.,-<&é中\U0001f600" + "0"
 def test_positions_match_a_regular_expression(spark, texts):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     want = sorted((i, m.group(), m.start()) for i, t in enumerate(texts) for m in re.finditer("[a-z]+", t.lower()))
-    for operator in (tokenize_positions, tokenize_positions_windowed):
+    for operator in (tokenize_positions, tokenize_positions_in_pieces):
         assert sorted(tuple(r) for r in operator(docs).collect()) == want
 
 
@@ -46,8 +47,9 @@ def hot(spark):
 def test_long_lists_are_cut_into_bounded_lines(hot, order):
     lists = encode_lists(hot, order, segment_rows=500, block_bits=6).cache()
     lines = lists.filter("term = 'hot'").orderBy("segment").collect()
-    assert len(lines) > 3 and all(r.df <= 500 + 64 for r in lines)
-    assert sum(r.df for r in lines) == 3000
+    sizes = [r.posting_list.count(";") - 1 for r in lines]
+    assert len(lines) > 3 and max(sizes) <= 500 + 64 and sum(sizes) == 3000
+    assert all(r.df == 3000 and r.posting_list.startswith("3000;") for r in lines)
     assert lists.filter("term <> 'hot' and segment > 0").count() == 0
     back = decode_lists(lists, order)
     same = back.intersect(hot.select(*back.columns)).count()
@@ -62,10 +64,42 @@ def test_long_lists_are_cut_into_bounded_lines(hot, order):
     assert found == sorted(want, key=key)
 
 
-def test_known_bound_gives_the_same_lines(hot):
-    a = encode_lists(hot, "tf_id").select("term", "df", "posting_list")
-    b = encode_lists(hot, "tf_id", max_df=3000).select("term", "df", "posting_list")
-    assert a.exceptAll(b).count() == 0 and a.count() == b.count()
+@pytest.mark.parametrize("order", ["id", "tf_id"])
+def test_lines_are_the_same_for_hashed_ids(hot, order):
+    """Ids far apart make blocks of one posting each; lines then hold exactly ``segment_rows``."""
+    sparse = hot.withColumn("doc_id", F.shiftleft(F.col("doc_id") * 524287 % 262147, 44))
+    lines = encode_lists(sparse, order, segment_rows=500).cache()
+    assert [r.posting_list.count(";") - 1 for r in lines.filter("term = 'hot'").collect()] == [500] * 6
+    back = decode_lists(lines, order)
+    assert back.intersect(sparse.select(*back.columns)).count() == sparse.count() == back.count()
+
+
+def test_negative_ids_are_refused(hot):
+    with pytest.raises(Exception, match="negative doc_id"):
+        encode_lists(hot.withColumn("doc_id", -F.col("doc_id") - 1)).collect()
+
+
+def test_decoding_shuffles_nothing(spark, hot):
+    lists = spark.createDataFrame([("a", "2;3-2-1,4;5-1-0;")], "term string, posting_list string")
+    for order in ("id", "tf_id"):
+        assert "Exchange" not in decode_lists(lists, order)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_running_sums(spark):
+    for n in (1, 63, 64, 65, 200):
+        df = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda x: x.cast("bigint")).alias("a"))
+        assert df.select(running_sums(F.col("a"))).first()[0] == [k * (k + 1) // 2 for k in range(1, n + 1)]
+
+
+def test_texts_of_many_pieces(spark):
+    text = ("\U0001f600 word é " + "x" * 5000 + " ") * 9
+    docs = spark.createDataFrame([(1, text), (2, ""), (3, None)], "doc_id bigint, text string")
+    want = sorted((1, m.group(), m.start()) for m in re.finditer("[a-z]+", text))
+    assert sorted(tuple(r) for r in tokenize_positions_in_pieces(docs).collect()) == want
+    rows = text_snippets(docs, ["Word"], width=6000).collect()
+    assert [(r.position, r.snippet) for r in rows] == [(p, text[p : p + 6000]) for _, t, p in want if t == "word"]
+    hits = build_postings(docs).filter("term = 'word'")
+    assert sorted(rows) == sorted(snippets(hits, docs, 6000).collect())
 
 
 @pytest.mark.parametrize("n", [1, 7, 900, 1500])
@@ -142,11 +176,14 @@ def test_stop_words_and_weights(spark):
     assert scores[1] == pytest.approx(0.4054651081) and scores[2] == pytest.approx(1.0986122887)
 
 
-def test_filtered_scan_shuffles_no_text(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(8)
-    found = scan_postings(docs).filter(F.col("term") == "the")
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    lines = plan.split("\n")
-    filtered = next(i for i, line in enumerate(lines) if "Filter" in line and "= the" in line)
-    exchange = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(term" in line)
-    assert exchange < filtered
+def test_scans_shuffle_nothing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    whole, wanted = scan_postings(docs).filter("term = 'the'"), scan_postings(docs, ["the"])
+    assert sorted(whole.collect()) == sorted(wanted.collect())
+    assert "Exchange" not in wanted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_browsing_keeps_documents_without_metadata(spark, hot):
+    docs = hot_documents(spark).filter("doc_id <> 6").withColumn("title", F.lit("t"))
+    rows = term_documents(hot, docs.drop("text"), "hot", "id", 5, 3).collect()
+    assert [(r.number, r.doc_id, r.title) for r in rows] == [(5, 5, "t"), (6, 6, None), (7, 7, "t")]

@@ -10,8 +10,11 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_twin(spark, name):
-    frame = registry.queries()[name](spark, SMALL)
-    assert differences(frame, registry.oracle_sql()[name], SMALL) is None
+    frame, sql = registry.queries()[name](spark, SMALL), registry.oracle_sql()[name]
+    # Pandas has no integer column with nulls; Spark and DuckDB stand in for them differently.
+    if "refers_to" in frame.columns:
+        frame, sql = frame.na.fill(-1, ["refers_to"]), f"SELECT * REPLACE (coalesce(refers_to, -1) AS refers_to) FROM ({sql})"
+    assert differences(frame, sql, SMALL) is None
 
 
 def test_queries_without_twin_have_rows(spark):

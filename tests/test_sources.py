@@ -6,12 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from termloom.operators.documents import build_documents, document_metadata
-from termloom.operators.lists import encode_lists
+from termloom.operators.lists import decode_lists, encode_lists
 from termloom.operators.postings import build_postings, prune_postings
 from termloom.plans import export_jobs
 from termloom.sources import text_files
 from termloom.sources.xml_pages import read_chunks, read_page_offsets, read_pages
 from tests.dumps import GOLDEN_TEXTS, LONG_WORD, edge_dump, golden_dump
+from tests.dumps import page as page_markup
 
 
 @pytest.fixture
@@ -103,30 +104,35 @@ def test_metadata_lines_there_and_back(spark, edge_path, tmp_path):
     assert raw[rows[9].text_start :].decode()[: rows[9].text_len].startswith("short")
 
 
-def test_exported_lists_locator_and_decoding(spark, tmp_path, tiny_splits):
+@pytest.mark.parametrize("segment_rows", [100_000, 1])
+def test_exported_lists_are_read_and_decoded(spark, tmp_path, tiny_splits, segment_rows):
     dump = tmp_path / "dump.xml"
     dump.write_text(golden_dump())
-    lists, places = str(tmp_path / "lists"), str(tmp_path / "places")
-    export_jobs.lossless_index(spark, str(dump), lists, order="id")
-    export_jobs.locator(spark, lists, places)
-    found = {}
-    for line in spark.read.text(places).collect():
-        key, place = line.value.split("\t")
-        name, offset = place.split(",")
-        with open(f"{lists}/{name}", "rb") as f:
-            f.seek(int(offset))
-            found[key] = f.readline().decode().rstrip("\n").split("\t")
-    assert all(key == line[0] for key, line in found.items())
-    assert found["what"][1] == "3;2-1-0;8-1-0;2-2-0,21;" and len(found) == 10
-    assert {r.term: r.posting_list for r in text_files.read_lists(spark, lists).collect()} == {
-        k: v[1] for k, v in found.items()
-    }
-
-
-def test_locator_line_without_tab_has_an_empty_key(spark, tmp_path):
-    (tmp_path / "part.txt").write_text("no tab here\nkey\tvalue\n")
-    rows = {r.key: r.byte_offset for r in text_files.line_locator(spark, str(tmp_path / "part.txt")).collect()}
-    assert rows == {"": 0, "key": 12}
+    postings = build_postings(build_documents(read_pages(spark, str(dump))))
+    lists = encode_lists(postings, "id", segment_rows=segment_rows, block_bits=1)
+    text_files.write_lists(lists, str(tmp_path / "lists"))
+    back = text_files.read_lists(spark, str(tmp_path / "lists"))
+    want = {(r.term, r.segment, r.posting_list) for r in lists.collect()}
+    assert {tuple(r) for r in back.collect()} == want
+    decoded = decode_lists(back, "id")
+    assert {(r.term, r.doc_id, r.tf) for r in decoded.collect()} == {(r.term, r.doc_id, r.tf) for r in postings.collect()}
+
+
+def test_bad_metadata_lines_are_kept_apart(spark, tmp_path):
+    lines = ["1\tt,n,i,ts,5,6", "2", "x\tt,n,i,ts,5,6", "3\ta,b", "", "4\tt,n,i,ts,five,6"]
+    (tmp_path / "meta.txt").write_text("\n".join(lines))
+    rows = text_files.read_metadata(spark, str(tmp_path / "meta.txt")).collect()
+    assert [r.doc_id for r in rows if r.rejected is None] == [1]
+    assert sorted(r.rejected for r in rows if r.rejected is not None) == sorted(lines[1:])
+
+
+def test_tags_in_any_case(spark):
+    page = page_markup("21", "İstanbul Text", title="A Title")
+    for tag in ("id", "title", "text", "contributor", "username", "timestamp"):
+        page = page.replace(f"<{tag}", f"<{tag.upper()}").replace(f"</{tag}", f"</{tag.upper()}")
+    for mode in ("index", "regex"):
+        (row,) = build_documents(spark.createDataFrame([(page,)], "page string"), text_mode=mode).collect()
+        assert (row.doc_id, row.title, row.contributor.name, row.text) == (21, "a title", "ann", "İstanbul Text")
 
 
 def test_export_jobs_write_the_expected_lines(spark, tmp_path):
@@ -137,11 +143,11 @@ def test_export_jobs_write_the_expected_lines(spark, tmp_path):
         return {r.value for r in spark.read.text(str(tmp_path / name)).collect()}
 
     export_jobs.inverted_index(spark, str(dump), str(tmp_path / "tf"))
-    assert "what\t3;2-1;10-1;12-2;" in lines("tf")
+    assert "rivers\t3;2-1;10-1;12-2;" in lines("tf")
     export_jobs.positional_index(spark, str(dump), str(tmp_path / "pos"), order="tf_id")
-    assert "what\t3;12-2-0,21;2-1-0;10-1-0;" in lines("pos")
+    assert "rivers\t3;12-2-0,22;2-1-0;10-1-0;" in lines("pos")
     export_jobs.lossy_index(spark, str(dump), str(tmp_path / "lossy"), max_postings=2)
-    assert "what\t2;12-2-0,21;2-1-0;" in lines("lossy")
+    assert "rivers\t2;12-2-0,22;2-1-0;" in lines("lossy")
     export_jobs.document_index(spark, str(dump), str(tmp_path / "meta"))
     assert len(lines("meta")) == 4
     export_jobs.count_words(spark, str(dump), str(tmp_path / "words"))
@@ -149,11 +155,11 @@ def test_export_jobs_write_the_expected_lines(spark, tmp_path):
 
 
 def test_duplicate_ids_keep_the_newest(spark):
-    old, new = golden_dump(), golden_dump().replace("2018-08", "2019-08").replace("great", "fine")
+    old, new = golden_dump(), golden_dump().replace("2021-03", "2022-03").replace("cold", "warm")
     chunk = [(p + "</page>",) for p in (old + new).split("</page>") if "<page>" in p]
     raw = spark.createDataFrame(chunk, "page string")
     rows = {r.doc_id: r.text for r in build_documents(raw, dedupe=True).collect()}
-    assert rows == GOLDEN_TEXTS | {2: "What a fine day!"}
+    assert rows == GOLDEN_TEXTS | {2: "Rivers a warm sea!"}
 
 
 def test_skip_patterns_are_distinct_and_sorted(spark, tmp_path):
