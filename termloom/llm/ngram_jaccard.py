@@ -15,10 +15,14 @@ similar when ``|A & B| >= t |A | B|``; then at most ``(1 - t) |A|`` tokens of A
 - A set with more rare tokens than can be missing always shares one of them. Pairs that
   meet in a combination are therefore only compared when one of the two has fewer.
 
-Every candidate is verified on both texts. Equal sets are one node from the start.
-Combinations of a large group of near copies are met by all of its members: those are
-first compared with one member, and with another one; only members that are still apart
-from the rest of the group after that are compared with all others.
+Candidates are first held against bitmaps: a set's bitmap has, for each of ``BITS`` classes
+of tokens, whether the set holds an odd number of them. Two bitmaps differ in at most as
+many places as the sets do in tokens, so pairs with too many differences are no links.
+The others are verified on both texts. Equal sets are one node from the start.
+Combinations of a large group of near copies are met by all of its members: those are first
+compared with one member. Members of a combination that are still in different components
+are then compared by their bitmaps, block against block inside of tasks, which return none
+but the pairs that can be links.
 """
 
 from __future__ import annotations
@@ -38,6 +42,9 @@ from termloom.session import staged
 
 #: A token in more prefixes is frequent.
 RARE = 8
+BITS = 512
+#: A combination with more members is compared in blocks of about so many.
+BLOCK = 2048
 GATHER_BYTES = 4 << 20
 
 
@@ -85,13 +92,18 @@ class Rule:
     def prefix(self, n: np.ndarray) -> np.ndarray:
         return np.minimum(n, 2 * self.extent(n) + 2)
 
+    def possible(self, n_a: np.ndarray, n_b: np.ndarray, different: np.ndarray) -> np.ndarray:
+        """Whether sets of these sizes can be similar when so many tokens at least are in one of them only."""
+        least = np.maximum(np.abs(n_a - n_b), different)
+        return least * (100 + self.percent) <= (n_a + n_b) * (100 - self.percent)
+
     def similar(self, a: np.ndarray, b: np.ndarray) -> bool:
         common = len(np.intersect1d(a, b, assume_unique=True))
         return 100 * common >= self.percent * (len(a) + len(b) - common)
 
 
 def _describe(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Size and two hashes of each text's set."""
+    """Size, two hashes and bitmap of each text's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,8 +115,12 @@ def _describe(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                     total = np.zeros(len(grams) + 1, np.uint64)
                     np.cumsum(value, out=total[1:])
                     sums.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
-                arrays = [part.column("doc_id"), pa.array(np.diff(first)), pa.array(sums[0]), pa.array(sums[1])]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "key_a", "key_b"])
+                sizes = np.diff(first)
+                cells = np.repeat(np.arange(len(sizes)), sizes) * BITS + grams % BITS
+                odd = (np.bincount(cells, minlength=len(sizes) * BITS) & 1).astype(np.uint8)
+                bits = [row.tobytes() for row in np.packbits(odd.reshape(len(sizes), BITS), axis=1)]
+                arrays = [part.column("doc_id"), pa.array(sizes), pa.array(sums[0]), pa.array(sums[1]), pa.array(bits, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "key_a", "key_b", "bits"])
 
     return run
 
@@ -200,6 +216,30 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from made(*held)
 
 
+def _by_bitmaps(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, BITS // 64)
+                for c in ("bits_a", "bits_b")
+            ]
+            different = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64)
+            good = rule.possible(batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), different)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    return run
+
+
+def possible_pairs(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """Those of ``pairs (a, b)`` that sizes and bitmaps of ``nodes (node, n, bits)`` leave."""
+    joined = pairs
+    for end in ("a", "b"):
+        of = nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
+        joined = joined.join(of, end)
+    joined = joined.select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    return joined.mapInArrow(_by_bitmaps(rule), "a bigint, b bigint")
+
+
 def _verify(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Which of the pairs ``(a, b, text_a, text_b)`` are similar."""
 
@@ -229,10 +269,11 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _combinations(frequent: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
-    """``(combination, node, few)`` of each set with two frequent tokens: neighbours in the order of tokens.
+    """``(node, few, combination, before)`` of each set with two frequent tokens: neighbours in their order.
 
-    ``few``: the prefix doesn't have more rare tokens than can be missing. Sizes of similar
-    sets differ by a band at most, so a set is in its own band and the next.
+    ``few``: the prefix doesn't have more rare tokens than can be missing. ``before`` is the
+    set's combination before this one. Sizes of similar sets differ by a band at most, so a
+    set is in its own band and the next.
     """
     sets = frequent.groupBy("doc_id").agg(F.sort_array(F.collect_set("token")).alias("tokens"))
     sets = sets.join(members.filter("doc_id = node").select("doc_id", "n"), "doc_id")
@@ -241,48 +282,110 @@ def _combinations(frequent: DataFrame, members: DataFrame, rule: Rule) -> DataFr
     extent = F.ceil(n * (100 - rule.percent) / 100)
     rare = F.least(n, 2 * extent + 2) - count
     band = F.floor(F.log(n.cast("double")) / float(-np.log(rule.percent / 100 - 1e-9))) if rule.percent < 100 else n
-    pairs = F.transform(
-        F.sequence(F.lit(1), count - 1), lambda i: F.struct(F.element_at("tokens", i).alias("x"), F.element_at("tokens", i + 1).alias("y"))
-    )
     rows = sets.filter(count > 1).select(
-        F.col("doc_id").alias("node"), (rare <= missing).alias("few"), band.alias("band"), F.explode(pairs).alias("c")
+        F.col("doc_id").alias("node"), (rare <= missing).alias("few"), "tokens", F.explode(F.array(band, band + 1)).alias("band")
+    )
+    keys = F.transform(
+        F.sequence(F.lit(1), F.size("tokens") - 1),
+        lambda i: F.xxhash64(F.element_at("tokens", i), F.element_at("tokens", i + 1), "band"),
     )
-    rows = rows.withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
-    return rows.select(F.xxhash64("c.x", "c.y", "band").alias("combination"), "node", "few")
+    rows = rows.select("node", "few", keys.alias("keys"))
+    before = F.xxhash64(F.lit("none"), "node")
+    each = F.transform(
+        "keys", lambda key, i: F.struct(key.alias("combination"), F.coalesce(F.get("keys", i - 1), before).alias("before"))
+    )
+    return rows.select("node", "few", F.inline(each))
 
 
 def _apart(combinations: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of combinations that meet in more than one component, one of them with few rare tokens."""
     found = combinations.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     kept = found.groupBy("combination").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.max("few").alias("some")
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.max("few").alias("some"),
+        F.count(F.lit(1)).alias("size"),
     )
-    kept = kept.filter("low < high AND some").select("combination")
+    kept = kept.filter("low < high AND some").select("combination", "size")
     return found.join(kept, "combination")
 
 
-def _through(rows: DataFrame, pick: Callable[[Column], Column]) -> DataFrame:
-    """Pairs of the picked member of each combination and the members of other components."""
-    of = F.when(F.col("few"), F.struct("node", "component"))
-    heads = rows.groupBy("combination").agg(pick(of).alias("head"))
-    pairs = rows.join(heads, "combination").filter("component <> head.component")
-    low, high = F.least("node", "head.node"), F.greatest("node", "head.node")
-    return pairs.select(low.alias("a"), high.alias("b")).distinct()
+def _stars(rows: DataFrame) -> DataFrame:
+    """Pairs of one member of each combination and all of its other members."""
+    of = F.when(F.col("few"), F.col("node"))
+    heads = rows.groupBy("combination").agg(F.min(of).alias("head"))
+    pairs = rows.join(heads, "combination").filter("node <> head")
+    return pairs.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
 
 
-def _all_apart(rows: DataFrame) -> DataFrame:
-    """Pairs of members of different components, one of them with few rare tokens.
+def _in_blocks(rows: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs within combinations that their components, sizes and bitmaps leave.
 
-    A combination's largest component is on one side only, so that a group that is nearly
-    one component makes few pairs.
+    A combination of many members is cut into blocks by their hashes, and each two blocks
+    meet in a group of their own.
     """
-    sizes = rows.groupBy("combination", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("combination").agg(F.max_by("component", F.struct("size", "component")).alias("largest"))
-    rows = rows.join(largest, "combination")
-    left = rows.filter("component <> largest")
-    right = rows.select("combination", F.col("node").alias("other"), F.col("component").alias("theirs"), F.col("few").alias("few_too"))
-    pairs = left.join(right, "combination").filter("component <> theirs AND (few OR few_too)")
-    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.hash("node"), F.col("blocks"))
+    rows = rows.withColumn("blocks", blocks).withColumn("block", own)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    of = nodes.select("node", "n", "bits")
+    rows = rows.join(of, "node").select("combination", "low", "high", "block", "node", "few", "component", "before", "n", "bits")
+    groups = rows.repartition("combination", "low", "high").sortWithinPartitions("combination", "low", "high")
+    return groups.mapInArrow(_compare(rule), "a bigint, b bigint").distinct()
+
+
+def _compare(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    names = ["block", "node", "few", "component", "before", "n"]
+
+    def group(low: int, high: int, rows: dict[str, np.ndarray], bits: np.ndarray) -> Iterator[np.ndarray]:
+        left = np.flatnonzero(rows["block"] == low)
+        right = np.flatnonzero(rows["block"] == high)
+        for i in left.tolist():
+            others = right[right > i] if low == high else right
+            # A pair with one combination before this has met there.
+            apart = rows["component"][others] != rows["component"][i]
+            apart &= (rows["before"][others] != rows["before"][i]) & (rows["few"][others] | rows["few"][i])
+            others = others[apart]
+            if len(others):
+                different = np.bitwise_count(bits[others] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                others = others[rule.possible(rows["n"][others], rows["n"][i], different)]
+                node, theirs = rows["node"][i], rows["node"][others]
+                yield np.column_stack([np.minimum(theirs, node), np.maximum(theirs, node)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def made(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            if not table.num_rows:
+                return
+            keys = [table.column(c).to_numpy() for c in ("combination", "low", "high")]
+            rows = {c: table.column(c).to_numpy() for c in names}
+            bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(table.num_rows, BITS // 64)
+            new = np.ones(table.num_rows, bool)
+            new[1:] = np.any([key[1:] != key[:-1] for key in keys], axis=0)
+            starts = np.flatnonzero(new)
+            found = []
+            for s, e in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows], strict=True):
+                if e - s > 1:
+                    found += group(int(keys[1][s]), int(keys[2][s]), {c: v[s:e] for c, v in rows.items()}, bits[s:e])
+            if found:
+                pairs = np.unique(np.concatenate(found), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            keys = [held.column(c).to_numpy() for c in ("combination", "low", "high")]
+            # The last group may go on in the next batch.
+            same = np.all([key == key[-1] for key in keys], axis=0) if held.num_rows else np.zeros(0, bool)
+            cut = int(held.num_rows - same.sum())
+            yield from made(held.slice(0, cut))
+            held = held.slice(cut)
+        if held is not None:
+            yield from made(held)
+
+    return run
 
 
 def join_similar(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", column: str = "text") -> DataFrame:
@@ -297,11 +400,13 @@ def join_similar(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
     """
     rule = Rule(words, percent)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(column).alias("text"))
-    described = texts.mapInArrow(_describe(rule), "doc_id bigint, n bigint, key_a bigint, key_b bigint")
+    described = texts.mapInArrow(_describe(rule), "doc_id bigint, n bigint, key_a bigint, key_b bigint, bits binary")
     described = staged(described, "sets")
     named = described.filter("n > 0 AND doc_id IS NOT NULL")
-    nodes = named.groupBy("key_a", "key_b", "n").agg(F.min("doc_id").alias("node"))
-    members = staged(named.join(nodes, ["key_a", "key_b", "n"]).select("doc_id", "n", "node"), "members")
+    first = named.groupBy("key_a", "key_b", "n").agg(F.min("doc_id").alias("node"))
+    members = staged(named.join(first, ["key_a", "key_b", "n"]).select("doc_id", "n", "node", "bits"), "members")
+    nodes = members.filter("doc_id = node").select("node", "n", "bits").dropDuplicates(["node", "n"])
+    members = members.select("doc_id", "n", "node")
 
     usable = texts.filter("doc_id IS NOT NULL AND text IS NOT NULL")
     tokens = usable.mapInArrow(_tokens(rule, False), "token bigint, doc_id bigint, count int")
@@ -319,19 +424,20 @@ def join_similar(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
         pairs = pairs.join(of, end)
     pairs = pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).filter("a < b")
     rows = _apart(combinations, docs.sparkSession.createDataFrame([], "node bigint, component bigint"))
-    pairs = staged(pairs.unionByName(_through(rows, F.min)).distinct(), "pairs")
+    pairs = pairs.unionByName(_stars(rows)).distinct()
+    pairs = staged(possible_pairs(pairs, nodes, rule), "pairs")
 
     # From here on only texts of nodes with a candidate matter.
-    wanted = [pairs.select("a"), pairs.select("b"), combinations.select("node")]
+    wanted = [pairs.select("a"), pairs.select("b"), rows.select("node")]
     wanted = reduce(DataFrame.union, wanted).distinct().toDF("doc_id")
     chosen = staged(usable.join(wanted, "doc_id"), "candidates")
     links = [staged(similar_pairs(pairs, chosen, rule), "similar")]
     same = named_links(members)
     labels = components(links[0].union(same))
-    for step in (lambda rows: _through(rows, F.max), _all_apart):
-        pairs = staged(step(_apart(combinations, labels)), "pairs")
-        links.append(staged(similar_pairs(pairs, chosen, rule), "similar"))
-        labels = components(reduce(DataFrame.union, links).union(same))
+    apart = _apart(combinations, labels)
+    pairs = staged(_in_blocks(apart, nodes, rule), "pairs")
+    links.append(staged(similar_pairs(pairs, chosen, rule), "similar"))
+    labels = components(reduce(DataFrame.union, links).union(same))
     found = labels.withColumnRenamed("node", "__node")
     return described.join(found, F.col("doc_id") == F.col("__node"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
