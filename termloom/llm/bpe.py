@@ -40,6 +40,8 @@ CACHED_WORDS = 200_000
 #: Words that the library encodes at a time; what it returns for each takes about a kilobyte.
 ENCODED_WORDS = 2_000
 WINDOW = 4
+#: What separates words; Python calls more than that white space.
+SPACE = " \t\n\r\x0b\x0c"
 
 
 def pack(ids: list[int]) -> bytes:
@@ -92,7 +94,7 @@ class Encoder:
         for found in re.finditer(rf"{WORD_PATTERN}", text):
             if len(found[0]) < LONG_CHARS:
                 continue
-            if text[at : found.start()].strip():
+            if text[at : found.start()].strip(SPACE):
                 yield unit, "plain", text[at : found.start()]
                 unit += 1
             for part in self.added.split(found[0]) if self.added else [found[0]]:
@@ -108,7 +110,7 @@ class Encoder:
                         yield unit, "end" if last else "open", piece
                     unit += 1
             at = found.end()
-        if text[at:].strip():
+        if text[at:].strip(SPACE):
             yield unit, "plain", text[at:]
 
     def piece(self, kind: str, text: str) -> bytes:
@@ -214,7 +216,7 @@ def _encode_long(texts: DataFrame, path: str) -> DataFrame:
 
     pieces = texts.mapInArrow(cut, "text_key string, number bigint, unit bigint, kind string, text string")
     spread = pieces.repartition("text_key", "number")
-    coded = add_columns(spread, encode, "ids binary", "text", ["text_key", "number", "unit"])
+    coded = add_columns(spread, encode, "ids binary", "text", ["text_key", "number", "unit"], ("kind",))
     # One group is one text.
     return coded.groupBy("text_key").applyInPandas(joined, "text_key string, ids binary")
 
