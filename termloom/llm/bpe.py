@@ -20,10 +20,10 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,12 +33,15 @@ from tokenizers.models import BPE
 from termloom.llm.batches import add_columns, byte_slices, filled
 from termloom.llm.words import WORD_PATTERN
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 LONG_CHARS = 1 << 16
 PIECE_CHARS = 1 << 12
 #: Words kept by a task; beyond that it forgets them and starts anew.
-CACHED_WORDS = 200_000
+CACHED_WORDS = 60_000
 #: Words that the library encodes at a time; what it returns for each takes about a kilobyte.
-ENCODED_WORDS = 2_000
+ENCODED_WORDS = 1_000
 WINDOW = 4
 #: What separates words; Python calls more than that white space.
 SPACE = " \t\n\r\x0b\x0c"
@@ -57,19 +60,27 @@ class Encoder:
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
         if not any(s["type"] == "Split" and s["behavior"] == "Removed" and s["invert"] for s in steps):
             raise ValueError(f"{path}: the tokenizer does not drop white space")
-        model = spec["model"]
-        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.suffix = model.get("end_of_word_suffix") or ""
+        self.path = path
+        self.suffix = spec["model"].get("end_of_word_suffix") or ""
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
         self.whole.no_padding()
-        #: The same merges without a mark at the end, for pieces that do not end a word.
-        self.open_model = BPE(vocab=model["vocab"], merges=merges)
-        self.names = names(path)
         added = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self.known: dict[bytes, bytes] = {}
 
+    @cached_property
+    def open_model(self) -> BPE:
+        """The same merges without a mark at the end, for pieces that do not end a word."""
+        with open(self.path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        return BPE(vocab=model["vocab"], merges=merges)
+
+    @property
+    def names(self) -> dict[int, str]:
+        return names(self.path)
+
     def words(self, texts: list[bytes]) -> list[bytes]:
         """Packed ids of each text."""
         cut = [text.split() for text in texts]
@@ -176,12 +187,22 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _encode_plain(docs: DataFrame, path: str, column: str, keep: list[str]) -> DataFrame:
+def _decoded(path: str, packed: list[bytes]) -> list[str]:
+    tokenizer, known = decoding_tokenizer(path), names(path)
+    rows = (np.frombuffer(ids, "<u4").tolist() for ids in packed)
+    if tokenizer is None:
+        return [" ".join([known[i] for i in ids if i in known]) for ids in rows]
+    return tokenizer.decode_batch(list(rows), skip_special_tokens=False)
+
+
+def _encode_plain(docs: DataFrame, path: str, column: str, keep: list[str], decoded: bool) -> DataFrame:
     def make(part: pa.RecordBatch) -> dict[str, pa.Array]:
         texts = filled(part.column(column)).cast(pa.binary()).to_pylist()
-        return {"ids": pa.array(encoder(path).words(texts), pa.binary())}
+        ids = encoder(path).words(texts)
+        out = {"ids": pa.array(ids, pa.binary())}
+        return out | {"decoded": pa.array(_decoded(path, ids), pa.string())} if decoded else out
 
-    return add_columns(docs, make, "ids binary", column, keep)
+    return add_columns(docs, make, "ids binary, decoded string" if decoded else "ids binary", column, keep)
 
 
 def _encode_long(texts: DataFrame, path: str) -> DataFrame:
@@ -208,6 +229,8 @@ def _encode_long(texts: DataFrame, path: str) -> DataFrame:
         return {"ids": pa.array([encoder(path).piece(kind, text) for kind, text in rows], pa.binary())}
 
     def joined(group: pd.DataFrame) -> pd.DataFrame:
+        import pandas as pd  # workers that only encode words do without it
+
         out = []
         for _, unit in group.sort_values("number").groupby("unit", sort=True):
             parts = [np.frombuffer(ids, "<u4").tolist() for ids in unit["ids"]]
@@ -221,22 +244,28 @@ def _encode_long(texts: DataFrame, path: str) -> DataFrame:
     return coded.groupBy("text_key").applyInPandas(joined, "text_key string, ids binary")
 
 
-def encode(docs: DataFrame, path: str, column: str = "text", keep: list[str] | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, column: str = "text", keep: list[str] | None = None, decoded: bool = False
+) -> DataFrame:
     """The kept columns and ``ids``, the packed token ids of each whole text, without added tokens.
 
+    ``decoded`` adds what ``decode`` makes of the ids, by the same worker.
+
     A null or empty text has no ids. Texts with a long unsplit run go piece by piece, each
     distinct text once; the others are encoded in their own rows and move nowhere.
     """
-    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() != "ids"]
+    made = ("ids", "decoded") if decoded else ("ids",)
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in made]
     text = F.col(column)
     run = F.length(text) >= LONG_CHARS
     run = F.coalesce(F.when(run, text.rlike(f"{WORD_PATTERN[:-1]}{{{LONG_CHARS}}}")), F.lit(False))
-    plain = _encode_plain(docs.filter(~run), path, column, kept)
+    plain = _encode_plain(docs.filter(~run), path, column, kept, decoded)
     long = docs.filter(run).select(*kept, F.sha2(text, 256).alias("__key"), text.alias("__text"))
     texts = long.select(F.col("__key").alias("text_key"), F.col("__text").alias("text"))
     coded = _encode_long(texts.dropDuplicates(["text_key"]), path)
     long = long.join(coded.withColumnRenamed("text_key", "__key"), "__key", "left")
-    return plain.unionByName(long.select(*kept, F.coalesce("ids", F.lit(b"")).alias("ids")))
+    long = long.select(*kept, F.coalesce("ids", F.lit(b"")).alias("ids"))
+    return plain.unionByName(decode(long, path) if decoded else long)
 
 
 def decode(coded: DataFrame, path: str, keep: list[str] | None = None) -> DataFrame:
@@ -246,12 +275,6 @@ def decode(coded: DataFrame, path: str, keep: list[str] | None = None) -> DataFr
     """
 
     def make(part: pa.RecordBatch) -> dict[str, pa.Array]:
-        tokenizer, known = decoding_tokenizer(path), names(path)
-        rows = [np.frombuffer(ids, "<u4").tolist() for ids in filled(part.column("ids")).to_pylist()]
-        if tokenizer is None:
-            texts = [" ".join([known[i] for i in ids if i in known]) for ids in rows]
-        else:
-            texts = tokenizer.decode_batch(rows, skip_special_tokens=False)
-        return {"decoded": pa.array(texts, pa.string())}
+        return {"decoded": pa.array(_decoded(path, filled(part.column("ids")).to_pylist()), pa.string())}
 
     return add_columns(coded, make, "decoded string", "ids", keep)

@@ -163,8 +163,7 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again, as digests."""
     path = public_tokenizers.path(TOKENIZER)
-    coded = bpe.encode(_table(spark, sf_dir, "documents"), path, keep=["doc_id"])
-    decoded = bpe.decode(coded, path)
+    decoded = bpe.encode(_table(spark, sf_dir, "documents"), path, keep=["doc_id"], decoded=True)
     return decoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
