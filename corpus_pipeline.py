@@ -51,8 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, packed, with their number and the decoded text's digest."""
     path = public_tokenizers.path(TOKENIZER)
-    coded = bpe.encode(docs, path, keep=["doc_id", "lang", "source"])
-    decoded = bpe.decode(coded, path)
+    decoded = bpe.encode(docs, path, keep=["doc_id", "lang", "source"], decoded=True)
     return decoded.select(
         "doc_id",
         "lang",
