@@ -1,6 +1,7 @@
 """Mixing, language models and token ids."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -138,6 +139,50 @@ def test_scores_against_plain_python(spark, table):
     assert np.allclose(got, plain_scores(target, texts, 6, 12), atol=1e-9)
 
 
+def plain_whole_scores(target, background, texts):
+    def tokens(text):
+        return re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+
+    models = []
+    for corpus in (target, background):
+        singles = Counter(w for t in corpus for w in tokens(t))
+        doubles = Counter(p for t in corpus for p in itertools.pairwise(tokens(t)))
+        models.append((singles, doubles, sum(singles.values())))
+    words = len(models[0][0].keys() | models[1][0].keys())
+    out = []
+    for text in texts:
+        own, losses = tokens(text), []
+        for singles, doubles, total in models:
+            sum_ = 0.0
+            for i, w in enumerate(own):
+                chance = (singles[w] + 1) / (total + words + 1)
+                if i:
+                    held = doubles[own[i - 1], w] / max(singles[own[i - 1]], 1)
+                    chance = lm_scoring.MIX * held + (1 - lm_scoring.MIX) * chance
+                sum_ -= math.log(chance)
+            losses.append(sum_ / max(len(own), 1))
+        out.append((len(own), *losses, losses[0] - losses[1]))
+    return out
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_scores_know_every_word_and_pair(table, monkeypatch, same):
+    monkeypatch.setattr(lm_scoring, "GATHER_BYTES", 20_000)
+    r = random.Random(5)
+    # More words than any fixed limit kept, most of them once; some are only in the target.
+    texts = [" ".join(r.choice([f"rare{i}x{k}", "The", "of", f"w{r.randrange(300)}"]) for k in range(150)) for i in range(900)]
+    texts += [None, "", " ", "alone", "The of " * 9000]
+    assert len({w for t in texts for w in (t or "").lower().split()}) > 32_768
+    target = [texts[3], "only here only there", texts[5] + " new", None]
+    docs = table(list(enumerate(texts)))
+    scored = texts if same else ["only here alone", "unseen of the", texts[7], None]
+    rows = docs if same else table(list(enumerate(scored)))
+    model = lm_scoring.fit(table(list(enumerate(target))), docs)
+    found = sorted(lm_scoring.score(rows, model, keep=["doc_id"]).collect(), key=lambda x: x["doc_id"])
+    got = [(x["n_tokens"], x["target_loss"], x["background_loss"], x["score"]) for x in found]
+    assert np.allclose(got, plain_whole_scores(target, texts, scored), atol=1e-9)
+
+
 def test_scores_prefer_the_target(spark, table):
     docs = table([(i, "red green blue " * 9 if i % 2 else "one two three " * 9) for i in range(40)])
     scorer = lm_scoring.fit(table([(0, "red green blue " * 20)]), docs)
