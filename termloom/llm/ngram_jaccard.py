@@ -125,10 +125,10 @@ def _describe(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
-def _tokens(rule: Rule, frequent: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Prefix tokens with their documents; of a token in more than ``RARE`` of a slice's sets, only their number.
+def _tokens(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Prefix tokens with their documents; of a token in more than ``RARE`` of a slice's sets, a row with their number.
 
-    With ``frequent``, instead the documents of those tokens. Equal sets of a slice count once.
+    The documents of those tokens follow, with a count of 0. Equal sets of a slice count once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,15 +151,13 @@ def _tokens(rule: Rule, frequent: bool) -> Callable[[Iterator[pa.RecordBatch]],
                 starts = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])) if len(tokens) else order
                 counts = np.diff(np.append(starts, len(tokens)))
                 crowded = np.repeat(counts > RARE, counts)
-                if frequent:
-                    arrays = [pa.array(holders[crowded]), pa.array(tokens[crowded])]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "token"])
-                    continue
                 many = starts[counts > RARE]
+                of = [pa.array(holders[~crowded], pa.int64()), pa.nulls(len(many), pa.int64()), pa.array(holders[crowded], pa.int64())]
+                number = [np.ones(int((~crowded).sum())), counts[counts > RARE], np.zeros(int(crowded.sum()))]
                 arrays = [
-                    pa.array(np.concatenate([tokens[~crowded], tokens[many]])),
-                    pa.concat_arrays([pa.array(holders[~crowded], pa.int64()), pa.nulls(len(many), pa.int64())]),
-                    pa.array(np.concatenate([np.ones(int((~crowded).sum()), np.int32), counts[counts > RARE].astype(np.int32)])),
+                    pa.array(np.concatenate([tokens[~crowded], tokens[many], tokens[crowded]])),
+                    pa.concat_arrays(of),
+                    pa.array(np.concatenate(number).astype(np.int32)),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=["token", "doc_id", "count"])
 
@@ -409,11 +407,12 @@ def join_similar(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
     members = members.select("doc_id", "n", "node")
 
     usable = texts.filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    tokens = usable.mapInArrow(_tokens(rule, False), "token bigint, doc_id bigint, count int")
-    tokens = tokens.repartition("token").sortWithinPartitions("token")
+    # Slices may fall differently whenever the texts are read, so one reading makes both kinds of rows.
+    found = staged(usable.mapInArrow(_tokens(rule), "token bigint, doc_id bigint, count int"), "tokens")
+    tokens = found.filter("count > 0").repartition("token").sortWithinPartitions("token")
     classed = staged(tokens.mapInArrow(_classes, "a bigint, b bigint, token bigint"), "classed")
     pairs = classed.filter("b IS NOT NULL").select("a", "b").distinct()
-    crowded = usable.mapInArrow(_tokens(rule, True), "doc_id bigint, token bigint")
+    crowded = found.filter("count = 0").select("doc_id", "token")
     frequent = classed.filter("b IS NULL").select(F.col("a").alias("doc_id"), "token").unionByName(crowded)
     # Sets that several slices hold have one node.
     node_of = members.select("doc_id", "node").distinct()

@@ -88,11 +88,8 @@ def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)
 
 
-def _anchors(length: int, every: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Of each slice, its anchors with smallest and largest document, and how many pieces they have.
-
-    With ``every``, instead each document of the anchors that two of its documents share.
-    """
+def _anchors(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of each slice, its anchors with smallest and largest document, all documents but the smallest, and how many pieces they have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,29 +103,34 @@ def _anchors(length: int, every: bool) -> Callable[[Iterator[pa.RecordBatch]], I
                 anchors, docs = anchors[order][runs], docs[order][runs]
                 starts = np.flatnonzero(np.append(True, anchors[1:] != anchors[:-1])) if len(anchors) else runs
                 sizes = np.diff(np.append(starts, len(anchors)))
-                if every:
-                    shared = np.repeat(sizes > 1, sizes)
-                    arrays = [pa.array(docs[shared]), pa.array(anchors[shared])]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "anchor"])
-                    continue
                 all_anchors = anchor[first]
                 order, runs = _runs(all_anchors, seconds)
                 of = all_anchors[order][runs]
                 many = np.diff(np.append(np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else runs, len(of)))
+                others = np.ones(len(docs), bool)
+                others[starts] = False
+                ends = np.append(0, np.cumsum(sizes - 1)).astype(np.int32)
                 arrays = [
                     pa.array(anchors[starts]),
                     pa.array(docs[starts]),
                     pa.array(docs[starts + sizes - 1] if len(starts) else docs),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(docs[others]), mask=pa.array(sizes == 1)),
                     pa.array(many.astype(np.int32)),
                 ]
-                yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "low", "high", "pieces"])
+                yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "low", "high", "others", "pieces"])
 
     return run
 
 
 def _shared_anchors(texts: DataFrame, length: int) -> DataFrame:
-    """``(doc_id, anchors, crowded)``: of each document the anchors that others have too."""
-    gathered = texts.mapInArrow(_anchors(length, False), "anchor bigint, low bigint, high bigint, pieces int")
+    """``(doc_id, anchors, crowded)``: of each document the anchors that others have too.
+
+    Slices may fall differently whenever the texts are read, so one reading tells both
+    which anchors are shared and which documents have them.
+    """
+    gathered = texts.mapInArrow(
+        _anchors(length), "anchor bigint, low bigint, high bigint, others array<bigint>, pieces int"
+    )
     # A group has one row per slice at most, however many documents share the anchor.
     same = Window.partitionBy("anchor")
     gathered = gathered.withColumns(
@@ -138,15 +140,8 @@ def _shared_anchors(texts: DataFrame, length: int) -> DataFrame:
             "crowded": F.max("pieces").over(same) >= CROWDED,
         }
     ).filter("least < most")
-    gathered = gathered.select(F.col("low").alias("doc_id"), "anchor", "crowded")
-    within = texts.mapInArrow(_anchors(length, True), "doc_id bigint, anchor bigint")
-    # The slices' own shared anchors must know which of them are crowded.
-    gathered = staged(gathered, "anchors")
-    crowded = gathered.filter("crowded").select("anchor").distinct().withColumn("crowded", F.lit(True))
-    within = within.join(crowded, "anchor", "left").select(
-        "doc_id", "anchor", F.coalesce("crowded", F.lit(False)).alias("crowded")
-    )
-    both = gathered.unionByName(within)
+    docs = F.concat(F.array("low"), F.coalesce("others", F.array().cast("array<bigint>")))
+    both = gathered.select(F.explode(docs).alias("doc_id"), "anchor", "crowded")
     return both.groupBy("doc_id").agg(
         F.collect_set(F.when(~F.col("crowded"), F.col("anchor"))).alias("anchors"),
         F.collect_set(F.when(F.col("crowded"), F.col("anchor"))).alias("crowded"),

@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import uuid
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +84,45 @@ def test_join_odd_rows(table):
     assert ngram_jaccard.join_similar(table([]), 4, 85).count() == 0
 
 
+def reordered(df, marks, copies, turn):
+    """The rows in one task, by groups of copies in every second reading, else with the copies of a group far apart."""
+
+    def run(batches):
+        table = pa.Table.from_batches(list(batches))
+        (marks / uuid.uuid4().hex).touch()
+        number = table.column("doc_id").to_numpy()
+        together = len(list(marks.iterdir())) % 2 == turn
+        yield from table.take(np.argsort(number if together else number % copies, kind="stable")).to_batches()
+
+    return df.coalesce(1).mapInArrow(run, df.schema)
+
+
+def copies_with_edits(groups, copies):
+    rows = []
+    for g in range(groups):
+        base = [f"g{g}w{k}" for k in range(40)]
+        rows += [(g * copies + c, " ".join([*base, f"own{g}x{c}"])) for c in range(copies)]
+    return rows
+
+
+@pytest.mark.parametrize("turn", [0, 1])
+def test_join_when_slices_differ_between_readings(table, monkeypatch, tmp_path, turn):
+    monkeypatch.setattr(ngram_jaccard, "GATHER_BYTES", 5000)
+    rows = copies_with_edits(6, 24)
+    docs = reordered(table(rows), tmp_path, 24, turn)
+    got = {r[0]: tuple(r)[1:] for r in ngram_jaccard.join_similar(docs, 4, 85).collect()}
+    assert got == plain_components(rows, 4, 85)
+
+
+@pytest.mark.parametrize("turn", [0, 1])
+def test_removal_when_slices_differ_between_readings(table, monkeypatch, tmp_path, turn):
+    monkeypatch.setattr(substring_dedup, "GATHER_BYTES", 2500)
+    rows = copies_with_edits(8, 8)
+    docs = reordered(table(rows), tmp_path, 8, turn)
+    found = substring_dedup.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256))
+    assert sorted(map(tuple, found.collect())) == sorted(plain_removal(rows))
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
