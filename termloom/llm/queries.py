@@ -18,11 +18,14 @@ from termloom.llm import (
     quality_classifier,
     quality_rules,
     substring_dedup,
+    token_counts,
 )
 from termloom.llm.warc import mark_revisits, read_archives, write_archives
 from termloom.session import scratch_path, staged
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
+MAX_TOKENS = 4096
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -178,6 +181,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of bytes and tokens of every text, and whether it has more than a context holds."""
+    docs = _table(spark, sf_dir, "documents")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path(PIECES), keep=["doc_id"])
+    return counted.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -189,6 +199,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_bpe": op9_bpe,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_token_counts": op13_token_counts,
 }
 
 _BASE32 = " || ".join(
