@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm import (
+    alignment,
     bpe,
     fingerprints,
     lm_scoring,
@@ -25,6 +26,7 @@ from termloom.session import scratch_path, staged
 
 TOKENIZER = "word_bpe_49k.json"
 PIECES = "piece_bpe_32k.model"
+BYTE_LEVEL = "byte_bpe_50k.json"
 MAX_TOKENS = 4096
 
 
@@ -181,6 +183,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of every text by two tokenizers, in groups that end together."""
+    paths = (public_tokenizers.path(name) for name in (BYTE_LEVEL, PIECES))
+    return alignment.alignments(_table(spark, sf_dir, "documents"), *paths, keep=["doc_id"])
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number of bytes and tokens of every text, and whether it has more than a context holds."""
     docs = _table(spark, sf_dir, "documents")
@@ -199,6 +207,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_bpe": op9_bpe,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_token_alignment": op12_token_alignment,
     "op13_token_counts": op13_token_counts,
 }
 
