@@ -16,6 +16,7 @@ from termloom.llm import (
     mixing,
     ngram_jaccard,
     pii,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     substring_dedup,
@@ -183,6 +184,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every common beginning of the rebuilt conversations."""
+    told = prefix_trie.sequences(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_nodes(prefix_trie.rebuilt(told))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tokens of every text by two tokenizers, in groups that end together."""
     paths = (public_tokenizers.path(name) for name in (BYTE_LEVEL, PIECES))
@@ -207,6 +214,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_bpe": op9_bpe,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_token_alignment": op12_token_alignment,
     "op13_token_counts": op13_token_counts,
 }
@@ -272,6 +280,31 @@ s AS (SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY i) AS kep
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN s USING (doc_id)"""
 
+_OP11 = """WITH x AS (SELECT list(v ORDER BY x) AS tab FROM (SELECT x, list_reduce(list_prepend(x, range(8)),
+          lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(x))),
+t AS (SELECT conv_id, turn, coalesce(text, '') AS text, md5(coalesce(role, '')) || md5(coalesce(text, '')) AS k
+      FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list(k ORDER BY turn NULLS FIRST, k) AS ks,
+             list(octet_length(encode(text))::BIGINT ORDER BY turn NULLS FIRST, k) AS bs FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, ks, bs, xor(4294967295, list_reduce(list_prepend(4294967295,
+             list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+             lambda a, d: xor(a >> 8, tab[(xor(a, d) & 255) + 1]))) % 9 AS h FROM c, x),
+r AS (SELECT h.conv_id, list_concat(coalesce(c.ks[1:h], []), h.ks[h + 1:]) AS ks,
+             list_concat(coalesce(c.bs[1:h], []), h.bs[h + 1:]) AS bs
+      FROM h LEFT JOIN c ON c.conv_id = h.conv_id - h.conv_id % 5),
+p AS (SELECT conv_id, ks, bs, unnest(range(len(ks) + 1)) AS d FROM r),
+n AS (SELECT d, md5(array_to_string(ks[1:d], '')) AS k, md5(array_to_string(ks[1:greatest(d - 1, 0)], '')) AS up,
+             min(conv_id) AS conv_id, count(*) AS n, any_value(bs[d]) AS b, any_value(ks[1:d]) AS ks,
+             coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = len(ks)), '') AS ends
+      FROM p GROUP BY d, k, up),
+m AS (SELECT n.*, coalesce(kids, 0) AS kids FROM n LEFT JOIN (
+          SELECT up AS k, d - 1 AS d, count(*) AS kids FROM n WHERE d > 0 GROUP BY ALL) USING (k, d)),
+a AS (SELECT e AS d, md5(array_to_string(ks[1:e], '')) AS k, sum((kids = 0)::BIGINT) AS leaves,
+             sum((n - 1) * coalesce(b, 0)) AS saved FROM (SELECT *, unnest(range(d + 1)) AS e FROM m) GROUP BY ALL)
+SELECT m.conv_id, m.d AS depth, o.conv_id AS parent_conv_id, m.n AS n_convs, m.kids AS n_children,
+       a.leaves::BIGINT AS n_leaves, a.saved::BIGINT AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN a USING (k, d) LEFT JOIN m o ON m.d > 0 AND o.k = m.up AND o.d = m.d - 1"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 last AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS newest FROM p)
@@ -281,4 +314,5 @@ SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, {_BASE32} A
     "op5_mixing": _OP5,
     "op6_quality_rules": _OP6,
     "op10_substring_dedup": _OP10,
+    "op11_prefix_trie": _OP11,
 }
