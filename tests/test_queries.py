@@ -12,8 +12,8 @@ SMALL = "/root/testdata/sf0.001"
 def test_twin(spark, name):
     frame, sql = registry.queries()[name](spark, SMALL), registry.oracle_sql()[name]
     # Pandas has no integer column with nulls; Spark and DuckDB stand in for them differently.
-    if "refers_to" in frame.columns:
-        frame, sql = frame.na.fill(-1, ["refers_to"]), f"SELECT * REPLACE (coalesce(refers_to, -1) AS refers_to) FROM ({sql})"
+    for column in {"refers_to", "parent_conv_id"} & set(frame.columns):
+        frame, sql = frame.na.fill(-1, [column]), f"SELECT * REPLACE (coalesce({column}, -1) AS {column}) FROM ({sql})"
     assert differences(frame, sql, SMALL) is None
 
 
