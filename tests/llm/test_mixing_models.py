@@ -204,7 +204,7 @@ def test_lm_query_covers_every_document(spark):
 
 # --- BPE ---------------------------------------------------------------------------
 
-PARTS = ["a", "b", "the", "ing", "é", "日本", "İ", "1", "23", "!", "'s", "'", "<|startoftext|>", "<|endoftext|>", "A", "ti", "🎉", "́", "\x1c", " ", " ", "aaaa", "abab"]
+PARTS = ["a", "=====", "lower", "ßüé", "日本語日本", "b", "the", "ing", "é", "日本", "İ", "1", "23", "!", "'s", "'", "<|startoftext|>", "<|endoftext|>", "A", "ti", "🎉", "́", "\x1c", " ", " ", "aaaa", "abab"]
 
 
 @pytest.fixture(scope="module")
@@ -216,23 +216,31 @@ def library():
 
 
 def test_halves_join_to_the_whole(library, monkeypatch):
-    monkeypatch.setattr(bpe, "LONG_CHARS", 30)
     monkeypatch.setattr(bpe, "PIECE_CHARS", 7)
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 50)
     own, r = bpe.Encoder(PATH), random.Random(1)
-    for _ in range(1500):
+    open_cuts = 0
+    for _ in range(3000):
         some = r.sample(PARTS, r.randrange(1, len(PARTS)))
         text = "".join(r.choice(some) if r.random() > 0.02 else r.choice(" \n\t") for _ in range(r.randrange(1, 120)))
-        units = {}
-        for unit, kind, piece in own.pieces(text):
-            units.setdefault(unit, []).append(np.frombuffer(own.piece(kind, piece), "<u4").tolist())
+        pieces = own.pieces(text)
+        assert "".join(piece for piece, _ in pieces) == text
+        open_cuts += sum(unfinished for _, unfinished in pieces)
+        parts = [np.frombuffer(own.piece(*piece), "<u4").tolist() for piece in pieces]
         want = library.encode(text, add_special_tokens=False).ids
-        assert [i for parts in units.values() for i in own.tree(parts)] == want, text
+        assert own.tree(parts) == want, text
         assert own.words([text.encode()]) == [bpe.pack(want)], text
+    assert open_cuts > 5000
+
+
+def test_long_texts_of_the_given_table_go_through_the_tree(spark):
+    lengths = [len(r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    assert max(lengths) >= bpe.LONG_CHARS
 
 
 def test_encoding_query_against_the_library(spark, table, tables, library):
     long = "ab" * 50_000
-    rows = [(1, None), (2, ""), (3, " \n"), (4, "Hello  WORLD é"), (4, "Hello  WORLD é"), (None, "x"), (5, f"start {long}é9 end"), (6, f"start {long}é9 end"), (7, "<|endoftext|>" + "!" * 70_000), (8, "word " * 30_000)]
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "Hello  WORLD é"), (4, "Hello  WORLD é"), (None, "x"), (5, f"start {long}é9 end"), (6, f"start {long}é9 end"), (7, "<|endoftext|>" + "!" * 70_000), (8, "word " * 30_000), (9, "unsplit" * 9000), (10, "éà" * 30_000), (11, "7" * 50_000), (12, "漢字" * 20_000)]
     out = queries.op9_bpe(spark, tables(documents=table(rows))).collect()
     got = sorted((str(x["doc_id"]), x["n_tokens"], x["ids_sha256"], x["decoded_sha256"]) for x in out)
     want = []
