@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,32 +24,47 @@ def local_session(cores: int | str = 8, app_name: str = "termloom", scratch: str
     return builder.getOrCreate()
 
 
-@functools.cache
-def _single_host_folder() -> str:
-    return tempfile.mkdtemp(prefix="termloom-")
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the cluster's shared ``spark.checkpoint.dir``.
 
-    The setting is read from the session. Where it is unset, a session within one JVM
-    gets a temporary folder of its host; on a cluster that is an error, because no
-    executor would see what another has written.
+    The setting is read from the session. Where it is unset, a session within one JVM uses a
+    folder of its warehouse; on a cluster that is an error, because nothing says that every
+    executor sees what another has written.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         master = spark.conf.get("spark.master", "")
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = _single_host_folder()
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _write(df: DataFrame, path: str) -> DataFrame:
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written once to the shared folder and read back.
 
     For narrow results of a costly scan that several branches of a plan read.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return _write(df, scratch_path(df.sparkSession, name))
+
+
+class Staging:
+    """Staged tables that are emptied as soon as no plan reads them any more."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        self.paths[name] = scratch_path(self.spark, name)
+        return _write(df, self.paths[name])
+
+    def drop(self, *names: str) -> None:
+        """Give back what these take. Whatever was made of them must have been staged itself."""
+        for name in names:
+            self.spark.range(0).write.mode("overwrite").parquet(self.paths.pop(name))
