@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from termloom.llm.batches import byte_slices
 from termloom.llm.components import components
 from termloom.llm.words import find_words, gram_hashes, gram_starts, mix, word_hashes
-from termloom.session import staged
+from termloom.session import Staging, staged
 
 #: A token in more prefixes is frequent.
 RARE = 8
@@ -46,6 +46,8 @@ BITS = 512
 #: A combination with more members is compared in blocks of about so many.
 BLOCK = 2048
 GATHER_BYTES = 4 << 20
+#: Places over which the rows of equal sets are spread.
+PARTS = 16
 
 
 def _sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -397,45 +399,49 @@ def join_similar(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
     different texts are one node of the graph.
     """
     rule = Rule(words, percent)
+    staging = Staging(docs.sparkSession)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(column).alias("text"))
     described = texts.mapInArrow(_describe(rule), "doc_id bigint, n bigint, key_a bigint, key_b bigint, bits binary")
     described = staged(described, "sets")
-    named = described.filter("n > 0 AND doc_id IS NOT NULL")
-    first = named.groupBy("key_a", "key_b", "n").agg(F.min("doc_id").alias("node"))
-    members = staged(named.join(first, ["key_a", "key_b", "n"]).select("doc_id", "n", "node", "bits"), "members")
+    members = staged(_equal_sets(described.filter("n > 0 AND doc_id IS NOT NULL")), "members")
     nodes = members.filter("doc_id = node").select("node", "n", "bits").dropDuplicates(["node", "n"])
     members = members.select("doc_id", "n", "node")
 
     usable = texts.filter("doc_id IS NOT NULL AND text IS NOT NULL")
     # Slices may fall differently whenever the texts are read, so one reading makes both kinds of rows.
-    found = staged(usable.mapInArrow(_tokens(rule), "token bigint, doc_id bigint, count int"), "tokens")
+    found = staging.keep("tokens", usable.mapInArrow(_tokens(rule), "token bigint, doc_id bigint, count int"))
     tokens = found.filter("count > 0").repartition("token").sortWithinPartitions("token")
-    classed = staged(tokens.mapInArrow(_classes, "a bigint, b bigint, token bigint"), "classed")
-    pairs = classed.filter("b IS NOT NULL").select("a", "b").distinct()
+    classed = staging.keep("classed", tokens.mapInArrow(_classes, "a bigint, b bigint, token bigint"))
     crowded = found.filter("count = 0").select("doc_id", "token")
     frequent = classed.filter("b IS NULL").select(F.col("a").alias("doc_id"), "token").unionByName(crowded)
     # Sets that several slices hold have one node.
     node_of = members.select("doc_id", "node").distinct()
     frequent = frequent.join(node_of, "doc_id").select(F.col("node").alias("doc_id"), "token").distinct()
-    combinations = staged(_combinations(frequent, members, rule), "combinations")
+    combinations = staging.keep("combinations", _combinations(frequent, members, rule))
+    staging.drop("tokens")
+    pairs = classed.filter("b IS NOT NULL").select("a", "b").distinct()
     for end in ("a", "b"):
         of = node_of.select(F.col("doc_id").alias(end), F.col("node").alias(f"node_{end}"))
         pairs = pairs.join(of, end)
     pairs = pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).filter("a < b")
     rows = _apart(combinations, docs.sparkSession.createDataFrame([], "node bigint, component bigint"))
     pairs = pairs.unionByName(_stars(rows)).distinct()
-    pairs = staged(possible_pairs(pairs, nodes, rule), "pairs")
+    pairs = staging.keep("pairs", possible_pairs(pairs, nodes, rule))
+    staging.drop("classed")
 
     # From here on only texts of nodes with a candidate matter.
     wanted = [pairs.select("a"), pairs.select("b"), rows.select("node")]
     wanted = reduce(DataFrame.union, wanted).distinct().toDF("doc_id")
-    chosen = staged(usable.join(wanted, "doc_id"), "candidates")
+    chosen = staging.keep("candidates", usable.join(wanted, "doc_id"))
     links = [staged(similar_pairs(pairs, chosen, rule), "similar")]
+    staging.drop("pairs")
     same = named_links(members)
     labels = components(links[0].union(same))
     apart = _apart(combinations, labels)
-    pairs = staged(_in_blocks(apart, nodes, rule), "pairs")
+    pairs = staging.keep("blocks", _in_blocks(apart, nodes, rule))
+    staging.drop("combinations")
     links.append(staged(similar_pairs(pairs, chosen, rule), "similar"))
+    staging.drop("blocks", "candidates")
     labels = components(reduce(DataFrame.union, links).union(same))
     found = labels.withColumnRenamed("node", "__node")
     return described.join(found, F.col("doc_id") == F.col("__node"), "left").select(
@@ -443,6 +449,20 @@ def join_similar(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
     )
 
 
+def _equal_sets(named: DataFrame) -> DataFrame:
+    """``(doc_id, n, node, bits)``: of equal sets the smallest id is the node.
+
+    Only sets that occur again look for it, in one of ``PARTS`` places each, so that the
+    copies of one text do not meet in one task.
+    """
+    keys = ["key_a", "key_b", "n"]
+    again = named.groupBy(*keys).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    again = again.select(*keys, "first", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    part = F.pmod(F.hash("doc_id", "bits"), F.lit(PARTS))
+    found = named.withColumn("part", part).join(again, [*keys, "part"], "left")
+    return found.select("doc_id", "n", F.coalesce("first", "doc_id").alias("node"), "bits")
+
+
 def named_links(members: DataFrame) -> DataFrame:
     """Links between each document and the first one with an equal set."""
     return members.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct()
