@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -50,6 +51,7 @@ except ModuleNotFoundError as missing:
 QUERY = "the and that"
 DOCUMENT_IDS = [3, 17, 42, 150, 999999]
 TERM = "the"
+ID_RANGE = (40, 120)
 SNIPPET_TERMS = ["worthless", "that"]
 SKIP_PATTERNS = [r"\.", ",", "!", "to"]
 CAPS = {"max_term_length": 8, "max_postings": 50}
@@ -250,11 +252,17 @@ def search_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(search(postings, ["", "12 !", "zzzzqqqq"], "or", documents=_docs(spark, sf_dir)))
 
 
-def _stored_index(spark: SparkSession, sf_dir: str) -> IndexTables:
-    """The documents' index, written to the shared folder and opened again."""
+@functools.cache
+def _index_path(application: str, sf_dir: str) -> str:
+    """Where the documents' index is written, once for each application and folder."""
+    spark = SparkSession.getActiveSession()
     path = scratch_path(spark, "index")
     write_index(spark, _docs(spark, sf_dir), path, **INDEX_CAPS)
-    return open_index(spark, path)
+    return path
+
+
+def _stored_index(spark: SparkSession, sf_dir: str) -> IndexTables:
+    return open_index(spark, _index_path(spark.sparkContext.applicationId, sf_dir))
 
 
 def stored_search_or(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,16 +273,42 @@ def stored_search_and(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(_stored_index(spark, sf_dir).search(QUERY, "and"))
 
 
+def stored_search_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(_stored_index(spark, sf_dir).search(_batch(spark, sf_dir), "or"))
+
+
+def stored_search_batch_and(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(_stored_index(spark, sf_dir).search(_batch(spark, sf_dir), "and"))
+
+
 def stored_search_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(_stored_index(spark, sf_dir).search(QUERY, "or", pruned=True))
 
 
+def stored_tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(_stored_index(spark, sf_dir).tf_idf(QUERY))
+
+
+def stored_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pruned postings beside the document counts of the whole lists."""
+    return _stored_index(spark, sf_dir).top_terms().select("term", "doc_id", "tf", "df")
+
+
 def stored_term_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_index(spark, sf_dir).term_documents(TERM, "tf", 5, 10)
 
 
 def stored_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored_index(spark, sf_dir).snippets(SNIPPET_TERMS, DOCUMENT_IDS, width=20)
+    """Around every place of the terms in all stored documents."""
+    return _stored_index(spark, sf_dir).snippets(SNIPPET_TERMS, width=20)
+
+
+def decode_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The postings of a range of ids, from the lists of all."""
+    lists = encode_lists(_postings(spark, sf_dir), "id")
+    return decode_lists(lists, "id", ids=ID_RANGE).select(
+        "term", "doc_id", "tf", join_positions(F.col("positions")).alias("positions")
+    )
 
 
 def search_exported_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,12 +353,12 @@ def document_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_documents_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings = scan_postings(_texts(spark, sf_dir))
+    postings = scan_postings(_texts(spark, sf_dir), [TERM])
     return term_documents(postings, _docs(spark, sf_dir).drop("text"), TERM, "tf", 5, 10)
 
 
 def term_documents_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings = scan_postings(_texts(spark, sf_dir))
+    postings = scan_postings(_texts(spark, sf_dir), [TERM])
     return term_documents(postings, _docs(spark, sf_dir).drop("text"), TERM, "id", 5, 10)
 
 
@@ -380,7 +414,7 @@ def _written_dump(spark: SparkSession, sf_dir: str) -> str:
     page = F.concat(
         F.lit("  <page>\n    <title>Page "), F.col("lang"), F.lit(" "), F.col("doc_id"),
         F.lit("</title>\n    <id>"), F.col("doc_id"),
-        F.lit("</id>\n    <revision><id>1</id><timestamp>2019-11-01T00:00:00Z</timestamp>"),
+        F.lit("</id>\n    <revision><id>1</id><timestamp>2023-06-15T08:30:00Z</timestamp>"),
         block, F.lit('<text xml:space=\n"preserve">'), text, F.lit("</text></revision>\n  </page>"),
     )
     path = scratch_path(spark, "dump")
@@ -511,6 +545,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sparse_lists_tf": sparse_lists_tf,
         "decode_id": decode_id,
         "decode_tf": decode_tf,
+        "decode_range": decode_range,
         "search_or": search_or,
         "search_or_pruned": search_or_pruned,
         "search_and": search_and,
@@ -519,7 +554,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_exported_lists": search_exported_lists,
         "stored_search_or": stored_search_or,
         "stored_search_and": stored_search_and,
+        "stored_search_batch": stored_search_batch,
+        "stored_search_batch_and": stored_search_batch_and,
         "stored_search_pruned": stored_search_pruned,
+        "stored_tf_idf": stored_tf_idf,
+        "stored_top_terms": stored_top_terms,
         "stored_term_documents": stored_term_documents,
         "stored_snippets": stored_snippets,
         "sorted_index_order": sorted_index_order,
@@ -667,7 +706,7 @@ _SKIP_WORDS = f"""(SELECT word FROM (
 _ESCAPED = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 _PAGE = f"""'<page>' || chr(10) || '    <title>Page ' || lang || ' ' || doc_id || '</title>' || chr(10)
     || '    <id>' || doc_id || '</id>' || chr(10)
-    || '    <revision><id>1</id><timestamp>2019-11-01T00:00:00Z</timestamp>'
+    || '    <revision><id>1</id><timestamp>2023-06-15T08:30:00Z</timestamp>'
     || CASE WHEN doc_id % 11 = 0 THEN ''
        ELSE '<contributor>' || CASE WHEN doc_id % 7 = 0 THEN '<ip>10.0.0.1</ip>'
             ELSE '<username>' || source || '</username><id>' || n_chars || '</id>' END || '</contributor>' END
@@ -676,7 +715,7 @@ _PAGE = f"""'<page>' || chr(10) || '    <title>Page ' || lang || ' ' || doc_id |
 _METADATA = f"""doc_id, 'page ' || lower(lang) || ' ' || doc_id AS title,
     CASE WHEN doc_id % 7 = 0 THEN '' ELSE lower(source) END AS contributor_name,
     CASE WHEN doc_id % 7 = 0 THEN '' ELSE n_chars::VARCHAR END AS contributor_id,
-    '2019-11-01t00:00:00z' AS ts, length({_ESCAPED})::BIGINT AS text_len"""
+    '2023-06-15t08:30:00z' AS ts, length({_ESCAPED})::BIGINT AS text_len"""
 _WITH_METADATA = "FROM documents WHERE length(text) > 0 AND doc_id % 11 <> 0"
 _LOOKED_UP = ", ".join(str(i) for i in DOCUMENT_IDS)
 _SNIPPETS = f"""WITH {_POSITIONS} SELECT doc_id, term, position,
@@ -721,6 +760,7 @@ def oracle_sql() -> dict[str, str]:
         "sparse_lists_tf": _segment_sql(_SPARSE_ID, True),
         "decode_id": decoded,
         "decode_tf": decoded,
+        "decode_range": f"{decoded} WHERE doc_id BETWEEN {ID_RANGE[0]} AND {ID_RANGE[1]}",
         "search_or": _page_sql(f"{_TF},{_ONE_QUERY},{_OR.format('tf')}"),
         "search_or_pruned": _page_sql(f"{_TF},{pruned_tf},{_ONE_QUERY},{_OR.format('pruned')}"),
         "search_and": _page_sql(f"{_TF},{_ONE_QUERY},{_AND.format('tf')}"),
@@ -738,7 +778,7 @@ def oracle_sql() -> dict[str, str]:
         "word_count_skip": f"SELECT word, count(*)::BIGINT AS n FROM {_SKIP_WORDS} GROUP BY word",
         "input_words": f"SELECT count(*)::BIGINT AS input_words FROM {_SKIP_WORDS}",
         "xml_roundtrip": f"""SELECT doc_id, 'page ' || lower(lang) || ' ' || doc_id AS title,
-            '2019-11-01t00:00:00z' AS ts, {_ESCAPED} AS text FROM documents WHERE length(text) > 0""",
+            '2023-06-15t08:30:00z' AS ts, {_ESCAPED} AS text FROM documents WHERE length(text) > 0""",
         "xml_without_ids": f"""SELECT doc_id, 'page ' || doc_id AS title, {_ESCAPED} AS text
             FROM documents WHERE length(text) > 0 AND doc_id % 5 NOT IN (0, 1)""",
         "xml_metadata": f"SELECT {_METADATA}, sha256({_ESCAPED}) AS text_sha256 {_WITH_METADATA}",
@@ -750,11 +790,17 @@ def oracle_sql() -> dict[str, str]:
         "search_exported_lists": _page_sql(f"{_TF},{_ONE_QUERY},{_AND.format('tf')}"),
         "stored_search_or": _page_sql(f"{_TF},{_ONE_QUERY},{_OR.format('tf')}"),
         "stored_search_and": _page_sql(f"{_TF},{_ONE_QUERY},{_AND.format('tf')}"),
+        "stored_search_batch": _page_sql(f"{_TF},{_BATCH},{_OR.format('tf')}"),
+        "stored_search_batch_and": _page_sql(f"{_TF},{_BATCH},{_AND.format('tf')}"),
+        "stored_tf_idf": _page_sql(f"{_TF},{_ONE_QUERY},{_TF_IDF}"),
+        "stored_top_terms": f"""WITH {_TF},{_PRUNED.format('tf', **INDEX_CAPS)},
+            n AS (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term)
+            SELECT term, doc_id, tf, df FROM pruned JOIN n USING (term)""",
         "stored_search_pruned": _page_sql(
             f"{_TF},{_PRUNED.format('tf', **INDEX_CAPS)},{_ONE_QUERY},{_OR.format('pruned')}"
         ),
         "stored_term_documents": _term_page_sql("tf DESC, doc_id"),
-        "stored_snippets": f"{_SNIPPETS} AND doc_id IN ({_LOOKED_UP})",
+        "stored_snippets": _SNIPPETS,
         "sorted_index_order": f"""WITH {_TF}
             SELECT 'documents' AS table_name, count(*)::BIGINT AS n_rows, 0::BIGINT AS out_of_order FROM documents
             UNION ALL SELECT 'postings', count(*)::BIGINT, 0::BIGINT FROM tf""",

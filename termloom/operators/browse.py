@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.tokens import cutter, term_positions
+from termloom.session import staged
 
 
 def get_documents(documents: DataFrame, ids: Sequence[int]) -> DataFrame:
@@ -37,7 +38,8 @@ def term_documents(
         .offset(start)
         .limit(amount)
     )
-    # At most ``amount`` rows are left, so ordering them in one group is cheap.
+    # At most ``amount`` rows are left: they are found once, and ordering them in one group is cheap.
+    page = staged(page, "page")
     numbered = page.withColumn(
         "number", (F.row_number().over(Window.orderBy(*by)) - 1 + start).cast("int")
     )

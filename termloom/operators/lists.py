@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.functions.codec import join_positions, list_text, position_deltas, running_sums
-from termloom.functions.tokens import once, per_run
+from termloom.functions.codec import join_positions, list_text, position_deltas
+from termloom.session import staged
 
 ORDERS = ("id", "tf", "tf_id")
 
@@ -17,6 +22,8 @@ BLOCK_BITS = 16
 # Counts of blocks are summed within ranges of this many blocks, then of ranges, and so on.
 RANGE_BITS = 16
 RANGE_LEVELS = 2
+# Lines that a task decodes at a time.
+DECODED_LINES = 256
 
 
 def _before(within: list[str], by: str) -> Column:
@@ -75,7 +82,10 @@ def posting_lists(
     A list is cut between blocks of ids into lines of at most ``segment_rows`` postings
     plus one block, numbered from 0; in each, differences start anew. ``df`` and the
     number in front of each line count the term's documents over all of its lines.
-    Postings are shuffled by block, where the counts are taken too, and then by line.
+
+    Postings are staged, so that ``postings`` is computed once. A list of at most
+    ``segment_rows`` is one line by this rule and is gathered by its term. Only the others,
+    of which there is one for each ``segment_rows`` postings at most, are counted by block.
     """
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}")
@@ -88,23 +98,29 @@ def posting_lists(
         F.col("doc_id") < 0, F.raise_error(F.lit("posting lists can't hold a negative doc_id")).cast("bigint")
     ).otherwise(F.col("doc_id"))
     rows = postings.select("term", checked.alias("doc_id"), (-F.col("tf")).alias("neg_tf"), coded.alias("coded"))
+    # Texts are looked through once; the counts read two columns of this.
+    rows = staged(rows, "list-rows")
+    counts = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    several = staged(counts.filter(F.col("df") > int(segment_rows)), "long-lists")
+    single = rows.join(several, "term", "left_anti").select(
+        "term", F.lit(0).cast("bigint").alias("segment"), "doc_id", "neg_tf", "coded"
+    )
+    rows = rows.join(several.select("term"), "term", "left_semi")
+    rows = rows.withColumn("block", F.shiftright("doc_id", block_bits))
     lead = ["term", "neg_tf"] if by_tf else ["term"]
-    keys = [*lead, "block"]
-    # The counts and the join below both read this exchange.
-    rows = rows.withColumn("block", F.shiftright("doc_id", block_bits)).repartition(*keys)
-    placed = rows.join(_block_places(rows, lead), keys)
+    placed = rows.join(_block_places(rows, lead), [*lead, "block"])
     placed = placed.withColumn("segment", F.expr(f"before div {int(segment_rows)}"))
     sort_key = ["neg_tf", "doc_id"] if by_tf else ["doc_id", "neg_tf"]
-    grouped = placed.groupBy("term", "segment").agg(
-        F.first("df").alias("df"), F.sort_array(F.collect_list(F.struct(*sort_key, "coded"))).alias("entries")
-    )
     scheme = None if not delta else ("run" if by_tf else "list")
-    return grouped.select(
-        "term",
-        "segment",
-        "df",
-        list_text(F.col("entries"), F.col("df"), scheme, positions).alias("posting_list"),
-    )
+
+    def lines(of: DataFrame, df: Column) -> DataFrame:
+        entries = F.sort_array(F.collect_list(F.struct(*sort_key, "coded")))
+        grouped = of.groupBy("term", "segment").agg(entries.alias("entries"), df.alias("df"))
+        text = list_text(F.col("entries"), F.col("df"), scheme, positions)
+        return grouped.select("term", "segment", "df", text.alias("posting_list"))
+
+    # A list of one line is its own count.
+    return lines(single, F.count(F.lit(1))).unionByName(lines(placed, F.first("df")))
 
 
 def encode_lists(postings: DataFrame, order: str = "id", **options) -> DataFrame:
@@ -112,32 +128,61 @@ def encode_lists(postings: DataFrame, order: str = "id", **options) -> DataFrame
     return posting_lists(postings, order, positions=True, delta=True, **options)
 
 
-def _fields(items: Column, number: int) -> Column:
-    return F.transform(items, lambda item: F.get(F.split(item, "-", 3), F.lit(number)))
-
-
-def decode_lists(lists: DataFrame, order: str = "id", positions: bool = True) -> DataFrame:
+def _decode(with_sums_by_tf: bool, positions: bool, ids: tuple[int, int] | None):
+    """Lines of Arrow batches to postings, column by column, with one running sum over a batch."""
+
+    def sums(steps: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Running sums that start anew at ``starts``."""
+        upto = np.cumsum(steps)
+        before = (upto - steps)[starts]
+        return upto - np.repeat(before, np.diff(np.append(starts, len(steps))))
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lines = pc.utf8_rtrim(batch.column("posting_list").fill_null(""), ";")
+        items = pc.split_pattern(lines, ";")
+        # The first item of a line is its count.
+        sizes = np.maximum(pc.list_value_length(items).to_numpy(zero_copy_only=False) - 1, 0)
+        items = pc.list_flatten(pc.list_slice(items, 1))
+        fields = pc.split_pattern(items, "-", max_splits=2)
+        starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+        steps, tfs = (pc.list_element(fields, i).cast(pa.int64()).to_numpy() for i in (0, 1))
+        if with_sums_by_tf:  # sums start anew with each frequency
+            changed = np.flatnonzero(np.diff(tfs)) + 1
+            starts = np.union1d(starts, changed)
+        doc_ids = sums(steps, starts) if len(steps) else steps
+        line = np.repeat(np.arange(len(sizes)), sizes)
+        if ids is not None:
+            inside = (doc_ids >= ids[0]) & (doc_ids <= ids[1])
+            line, doc_ids, tfs = line[inside], doc_ids[inside], tfs[inside]
+            fields = fields.filter(pa.array(inside))
+        columns = [batch.column("term").take(pa.array(line)), pa.array(doc_ids), pa.array(tfs)]
+        if positions:
+            places = pc.split_pattern(pc.list_element(fields, 2), ",") if len(line) else pa.array([], pa.list_(pa.string()))
+            counts = pc.list_value_length(places).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = pc.list_flatten(places).cast(pa.int64()).to_numpy()
+            flat = sums(flat, np.cumsum(counts) - counts) if len(flat) else flat
+            offsets = np.append(0, np.cumsum(counts))
+            columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32())))
+        return pa.RecordBatch.from_arrays(columns, names=["term", "doc_id", "tf", "positions"][: len(columns)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, DECODED_LINES):
+                yield one(batch.slice(at, DECODED_LINES))
+
+    return run
+
+
+def decode_lists(
+    lists: DataFrame, order: str = "id", positions: bool = True, ids: tuple[int, int] | None = None
+) -> DataFrame:
     """Postings from lines written by :func:`encode_lists`: ``(term, doc_id, tf[, positions])``.
 
-    Every line is decoded inside its own row: nothing is shuffled, and no row is made
-    for a position.
+    Every line is decoded by itself: nothing is shuffled, and no row is made for a position.
+    With ``ids``, only postings from the first to the last of both; of the others no positions
+    are read.
     """
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}")
-    items = F.split(F.rtrim(F.col("posting_list"), F.lit(";")), ";")
-    lines = lists.select("term", F.slice(items, F.lit(2), F.greatest(F.size(items) - 1, F.lit(0))).alias("items"))
-    lines = lines.filter(F.size("items") > 0).select(
-        "term",
-        _fields(F.col("items"), 0).cast("array<bigint>").alias("steps"),
-        _fields(F.col("items"), 1).cast("array<bigint>").alias("tfs"),
-        _fields(F.col("items"), 2).alias("coded"),
-    )
-    if order == "id":
-        ids = running_sums(F.col("steps"))
-    else:  # sums start anew with each frequency
-        ids = F.flatten(per_run(F.col("tfs"), lambda first, n: running_sums(F.slice("steps", first + 1, n))))
-    postings = lines.select("term", F.inline(F.arrays_zip(ids.alias("doc_id"), F.col("tfs").alias("tf"), "coded")))
-    if not positions:
-        return postings.select("term", "doc_id", "tf")
-    places = once(F.split("coded", ",").cast("array<bigint>"), running_sums).cast("array<int>")
-    return postings.select("term", "doc_id", "tf", places.alias("positions"))
+    schema = "term string, doc_id bigint, tf bigint" + (", positions array<int>" if positions else "")
+    return lists.select("term", "posting_list").mapInArrow(_decode(order != "id", positions, ids), schema)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions.tokens import distinct_terms
 from termloom.operators.groups import top_per_group
+from termloom.session import staged
 
 Queries = str | Sequence[str] | DataFrame
 
@@ -39,70 +40,149 @@ def literal_terms(queries: Sequence[str]) -> list[str]:
     return sorted({term for q in queries for term in re.findall("[a-z]+", q.lower())})
 
 
-def _matches(postings: DataFrame, queries: Queries) -> tuple[DataFrame, DataFrame]:
-    """Postings of the queries' terms, dealt out by document, and the query terms.
+def _wanted(postings: DataFrame, queries: Queries, *tables: DataFrame) -> tuple[DataFrame, ...]:
+    """The query terms, and of each table ``(term, ...)`` the rows of these terms.
 
     Terms of queries that are given as strings are a literal list, which reaches the
     Parquet scan and skips row groups.
     """
-    columns = postings.select("term", "doc_id", "tf")
     if isinstance(queries, DataFrame):
         wanted = query_terms(queries)
-        found = columns.join(wanted.select("term"), "term", "left_semi")
-    else:
-        texts = [queries] if isinstance(queries, str) else list(queries) or [""]
-        literals = literal_terms(texts)
-        wanted = query_terms(query_frame(postings.sparkSession, texts))
-        found = columns.filter(F.col("term").isin(literals) if literals else F.lit(False))
+        terms = wanted.select("term").distinct()
+        return wanted, *(table.join(terms, "term", "left_semi") for table in tables)
+    texts = [queries] if isinstance(queries, str) else list(queries) or [""]
+    literals = literal_terms(texts)
+    wanted = query_terms(query_frame(postings.sparkSession, texts))
+    known = F.col("term").isin(literals) if literals else F.lit(False)
+    return wanted, *(table.filter(known) for table in tables)
+
+
+def _matches(postings: DataFrame, queries: Queries) -> tuple[DataFrame, DataFrame]:
+    """Postings of the queries' terms, dealt out by document, and the query terms."""
+    wanted, found = _wanted(postings, queries, postings.select("term", "doc_id", "tf"))
     # Both the scales and the scores read this one exchange.
     return found.repartition("doc_id"), wanted
 
 
-def or_scores(postings: DataFrame, queries: Queries) -> DataFrame:
-    """``(query_id, doc_id, score)`` of every document that holds any term."""
-    found, wanted = _matches(postings, queries)
-    scale = found.groupBy("term").agg(F.max("tf").alias("scale"))
+def or_scores(postings: DataFrame, queries: Queries, terms: DataFrame | None = None) -> DataFrame:
+    """``(query_id, doc_id, score)`` of every document that holds any term.
+
+    ``terms (term, max_tf)`` of a stored index saves the look through the postings for scales.
+    """
+    if terms is None:
+        found, wanted = _matches(postings, queries)
+        scale = found.groupBy("term").agg(F.max("tf").alias("scale"))
+    else:
+        columns = postings.select("term", "doc_id", "tf"), terms.select("term", F.col("max_tf").alias("scale"))
+        wanted, found, scale = _wanted(postings, queries, *columns)
     scaled = found.join(scale, "term").select("term", "doc_id", (F.col("tf") / F.col("scale")).alias("part"))
     return scaled.join(wanted, "term").groupBy("query_id", "doc_id").agg(F.sum("part").alias("score"))
 
 
-def and_scores(postings: DataFrame, queries: Queries) -> DataFrame:
+#: Documents of a block have ids that agree but for so many bits.
+BLOCK_BITS = 7
+#: Bounds and scores are sums of the same parts in any order.
+SLACK = 1e-6
+
+
+def block_maxima(postings: DataFrame) -> DataFrame:
+    """``(term, block, top)``: the highest frequency of a term within each block of documents."""
+    block = F.shiftright("doc_id", BLOCK_BITS).alias("block")
+    return postings.groupBy("term", block).agg(F.max("tf").alias("top"))
+
+
+def best_or_scores(
+    postings: DataFrame,
+    queries: Queries,
+    best: int,
+    terms: DataFrame | None = None,
+    blocks: DataFrame | None = None,
+) -> DataFrame:
+    """Of :func:`or_scores`, the ``best`` of each query at least, ties with the last included.
+
+    A block's highest frequencies bound the score of every document in it. Each query first
+    scores the blocks with the highest bounds. The score of its ``best``-th document there
+    is a floor, and only blocks whose bound reaches it are opened. Queries meet postings by
+    term and block, so that a frequent term is dealt out by its blocks. ``terms`` and
+    ``blocks`` are those of a stored index; else they come from the postings, which are
+    staged for it.
+    """
+    columns = postings.select("term", "doc_id", "tf")
+    if terms is None or blocks is None:
+        wanted, found = _wanted(postings, queries, columns)
+        found = staged(found, "wanted-postings")
+        scale = found.groupBy("term").agg(F.max("tf").alias("scale"))
+        maxima = block_maxima(found)
+    else:
+        scale = terms.select("term", F.col("max_tf").alias("scale"))
+        wanted, found, scale, maxima = _wanted(postings, queries, columns, scale, blocks)
+    found = found.withColumn("block", F.shiftright("doc_id", BLOCK_BITS))
+    asked = wanted.select("query_id", "term").join(scale, "term")
+    bounds = asked.join(maxima, "term").groupBy("query_id", "block").agg(F.sum(F.col("top") / F.col("scale")).alias("bound"))
+    bounds = staged(bounds, "block-bounds")
+
+    def scored(opened: DataFrame) -> DataFrame:
+        pairs = opened.select("query_id", "block").join(asked, "query_id").join(found, ["term", "block"])
+        return pairs.groupBy("query_id", "doc_id").agg(F.sum(F.col("tf") / F.col("scale")).alias("score"))
+
+    first = (best >> (BLOCK_BITS - 1)) + 2
+    seeds = top_per_group(
+        bounds, ["query_id"], [F.desc("bound"), F.asc("block")], first, rank="_rank", spread_on="block", splits=8
+    )
+    ranked = top_per_group(
+        scored(seeds), ["query_id"], [F.desc("score"), F.asc("doc_id")], best, rank="_rank", spread_on="doc_id", splits=8
+    )
+    floors = ranked.filter(F.col("_rank") == best).select("query_id", F.col("score").alias("floor"))
+    opened = bounds.join(floors, "query_id", "left").filter(F.col("bound") + SLACK >= F.coalesce("floor", F.lit(0.0)))
+    return scored(opened)
+
+
+def and_scores(postings: DataFrame, queries: Queries, terms: DataFrame | None = None) -> DataFrame:
     """``(query_id, doc_id, score)`` of every document that holds all terms.
 
     Only documents with a query's rarest term can hold all: those are its candidates,
-    and the other terms are looked up for them.
+    and the other terms are looked up for them. ``terms (term, df)`` of a stored index
+    tells the rarest without a look through the postings.
     """
     found, wanted = _matches(postings, queries)
-    counts = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    known = wanted.join(counts, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    rarest = known.groupBy("query_id").agg(F.min_by("term", F.struct("df", "term")).alias("term"))
-    candidates = found.join(rarest, "term").select("query_id", "doc_id")
-    asked = candidates.join(wanted, "query_id")
-    matched = asked.join(found, ["doc_id", "term"])
-    whole = (
-        matched.groupBy("query_id", "doc_id", "n_terms")
-        .agg(F.count(F.lit(1)).alias("n_found"))
-        .filter(F.col("n_found") == F.col("n_terms"))
-        .select("query_id", "doc_id")
+    if terms is None:
+        counts = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    else:
+        counts = terms.select("term", "df")
+    known = wanted.join(counts, "term", "left")
+    asked = known.groupBy("query_id").agg(
+        F.min_by("term", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term")).alias("rarest"),
+        F.collect_list("term").alias("terms"),
     )
-    full = matched.join(whole, ["query_id", "doc_id"], "left_semi")
-    scale = full.groupBy("query_id", "term").agg(F.max("tf").alias("scale"))
+    rare = asked.select("query_id", "terms", F.col("rarest").alias("term"))
+    candidates = found.join(rare, "term").select("query_id", "doc_id", F.size("terms").alias("n"), F.explode("terms").alias("term"))
+    matched = candidates.join(found, ["doc_id", "term"])
+    hits = matched.groupBy("query_id", "doc_id").agg(F.collect_list(F.struct("term", "tf")).alias("hits"), F.first("n").alias("n"))
+    # A document has as many hits of a query as the query has terms, or it goes.
+    whole = hits.filter(F.size("hits") == F.col("n")).select("query_id", "doc_id", F.inline("hits"))
+    scale = whole.groupBy("query_id", "term").agg(F.max("tf").alias("scale"))
     return (
-        full.join(scale, ["query_id", "term"])
+        whole.join(scale, ["query_id", "term"])
         .groupBy("query_id", "doc_id")
         .agg(F.sum(F.col("tf") / F.col("scale")).alias("score"))
     )
 
 
-def tf_idf_scores(postings: DataFrame, documents: DataFrame, queries: Queries) -> DataFrame:
-    """Extension: ``sum(tf * ln(N / df))`` over the query's terms, N counting all documents."""
-    found, wanted = _matches(postings, queries)
+def tf_idf_scores(
+    postings: DataFrame, documents: DataFrame, queries: Queries, terms: DataFrame | None = None
+) -> DataFrame:
+    """Extension: ``sum(tf * ln(N / df))`` over the query's terms, N counting all documents.
+
+    ``terms (term, df)`` of a stored index saves the look through the postings for counts.
+    """
+    if terms is None:
+        found, wanted = _matches(postings, queries)
+        counts = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    else:
+        columns = postings.select("term", "doc_id", "tf"), terms.select("term", "df")
+        wanted, found, counts = _wanted(postings, queries, *columns)
     total = corpus_size(documents).scalar()
-    weight = (
-        found.groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-        .select("term", F.log(total / F.col("df")).alias("idf"))
-    )
+    weight = counts.select("term", F.log(total / F.col("df")).alias("idf"))
     weighted = found.join(weight, "term").select(
         "term", "doc_id", (F.col("tf") * F.col("idf")).alias("part")
     )
@@ -165,11 +245,20 @@ def search(
     amount: int = 10,
     documents: DataFrame | None = None,
     title: str = "title",
+    terms: DataFrame | None = None,
+    blocks: DataFrame | None = None,
 ) -> DataFrame:
-    """Answer one query, several, or a table ``(query_id, query)`` in one job.
+    """Answer one query, several, or a table ``(query_id, query)``.
 
     ``mode="or"`` ranks documents with any term, everything else means "and".
-    Unknown terms match nothing; a query without letters has no rows.
+    Unknown terms match nothing; a query without letters has no rows. A table of queries is
+    answered in "or" by way of block maxima, so that most pairs of a query and a document are
+    never scored. ``terms`` and ``blocks`` are the dictionary and the maxima of a stored index.
     """
-    scores = or_scores if mode.strip().lower() in ("or", "tf") else and_scores
-    return result_page(scores(postings, queries), start, amount, documents, title)
+    if mode.strip().lower() not in ("or", "tf"):
+        scores = and_scores(postings, queries, terms)
+    elif isinstance(queries, DataFrame):
+        scores = best_or_scores(postings, queries, start + amount, terms, blocks)
+    else:
+        scores = or_scores(postings, queries, terms)
+    return result_page(scores, start, amount, documents, title)

@@ -29,22 +29,31 @@ def page(
     return "\n".join(lines) + "\n"
 
 
-GOLDEN_TEXTS = {
-    10: "Rivers run to the sea.",
-    11: "These boats sail slowly.",
-    12: "Rivers a boats carry! Rivers run.",
-    2: "Rivers a cold sea!",
+#: Written for these cases: ids whose order as numbers is not that as strings (1003, 250, 400,
+#: 61, 7, 95); "and" in every page; "tin" and "lamps" most often in another page than the
+#: first; "glass", "dim" and "quartz" with equal frequencies.
+SMALL_TEXTS = {
+    95: "Lamps glow, and lamps dim; lamps rest.",
+    400: "And then nobody spoke.",
+    7: "Quartz and glass and tin",
+    1003: "Dim glass (and Quartz glow)",
+    61: "and-and glass!",
+    250: "Nobody paints tin lamps and tin frogs",
 }
+#: Its opening tag goes over two lines.
+BROKEN_TAG = 61
 
 
-def golden_dump() -> str:
-    pages = [
-        page("10", GOLDEN_TEXTS[10], title="Page Ten"),
-        page("11", GOLDEN_TEXTS[11], title="Page Eleven", text_open='<text xml:space=\n"preserve"\n>'),
-        page("12", GOLDEN_TEXTS[12], title="Page Twelve", indent="    "),
-        page("2", GOLDEN_TEXTS[2], title="Page Two", indent="      "),
-    ]
-    return HEADER + "\n".join(pages) + FOOTER
+def small_dump() -> str:
+    broken = '<text\n xml:space="preserve">'
+    return (
+        HEADER
+        + "".join(
+            page(str(i), text, title=f"Note {i}", **({"text_open": broken} if i == BROKEN_TAG else {}))
+            for i, text in SMALL_TEXTS.items()
+        )
+        + FOOTER
+    )
 
 
 LONG_WORD = "x" * 51

@@ -11,7 +11,7 @@ from termloom.operators.postings import build_postings, prune_postings
 from termloom.plans import export_jobs
 from termloom.sources import text_files
 from termloom.sources.xml_pages import read_chunks, read_page_offsets, read_pages
-from tests.dumps import GOLDEN_TEXTS, LONG_WORD, edge_dump, golden_dump
+from tests.dumps import LONG_WORD, SMALL_TEXTS, edge_dump, small_dump
 from tests.dumps import page as page_markup
 
 
@@ -39,24 +39,24 @@ def assert_offsets(rows, files):
 
 
 def test_pages_and_offsets_across_splits(spark, tmp_path, tiny_splits):
-    dumps = {"a.xml": golden_dump() * 3, "b.xml": edge_dump()}
+    dumps = {"a.xml": small_dump() * 3, "b.xml": edge_dump()}
     for name, text in dumps.items():
         (tmp_path / name).write_text(text, encoding="utf-8")
     files = {name: text.encode() for name, text in dumps.items()}
     chunks = read_chunks(spark, str(tmp_path))
     assert chunks.rdd.getNumPartitions() > 8
     rows = read_page_offsets(spark, str(tmp_path)).filter(F.col("file_name") == "a.xml").collect()
-    assert len(rows) == 12
+    assert len(rows) == 18
     assert_offsets(rows, files)
     pages = read_pages(spark, str(tmp_path)).filter(F.col("file_name") == "a.xml").collect()
-    assert len(pages) == 12 and all(p.page.startswith("<page>") and p.page.endswith("</page>") for p in pages)
+    assert len(pages) == 18 and all(p.page.startswith("<page>") and p.page.endswith("</page>") for p in pages)
 
 
 def test_offsets_in_compressed_dump_are_those_of_the_plain_file(spark, tmp_path):
-    plain = golden_dump().encode()
+    plain = small_dump().encode()
     (tmp_path / "dump.xml.bz2").write_bytes(bz2.compress(plain))
     rows = read_page_offsets(spark, str(tmp_path)).collect()
-    assert len(rows) == 4
+    assert len(rows) == 6
     assert_offsets(rows, {"dump.xml.bz2": plain})
 
 
@@ -107,7 +107,7 @@ def test_metadata_lines_there_and_back(spark, edge_path, tmp_path):
 @pytest.mark.parametrize("segment_rows", [100_000, 1])
 def test_exported_lists_are_read_and_decoded(spark, tmp_path, tiny_splits, segment_rows):
     dump = tmp_path / "dump.xml"
-    dump.write_text(golden_dump())
+    dump.write_text(small_dump())
     postings = build_postings(build_documents(read_pages(spark, str(dump))))
     lists = encode_lists(postings, "id", segment_rows=segment_rows, block_bits=1)
     text_files.write_lists(lists, str(tmp_path / "lists"))
@@ -137,29 +137,29 @@ def test_tags_in_any_case(spark):
 
 def test_export_jobs_write_the_expected_lines(spark, tmp_path):
     dump = tmp_path / "dump.xml"
-    dump.write_text(golden_dump())
+    dump.write_text(small_dump())
 
     def lines(name):
         return {r.value for r in spark.read.text(str(tmp_path / name)).collect()}
 
     export_jobs.inverted_index(spark, str(dump), str(tmp_path / "tf"))
-    assert "rivers\t3;2-1;10-1;12-2;" in lines("tf")
+    assert "lamps\t2;95-3;250-1;" in lines("tf")
     export_jobs.positional_index(spark, str(dump), str(tmp_path / "pos"), order="tf_id")
-    assert "rivers\t3;12-2-0,22;2-1-0;10-1-0;" in lines("pos")
+    assert "tin\t2;250-2-14,28;7-1-21;" in lines("pos")
     export_jobs.lossy_index(spark, str(dump), str(tmp_path / "lossy"), max_postings=2)
-    assert "rivers\t2;12-2-0,22;2-1-0;" in lines("lossy")
+    assert "and\t2;7-2-7,10;54-2-0,4;" in lines("lossy")
     export_jobs.document_index(spark, str(dump), str(tmp_path / "meta"))
-    assert len(lines("meta")) == 4
+    assert len(lines("meta")) == 6
     export_jobs.count_words(spark, str(dump), str(tmp_path / "words"))
-    assert "<page>\t4" in lines("words")
+    assert "<page>\t6" in lines("words")
 
 
 def test_duplicate_ids_keep_the_newest(spark):
-    old, new = golden_dump(), golden_dump().replace("2021-03", "2022-03").replace("cold", "warm")
+    old, new = small_dump(), small_dump().replace("2021-03", "2022-03").replace("spoke", "sang")
     chunk = [(p + "</page>",) for p in (old + new).split("</page>") if "<page>" in p]
     raw = spark.createDataFrame(chunk, "page string")
     rows = {r.doc_id: r.text for r in build_documents(raw, dedupe=True).collect()}
-    assert rows == GOLDEN_TEXTS | {2: "Rivers a warm sea!"}
+    assert rows == SMALL_TEXTS | {400: "And then nobody sang."}
 
 
 def test_skip_patterns_are_distinct_and_sorted(spark, tmp_path):
