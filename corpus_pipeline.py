@@ -11,14 +11,24 @@ from termloom.llm.queries import KEEP_FROM, TOKENIZER, quality_model
 from termloom.session import staged
 
 
+def _hidden(docs: DataFrame, *names: str) -> DataFrame:
+    """``docs`` with other names for columns that a stage would take for its own."""
+    return docs.select(*[F.col(f"`{c}`").alias(f"__own_{c}" if c.lower() in names else c) for c in docs.columns])
+
+
+def _shown(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows of a ``_hidden`` table under the names of ``docs`` again."""
+    held = set(rows.columns)
+    return rows.select(*[F.col(f"`__own_{c}`" if f"__own_{c}" in held else f"`{c}`").alias(c) for c in docs.columns])
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts. Its labels are those of the tables, without the held-out fold.
 
     A null text is judged as an empty one. Without labels the score is a half and nothing stays.
     """
-    columns = docs.columns
-    scored = quality_classifier.score(docs, quality_model(spark, sf_dir, docs))
-    return scored.filter(F.col("score") >= KEEP_FROM).select(columns)
+    scored = quality_classifier.score(_hidden(docs, "score"), quality_model(spark, sf_dir, docs))
+    return _shown(scored.filter(F.col("score") >= KEEP_FROM), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,9 +53,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many rows of each document as the mix takes, none of those that it leaves out."""
     sized = docs.select("doc_id", "source", mixing.word_count().alias("size"), mixing.place().alias("place"))
     plan = mixing.plan_mix(staged(sized, "mix-sizes"))
-    mixed = mixing.mix(docs.withColumn("place", mixing.place()), plan)
+    own = _hidden(docs, "place", "copies", "copy", "source_size", "target")
+    mixed = mixing.mix(own.withColumn("place", mixing.place()), plan)
     repeated = mixed.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(docs.columns)
+    return _shown(repeated, docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,9 +13,6 @@ slice sends its distinct words and pairs once, in buckets by their hashes, so th
 frequent one makes no more rows than a rare one. A bucket adds up the counts and answers
 each slice with them, and the answers meet the slice's texts again. The number of buckets
 follows that of the slices, so that a bucket has about the same size in any corpus.
-
-Callers can ask for small models of fixed size instead, which know only the most frequent
-words and pairs of the background (all ties at the limit left out).
 """
 
 from __future__ import annotations
@@ -26,11 +23,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from termloom.llm.batches import add_columns, byte_slices
+from termloom.llm.batches import byte_slices
 from termloom.llm.words import Words, find_words, gram_hashes, gram_starts, word_hashes
 from termloom.session import staged
 
@@ -39,98 +36,6 @@ MIX = 0.6
 BUCKET_BITS = 10
 GATHER_BYTES = 4 << 20
 
-#: Word number of what the vocabulary doesn't have.
-UNKNOWN = 0
-
-
-def _numbers(column: pa.Array, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word numbers of all tokens, their texts, and where each text begins. ``words``: sorted hashes."""
-    found = find_words(column, lower=True)
-    hashes = word_hashes(found).view(np.int64)
-    if not len(words):
-        return np.zeros(len(hashes), np.int64), found.doc, found.first
-    at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
-    return np.where(words[at] == hashes, at + 1, UNKNOWN), found.doc, found.first
-
-
-def _pairs(numbers: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each token but the first of a text, the pair with the one before it, and its place."""
-    inside = np.flatnonzero(doc[1:] == doc[:-1]) + 1 if len(doc) else np.zeros(0, np.int64)
-    return numbers[inside - 1] * (size + 1) + numbers[inside], inside
-
-
-def _counter(make: Callable[[pa.Array], np.ndarray]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in byte_slices(batch, "text", GATHER_BYTES):
-                items, counts = np.unique(make(part.column("text")), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(items), pa.array(counts)], names=["item", "count"])
-
-    return run
-
-
-def _counts(texts: DataFrame, make: Callable[[pa.Array], np.ndarray]) -> DataFrame:
-    """``(item, count)`` over all texts; each slice of a task counts its own first."""
-    found = texts.mapInArrow(_counter(make), "item bigint, count bigint")
-    return found.groupBy("item").agg(F.sum("count").alias("count"))
-
-
-def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
-    """The items above the smallest count that leaves at most ``limit`` of them. Nothing is sorted but the counts."""
-    counts = staged(counts, "counts")
-    per_count = counts.groupBy("count").agg(F.count(F.lit(1)).alias("items"))
-    down = Window.orderBy(F.col("count").desc())
-    fit = per_count.withColumn("upto", F.sum("items").over(down)).filter(F.col("upto") <= limit)
-    least = fit.agg(F.min("count").alias("least")).first()["least"]
-    return counts.filter(F.col("count") >= least) if least is not None else counts.limit(0)
-
-
-@dataclass
-class Model:
-    """Losses: of a word by itself, and of the pairs that both models know."""
-
-    tokens: int
-    word_counts: np.ndarray
-    pair_counts: np.ndarray
-
-    def losses(self, numbers: np.ndarray, before: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        """Of each token with its word number, that of the word before (-1: none) and the pair's place (-1: none)."""
-        single = (self.word_counts + 1) / (self.tokens + len(self.word_counts))
-        chance = single[numbers]
-        follows = before >= 0
-        held = np.zeros(len(numbers))
-        known = pair >= 0
-        held[known] = self.pair_counts[pair[known]] / np.maximum(self.word_counts[before[known]], 1)
-        return -np.log(np.where(follows, MIX * held + (1 - MIX) * chance, chance))
-
-
-@dataclass
-class Scorer:
-    words: np.ndarray
-    pairs: np.ndarray
-    target: Model
-    background: Model
-
-    def tokens(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Losses of all tokens by both models, and where each text begins."""
-        numbers, doc, first = _numbers(column, self.words)
-        codes, inside = _pairs(numbers, doc, len(self.words))
-        before = np.full(len(numbers), -1)
-        before[inside] = numbers[inside - 1]
-        pair = np.full(len(numbers), -1)
-        if len(self.pairs):
-            at = np.minimum(np.searchsorted(self.pairs, codes), len(self.pairs) - 1)
-            pair[inside] = np.where(self.pairs[at] == codes, at, -1)
-        return self.target.losses(numbers, before, pair), self.background.losses(numbers, before, pair), first
-
-
-def _aligned(counts: DataFrame, items: np.ndarray) -> np.ndarray:
-    """Counts of sorted items; those that were not counted have none."""
-    table = counts.toArrow()
-    out = np.zeros(len(items), np.int64)
-    out[np.searchsorted(items, table.column("item").to_numpy())] = table.column("count").to_numpy()
-    return out
-
 
 @dataclass
 class Whole:
@@ -141,46 +46,10 @@ class Whole:
     column: str
 
 
-def fit(
-    target: DataFrame, background: DataFrame, column: str = "text", vocabulary: int | None = None, pairs: int | None = None
-) -> Scorer | Whole:
-    """Count both corpora over whole texts. Null texts have no tokens; an empty corpus makes a flat model.
-
-    Without limits to ``vocabulary`` and ``pairs`` the models know all words and pairs.
-    """
-    if vocabulary is None and pairs is None:
-        return Whole(target, background, column)
-    no_limit = np.iinfo(np.int64).max
-    vocabulary, pairs = (no_limit if limit is None else limit for limit in (vocabulary, pairs))
-    corpora = [df.select(F.col(column).alias("text")) for df in (target, background)]
-
-    def words_of(texts: pa.Array) -> np.ndarray:
-        return word_hashes(find_words(texts, lower=True)).view(np.int64)
-
-    counts = staged(_counts(corpora[1], words_of), "word-counts")
-    known = staged(most_frequent(counts, vocabulary), "vocabulary")
-    words = np.sort(known.select("item").toArrow().column("item").to_numpy())
-    size = len(words)
-    shared = background.sparkSession.sparkContext.broadcast(words)
-
-    def pairs_of(texts: pa.Array) -> np.ndarray:
-        numbers, doc, _ = _numbers(texts, shared.value)
-        codes, _ = _pairs(numbers, doc, size)
-        return codes[(codes // (size + 1) != UNKNOWN) & (codes % (size + 1) != UNKNOWN)]
-
-    def numbers_of(texts: pa.Array) -> np.ndarray:
-        return _numbers(texts, shared.value)[0]
-
-    frequent = staged(most_frequent(_counts(corpora[1], pairs_of), pairs), "pairs")
-    codes = np.sort(frequent.select("item").toArrow().column("item").to_numpy())
-    kept = frequent.select("item")
-    every = np.arange(size + 1)
-    models = []
-    for corpus, whole in zip(corpora, (None, frequent), strict=True):
-        singles = _aligned(_counts(corpus, numbers_of), every)
-        held = _aligned(whole if whole is not None else _counts(corpus, pairs_of).join(kept, "item"), codes)
-        models.append(Model(int(singles.sum()), singles, held))
-    return Scorer(words, codes, *models)
+def fit(target: DataFrame, background: DataFrame, column: str = "text") -> Whole:
+    """Models of both corpora, all words and pairs of whole texts. Null texts have no tokens; an empty
+    corpus makes a flat model."""
+    return Whole(target, background, column)
 
 
 def _pack(*counts: np.ndarray) -> bytes:
@@ -347,7 +216,15 @@ def _means(first: np.ndarray, losses: list[np.ndarray]) -> dict[str, pa.Array]:
     }
 
 
-def _score_whole(docs: DataFrame, models: Whole, column: str, keep: list[str] | None) -> DataFrame:
+_SCORES = "n_tokens bigint, target_loss double, background_loss double, score double"
+
+
+def score(docs: DataFrame, models: Whole, column: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The kept columns, ``n_tokens``, ``target_loss``, ``background_loss`` and ``score``.
+
+    Losses are means over the tokens of the whole text. A text without words, or a null
+    one, has losses and a score of 0.
+    """
     new = StructType.fromDDL(_SCORES)
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in {name.lower() for name in new.names}]
     schema = StructType([docs.schema[c] for c in kept] + new.fields)
@@ -389,25 +266,3 @@ def _score_whole(docs: DataFrame, models: Whole, column: str, keep: list[str] |
     rows = slices.select("slice", F.lit(-1).alias("bucket"), "packed")
     rows = rows.unionByName(answers.filter("slice IS NOT NULL").select("slice", "bucket", "packed"))
     return rows.repartition("slice").sortWithinPartitions("slice", "bucket").mapInArrow(run, schema)
-
-
-_SCORES = "n_tokens bigint, target_loss double, background_loss double, score double"
-
-
-def score(
-    docs: DataFrame, scorer: Scorer | Whole, column: str = "text", keep: list[str] | None = None
-) -> DataFrame:
-    """The kept columns, ``n_tokens``, ``target_loss``, ``background_loss`` and ``score``.
-
-    Losses are means over the tokens of the whole text. A text without words, or a null
-    one, has losses and a score of 0.
-    """
-    if isinstance(scorer, Whole):
-        return _score_whole(docs, scorer, column, keep)
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)
-
-    def make(part: pa.RecordBatch) -> dict[str, pa.Array]:
-        target, background, first = shared.value.tokens(part.column(column))
-        return _means(first, [target, background])
-
-    return add_columns(docs, make, _SCORES, column, keep)

@@ -107,7 +107,12 @@ def mix(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """
     added = ("source_size", "target", "copies")
     docs = docs.drop(*added)
-    p = plan.withColumnRenamed("source", "__source")
+    p = plan.select(*[F.col(c).alias(f"__{c}") for c in ("source", "source_size", "target", "passes", "threshold")])
     joined = docs.join(p, docs["source"].eqNullSafe(p["__source"]))
-    copies = F.col("passes") + (F.col("place") < F.col("threshold")).cast("long")
-    return joined.withColumn("copies", copies).select(*[f"`{c}`" for c in docs.columns], *added)
+    copies = F.col("__passes") + (F.col("place") < F.col("__threshold")).cast("long")
+    return joined.select(
+        *[f"`{c}`" for c in docs.columns],
+        F.col("__source_size").alias("source_size"),
+        F.col("__target").alias("target"),
+        copies.alias("copies"),
+    )

@@ -190,10 +190,10 @@ def train(
                 arrays = [part.column("__id").cast(pa.string()), part.column("__label").cast(pa.int32()), pa.array(packed, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["id", "label", "places"])
 
-    rows = sample.mapInArrow(features, "id string, label int, places binary").collect()
+    rows = sample.mapInArrow(features, "id string, label int, places binary")
     # Repeated rows of a document must not exceed the bound.
-    rows = sorted(rows, key=lambda row: (row["id"], row["places"]))
-    distinct = [row for i, row in enumerate(rows) if i == 0 or row["id"] != rows[i - 1]["id"]]
+    rows = rows.groupBy("id").agg(F.min("label").alias("label"), F.min("places").alias("places")).collect()
+    distinct = sorted(rows, key=lambda row: row["id"])
     order = np.random.default_rng(0).permutation(len(distinct))
     places = [np.frombuffer(distinct[i]["places"], "<i4") for i in order]
     return fit_model(places, np.array([distinct[i]["label"] for i in order], np.int64))

@@ -62,7 +62,9 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # Rows that repeat a page repeat its record; one of them tells the length.
     responses = responses.groupBy("refers_to_id").agg(F.max("full_bytes").alias("full_bytes"))
-    return read.join(responses, "refers_to_id", "left").select(
+    # Responses refer to nothing; their own ids spread them over all tasks of the join.
+    asked = F.coalesce(F.col("refers_to_id"), F.concat(F.lit("none:"), F.col("record_id"))).alias("asked")
+    return read.select("*", asked).join(responses.withColumnRenamed("refers_to_id", "asked"), "asked", "left").select(
         key("record_id").alias("page_id"),
         F.coalesce("payload_bytes", "full_bytes").alias("payload_bytes"),
         "payload_digest",
@@ -138,7 +140,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every text, and whether it passes all quality rules."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    rules = quality_rules.order_rules(docs, quality_rules.FURTHER_RULES)
+    rules = quality_rules.order_rules(docs, quality_rules.FURTHER_RULES, after=quality_rules.BASE_RULES)
     return quality_rules.stats_and_verdict(docs, rules, keep=["doc_id"])
 
 

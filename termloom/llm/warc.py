@@ -40,6 +40,8 @@ DATE = "1970-01-01T00:00:00Z"
 SAMPLE_BYTES = 2 << 20
 DICTIONARY_BYTES = 32 << 10
 FEED = 1 << 16
+#: Parts of the pages that look for equal payloads apart from each other.
+PARTS = 64
 
 READ_SCHEMA = (
     "archive string, record_id string, record_type string, target_uri string, refers_to_id string, "
@@ -55,17 +57,21 @@ def mark_revisits(pages: DataFrame, key: str, payload: str, min_bytes: int = 0)
     """``pages`` with ``refers_to``: of rows with equal payloads the largest key, null in its own row.
 
     Payloads under ``min_bytes`` refer to nothing. Keys are reduced to one row per payload
-    before the join, so many equal payloads are as good as few. Rows that repeat the
-    largest key are all left without a reference; null keys come before all others.
+    that occurs again, and each of ``PARTS`` parts of the pages looks it up by itself, so that
+    equal pages do not meet in one task. Rows that repeat the largest key are all left
+    without a reference; null keys come before all others.
     """
     body = F.coalesce(F.col(payload), F.lit(""))
     same = F.concat(F.sha1(F.encode(body, "UTF-8")), F.octet_length(body).cast("string"))
-    marked = pages.withColumn("__same", same)
-    last = marked.groupBy("__same").agg(F.max(key).alias("__last"))
+    marked = pages.withColumns({"__same": same, "__part": F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")})
+    last = marked.groupBy("__same").agg(F.max(key).alias("__last"), F.count(F.lit(1)).alias("__rows"))
+    parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
+    last = last.filter("__rows > 1").select("__same", "__last", parts.alias("__part"))
     refers = F.when(
         (F.octet_length(body) >= min_bytes) & ~F.col(key).eqNullSafe(F.col("__last")), F.col("__last")
     )
-    return marked.join(last, "__same").withColumn("refers_to", refers).drop("__same", "__last")
+    joined = marked.join(last, ["__same", "__part"], "left").withColumn("refers_to", refers)
+    return joined.drop("__same", "__part", "__last")
 
 
 def _record(kind: str, record_id: str, uri: str | None, refers_to: str | None, payload: bytes) -> bytes:

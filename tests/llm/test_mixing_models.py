@@ -86,59 +86,6 @@ def test_larger_budgets_take_all_of_smaller_ones(spark):
 # --- language models ---------------------------------------------------------------
 
 
-def plain_scores(target, background, vocabulary, pairs):
-    def tokens(text):
-        return re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
-
-    def top(counts, limit):
-        for least in sorted(set(counts.values())):
-            kept = {k for k, n in counts.items() if n >= least}
-            if len(kept) <= limit:
-                return kept
-        return set()
-
-    words = top(Counter(w for t in background for w in tokens(t)), vocabulary)
-
-    def numbers(text):
-        return [w if w in words else None for w in tokens(text)]
-
-    def followed(texts):
-        return Counter(p for t in texts for p in zip(numbers(t), numbers(t)[1:]) if None not in p)  # noqa: B905
-
-    known = top(followed(background), pairs)
-    models = []
-    for texts in (target, background):
-        singles = Counter(w for t in texts for w in numbers(t))
-        doubles = followed(texts)
-        models.append((singles, doubles, sum(singles.values())))
-    out = []
-    for text in background:
-        own, losses = numbers(text), []
-        for singles, doubles, total in models:
-            sum_ = 0.0
-            for i, w in enumerate(own):
-                chance = (singles[w] + 1) / (total + len(words) + 1)
-                if i:
-                    pair = (own[i - 1], w)
-                    held = doubles[pair] / max(singles[pair[0]], 1) if pair in known else 0.0
-                    chance = lm_scoring.MIX * held + (1 - lm_scoring.MIX) * chance
-                sum_ -= math.log(chance)
-            losses.append(sum_ / max(len(own), 1))
-        out.append((len(own), *losses, losses[0] - losses[1]))
-    return out
-
-
-def test_scores_against_plain_python(spark, table):
-    r = random.Random(2)
-    texts = [" ".join(r.choice("aaabbcdefghij") for _ in range(r.randrange(40))) for _ in range(80)] + [None, "", "A b"]
-    target = texts[:9]
-    docs = table(list(enumerate(texts)))
-    scorer = lm_scoring.fit(table([(i, t) for i, t in enumerate(target)]), docs, vocabulary=6, pairs=12)
-    rows = sorted(lm_scoring.score(docs, scorer).collect(), key=lambda x: x["doc_id"])
-    got = [(x["n_tokens"], x["target_loss"], x["background_loss"], x["score"]) for x in rows]
-    assert np.allclose(got, plain_scores(target, texts, 6, 12), atol=1e-9)
-
-
 def plain_whole_scores(target, background, texts):
     def tokens(text):
         return re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())

@@ -94,3 +94,20 @@ def test_run_is_registered(spark):
     assert registry.queries()["pipeline"] is pipeline.run
     assert pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
     assert ngram_jaccard.Rule(5, 80).percent == 80
+
+
+def test_columns_with_the_names_of_a_stage_keep_their_values(spark, tables):
+    schema = (
+        "doc_id bigint, text string, lang string, source string, n_chars bigint, passes int, threshold string, "
+        "place double, score string, Copies int, target boolean, source_size string, copy int"
+    )
+    own = (5, "t", 0.5, "s", 3, True, "big", 8)
+    rows = [(i, f"text number {i} of some words", "en", "ab"[i % 2], 7, *own) for i in range(40)]
+    docs = spark.createDataFrame(rows, schema)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    sf_dir = tables(documents=docs, labels=labels)
+    for _, stage in pipeline.STAGES[:-1]:
+        found = stage(spark, docs, sf_dir)
+        assert found.columns == docs.columns
+        assert {tuple(r[5:]) for r in found.collect()} <= {own}
+        assert found.count() or stage is pipeline.keep_quality
