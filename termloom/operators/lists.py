@@ -101,15 +101,7 @@ def posting_lists(
     # Texts are looked through once; the counts read two columns of this.
     rows = staged(rows, "list-rows")
     counts = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    several = staged(counts.filter(F.col("df") > int(segment_rows)), "long-lists")
-    single = rows.join(several, "term", "left_anti").select(
-        "term", F.lit(0).cast("bigint").alias("segment"), "doc_id", "neg_tf", "coded"
-    )
-    rows = rows.join(several.select("term"), "term", "left_semi")
-    rows = rows.withColumn("block", F.shiftright("doc_id", block_bits))
-    lead = ["term", "neg_tf"] if by_tf else ["term"]
-    placed = rows.join(_block_places(rows, lead), [*lead, "block"])
-    placed = placed.withColumn("segment", F.expr(f"before div {int(segment_rows)}"))
+    several = staged(counts.filter(F.col("df") > int(segment_rows)).select("term"), "long-lists")
     sort_key = ["neg_tf", "doc_id"] if by_tf else ["doc_id", "neg_tf"]
     scheme = None if not delta else ("run" if by_tf else "list")
 
@@ -119,8 +111,17 @@ def posting_lists(
         text = list_text(F.col("entries"), F.col("df"), scheme, positions)
         return grouped.select("term", "segment", "df", text.alias("posting_list"))
 
-    # A list of one line is its own count.
-    return lines(single, F.count(F.lit(1))).unionByName(lines(placed, F.first("df")))
+    def single(of: DataFrame) -> DataFrame:
+        # A list of one line is its own count.
+        return lines(of.withColumn("segment", F.lit(0).cast("bigint")), F.count(F.lit(1)))
+
+    if several.isEmpty():
+        return single(rows)
+    lead = ["term", "neg_tf"] if by_tf else ["term"]
+    long = rows.join(several, "term", "left_semi").withColumn("block", F.shiftright("doc_id", block_bits))
+    placed = long.join(_block_places(long, lead), [*lead, "block"])
+    placed = placed.withColumn("segment", F.expr(f"before div {int(segment_rows)}"))
+    return single(rows.join(several, "term", "left_anti")).unionByName(lines(placed, F.first("df")))
 
 
 def encode_lists(postings: DataFrame, order: str = "id", **options) -> DataFrame:
