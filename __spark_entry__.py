@@ -21,6 +21,7 @@ from termloom.operators.postings import (
     term_stats,
 )
 from termloom.operators.search import corpus_size, literal_terms, result_page, search, tf_idf_scores
+from termloom.operators.redirects import follow_titles, read_redirects, resolve_redirects
 from termloom.operators.stopwords import drop_common_terms, drop_listed_terms
 from termloom.operators.tokens import tokenize, tokenize_positions, tokenize_positions_in_pieces
 from termloom.plans.index_tables import IndexTables, open_index, write_index
@@ -35,17 +36,13 @@ from termloom.sources.text_files import (
 )
 from termloom.sources.xml_pages import read_chunks, read_page_offsets, read_pages
 
-try:
+try:  # the subpackage can be left out, and so can the packages that only it needs
     from termloom.llm import queries as corpus_queries
-except ModuleNotFoundError as missing:  # the subpackage can be left out
-    if not (missing.name or "").startswith("termloom.llm"):
-        raise
+except ModuleNotFoundError:
     corpus_queries = None
 try:
     import corpus_pipeline
-except ModuleNotFoundError as missing:
-    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("termloom.llm"):
-        raise
+except ModuleNotFoundError:
     corpus_pipeline = None
 
 QUERY = "the and that"
@@ -506,6 +503,29 @@ def stop_words_common(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_common_terms(postings, _docs(spark, sf_dir), COMMON_RATIO)
 
 
+REDIRECT = "(doc_id * 7 + 3) % 500"
+
+
+def redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles of a written dump that stand for others, by way of chains and cycles."""
+    docs = _table(spark, sf_dir, "documents").filter("doc_id % 4 <> 1")
+    page = F.concat(
+        F.lit("  <page>\n    <title>Page "), F.col("doc_id"), F.lit("</title>\n    <id>"), F.col("doc_id"),
+        F.lit('</id>\n    <redirect title="Page '), F.expr(REDIRECT), F.lit('" />\n    <revision><text>'),
+        _escaped(F.col("text")), F.lit("</text></revision>\n  </page>"),
+    )
+    path = scratch_path(spark, "dump")
+    docs.select(page.alias("value")).write.text(path)
+    return resolve_redirects(read_redirects(read_pages(spark, path)))
+
+
+def search_redirected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results under the titles that theirs stand for."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("page "), "doc_id").alias("title"))
+    page = search(scan_postings(_texts(spark, sf_dir), literal_terms([QUERY])), QUERY, "or", amount=100, documents=docs)
+    return _scored(follow_titles(page, redirects(spark, sf_dir)))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Ranked OR search over the smallest data set."""
     return search_or(spark, "/root/testdata/sf0.001")
@@ -583,6 +603,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "corpus_size": query_corpus_size,
         "stop_words": stop_words,
         "stop_words_common": stop_words_common,
+        "redirects": redirects,
+        "search_redirected": search_redirected,
     }
 
 
@@ -724,6 +746,16 @@ _SNIPPETS = f"""WITH {_POSITIONS} SELECT doc_id, term, position,
 _STOP_LIST = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 
+_REDIRECTS = f"""RECURSIVE
+links AS (SELECT doc_id, {REDIRECT} AS next_id FROM documents WHERE doc_id % 4 <> 1 AND length(text) >= 0),
+walk AS (SELECT doc_id, next_id, 1::BIGINT AS steps FROM links
+         UNION ALL SELECT w.doc_id, l.next_id, steps + 1 FROM walk w JOIN links l ON l.doc_id = w.next_id
+         WHERE steps <= (SELECT count(*) FROM links)),
+ends AS (SELECT * FROM walk WHERE next_id NOT IN (SELECT doc_id FROM links)),
+led AS (SELECT 'page ' || links.doc_id AS title, 'page ' || ends.next_id AS target, steps
+        FROM links LEFT JOIN ends USING (doc_id))"""
+
+
 def oracle_sql() -> dict[str, str]:
     lossless_run = _DELTA_RUN.format("post")
     pruned_post = _PRUNED.format("post", **CAPS)
@@ -816,6 +848,11 @@ def oracle_sql() -> dict[str, str]:
                 SELECT unnest(regexp_split_to_array(line, '[ \\t\\n\\r\\f]+')) AS word FROM cleaned
                 WHERE i = (SELECT count(*) FROM listed)) WHERE word <> '' GROUP BY word""",
         "tf_idf": _page_sql(f"{_TF},{_ONE_QUERY},{_TF_IDF}"),
+        "redirects": f"WITH {_REDIRECTS} SELECT * FROM led",
+        "search_redirected": f"""WITH {_REDIRECTS}, page AS ({_page_sql(f"{_TF},{_ONE_QUERY},{_OR.format('tf')}", amount=100)})
+            SELECT query_id, number, 'page ' || doc_id AS title, doc_id, score, url,
+                   CASE WHEN l.title IS NULL THEN 'page ' || doc_id ELSE l.target END AS resolved_title
+            FROM page LEFT JOIN led l ON l.title = 'page ' || doc_id""",
         "corpus_size": "SELECT count(*)::BIGINT AS n_documents FROM documents",
         "stop_words": f"WITH {_TF} SELECT term, doc_id, tf FROM tf WHERE term NOT IN ({_STOP_LIST})",
         "stop_words_common": f"""WITH {_TF} SELECT term, doc_id, tf FROM tf WHERE term NOT IN (

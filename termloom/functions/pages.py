@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 ID_PATTERN = r"(?i)<id>(.*?)</id>"
 TITLE_PATTERN = r"(?i)<title>(.*?)</title>"
 USERNAME_PATTERN = r"(?i)<username>(.*?)</username>"
+REDIRECT_PATTERN = r"(?i)<redirect title=\"([^\"]*)\""
 TIMESTAMP_PATTERN = r"(?i)<timestamp>(.*?)</timestamp>"
 BODY_PATTERN = r"(?i)<{tag}.*>([\s\S]*)</{tag}>"
 CONTRIBUTOR_OPEN = "<contributor>"
@@ -38,6 +39,11 @@ def page_title(page: Column) -> Column:
     return first_group(page, TITLE_PATTERN)
 
 
+def redirect_target(page: Column) -> Column:
+    """The title that the page stands for, or the empty string."""
+    return first_group(page, REDIRECT_PATTERN)
+
+
 def page_timestamp(page: Column) -> Column:
     return first_group(page, TIMESTAMP_PATTERN)
 

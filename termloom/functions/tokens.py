@@ -138,12 +138,12 @@ def distinct_terms(query: Column) -> Column:
     return F.array_distinct(letter_runs(query))
 
 
-def clean_line(line: Column, case_sensitive: bool = True, skip_patterns: Iterable[str] = ()) -> Column:
-    """Optional lower-casing, then deletion of every match of each pattern."""
+def clean_line(line: Column, case_sensitive: bool = True, skip_patterns: Column | None = None) -> Column:
+    """Optional lower-casing, then deletion of every match of each pattern of an array, in its order."""
     cleaned = line if case_sensitive else F.lower(line)
-    for pattern in sorted(set(skip_patterns)):
-        cleaned = F.regexp_replace(cleaned, pattern, "")
-    return cleaned
+    if skip_patterns is None:
+        return cleaned
+    return F.aggregate(skip_patterns, cleaned, lambda text, pattern: F.regexp_replace(text, pattern, F.lit("")))
 
 
 def whitespace_words(line: Column) -> Column:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.tokens import counted_terms, placed_terms
 from termloom.operators.groups import top_per_group
 from termloom.operators.tokens import tokenize_positions_in_pieces
+from termloom.session import staged
 
 # The caps of the pruned index.
 MAX_TERM_LENGTH = 50
@@ -70,18 +71,28 @@ def prune_postings(
     max_postings: int = MAX_POSTINGS,
     splits: int = 32,
 ) -> DataFrame:
-    """Drop over-long terms; keep each term's postings of highest frequency, then lowest id."""
-    short = postings.filter(F.length("term") <= max_term_length)
-    kept = top_per_group(
-        short,
-        ["term"],
-        [F.desc("tf"), F.asc("doc_id")],
-        max_postings,
-        rank="_rank",
-        spread_on="doc_id",
-        splits=splits,
-    )
-    return kept.drop("_rank")
+    """Drop over-long terms; keep each term's postings of highest frequency, then lowest id.
+
+    How many postings a term has of each frequency tells the frequency at which its last
+    place falls. Postings above it stay, those below go, and only those that have just it are
+    ranked by id. Terms within the cap are not ranked at all. Postings are staged, so that
+    they are computed once.
+    """
+    short = staged(postings.filter(F.length("term") <= max_term_length), "short-terms")
+    by_tf = Window.partitionBy("term").orderBy(F.desc("tf"))  # a row for each frequency
+    found = short.groupBy("term", "tf").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(by_tf.rowsBetween(Window.unboundedPreceding, 0))
+    last = found.withColumn("_upto", upto).filter((F.col("_upto") > max_postings) & (F.col("_upto") - F.col("n") <= max_postings))
+    last = last.select("term", F.col("tf").alias("_last"), (F.lit(max_postings) - F.col("_upto") + F.col("n")).alias("_places"))
+    # Where the cap falls between two frequencies, the lower one has no place.
+    last = last.groupBy("term").agg(F.max_by("_places", "_last").alias("_places"), F.max("_last").alias("_last"))
+    marked = short.join(last, "term", "left")
+    kept = marked.filter(F.col("_last").isNull() | (F.col("tf") > F.col("_last")))
+    edge = marked.filter((F.col("tf") == F.col("_last")) & (F.col("_places") > 0))
+    ranked = top_per_group(
+        edge, ["term"], [F.asc("doc_id")], max_postings, rank="_rank", spread_on="doc_id", splits=splits
+    ).filter(F.col("_rank") <= F.col("_places"))
+    return kept.select(*short.columns).unionByName(ranked.select(*short.columns))
 
 
 def sorted_by_term(postings: DataFrame, partitions: int | None = None) -> DataFrame:

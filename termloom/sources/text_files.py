@@ -11,13 +11,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_skip_patterns(spark: SparkSession, path: str) -> list[str]:
-    """The distinct patterns of a file, one regular expression per line.
-
-    Patterns are part of the query, so they come to the driver, however many there are.
-    """
-    rows = spark.read.text(path).distinct().toLocalIterator()
-    return sorted(row.value for row in rows)
+def read_skip_patterns(spark: SparkSession, path: str) -> DataFrame:
+    """``(pattern)``, the distinct patterns of a file, one regular expression per line."""
+    return spark.read.text(path).select(F.col("value").alias("pattern")).distinct()
 
 
 def write_pairs(df: DataFrame, key: Column | str, value: Column | str, path: str) -> None:

@@ -9,6 +9,7 @@ from termloom.operators.documents import build_documents, document_metadata
 from termloom.operators.lists import decode_lists, encode_lists
 from termloom.operators.postings import build_postings, prune_postings
 from termloom.plans import export_jobs
+from termloom.operators.wordcount import word_count
 from termloom.sources import text_files
 from termloom.sources.xml_pages import read_chunks, read_page_offsets, read_pages
 from tests.dumps import LONG_WORD, SMALL_TEXTS, edge_dump, small_dump
@@ -164,4 +165,14 @@ def test_duplicate_ids_keep_the_newest(spark):
 
 def test_skip_patterns_are_distinct_and_sorted(spark, tmp_path):
     (tmp_path / "skip.txt").write_text("to\n,\nto\n\\.\n")
-    assert text_files.read_skip_patterns(spark, str(tmp_path / "skip.txt")) == [",", "\\.", "to"]
+    rows = text_files.read_skip_patterns(spark, str(tmp_path / "skip.txt"))
+    assert sorted(r.pattern for r in rows.collect()) == [",", "\\.", "to"]
+
+
+def test_many_patterns_are_no_part_of_the_plan(spark, tmp_path):
+    patterns = [f"q{i}z" for i in range(20_000)] + ["b+", "b"]
+    (tmp_path / "skip.txt").write_text("\n".join(patterns))
+    lines = spark.createDataFrame([("abbc q7z xq19999zy q20000z",)], "value string")
+    counted = word_count(lines, True, text_files.read_skip_patterns(spark, str(tmp_path / "skip.txt")))
+    assert "q77z" not in counted._jdf.queryExecution().toString()
+    assert {r.word: r.n for r in counted.collect()} == {"ac": 1, "xy": 1, "q20000z": 1}
