@@ -37,8 +37,9 @@ LENGTH = 13
 ANCHOR_WORDS = 5
 #: Bytes of text of which one slice gathers its anchors.
 GATHER_BYTES = 4 << 20
-#: An anchor with so many different pieces in one slice is split by whole windows.
-CROWDED = 64
+#: An anchor with so many pieces, those of all slices together, is split by whole windows. So a
+#: shard never holds more different pieces of one anchor, and equal windows are one piece again.
+CROWDED = 1 << 11
 #: Symbols of one index; a shard's anchors are packed into indexes of about this size.
 INDEX_SYMBOLS = 1 << 18
 
@@ -137,7 +138,7 @@ def _shared_anchors(texts: DataFrame, length: int) -> DataFrame:
         {
             "least": F.min("low").over(same),
             "most": F.max("high").over(same),
-            "crowded": F.max("pieces").over(same) >= CROWDED,
+            "crowded": F.sum("pieces").over(same) >= CROWDED,
         }
     ).filter("least < most")
     docs = F.concat(F.array("low"), F.coalesce("others", F.array().cast("array<bigint>")))
