@@ -125,9 +125,9 @@ def best_or_scores(
         pairs = opened.select("query_id", "block").join(asked, "query_id").join(found, ["term", "block"])
         return pairs.groupBy("query_id", "doc_id").agg(F.sum(F.col("tf") / F.col("scale")).alias("score"))
 
-    first = (best >> (BLOCK_BITS - 1)) + 2
+    # The best documents lie in the best blocks, but a block has often one of them only.
     seeds = top_per_group(
-        bounds, ["query_id"], [F.desc("bound"), F.asc("block")], first, rank="_rank", spread_on="block", splits=8
+        bounds, ["query_id"], [F.desc("bound"), F.asc("block")], best + 2, rank="_rank", spread_on="block", splits=8
     )
     ranked = top_per_group(
         scored(seeds), ["query_id"], [F.desc("score"), F.asc("doc_id")], best, rank="_rank", spread_on="doc_id", splits=8

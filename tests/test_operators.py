@@ -1,5 +1,6 @@
 """Tokens, lists, groups, browsing and word counts against plain Python."""
 
+import random
 import re
 from collections import Counter
 
@@ -13,9 +14,9 @@ from termloom.functions.codec import running_sums
 from termloom.operators.browse import get_documents, snippets, term_documents, text_snippets
 from termloom.operators.groups import top_per_group
 from termloom.operators.lists import decode_lists, encode_lists, posting_lists
-from termloom.operators.postings import build_postings, prune_postings, scan_postings
-from termloom.operators.search import tf_idf_scores
-from termloom.operators.stopwords import drop_common_terms, drop_listed_terms
+from termloom.operators.postings import build_postings, prune_postings, scan_postings, term_stats
+from termloom.operators.search import best_or_scores, block_maxima, or_scores, result_page, search, tf_idf_scores
+from termloom.operators.stopwords import common_terms, drop_common_terms, drop_listed_terms
 from termloom.operators.tokens import tokenize_positions, tokenize_positions_in_pieces
 from termloom.operators.wordcount import word_count
 
@@ -187,3 +188,62 @@ def test_browsing_keeps_documents_without_metadata(spark, hot):
     docs = hot_documents(spark).filter("doc_id <> 6").withColumn("title", F.lit("t"))
     rows = term_documents(hot, docs.drop("text"), "hot", "id", 5, 3).collect()
     assert [(r.number, r.doc_id, r.title) for r in rows] == [(5, 5, "t"), (6, 6, None), (7, 7, "t")]
+
+
+def random_postings(spark, documents, seed):
+    r = random.Random(seed)
+    rows = []
+    for term in range(60):
+        for doc_id in r.sample(range(documents), max(1, documents // (term + 1))):
+            # A few long documents hold the highest frequencies of nearly every term.
+            rows.append((f"t{chr(97 + term // 26)}{chr(97 + term % 26)}", doc_id, r.randrange(1, 4) + (60 if doc_id % 997 == 5 else 0)))
+    return spark.createDataFrame(rows, "term string, doc_id bigint, tf bigint").repartition(4)
+
+
+@pytest.mark.parametrize("start,amount", [(0, 10), (7, 4), (0, 300)])
+def test_block_maxima_find_the_same_pages(spark, start, amount):
+    postings = random_postings(spark, 6000, amount).cache()
+    texts = ["taa", "taa tab tac tad", "tbz tca tcb tch taa", "tch", "zzz taa", "zzz", "", "tab tbb tbc"]
+    queries = spark.createDataFrame(list(enumerate(texts)), "query_id bigint, query string")
+    want = result_page(or_scores(postings, queries), start, amount).select("query_id", "number", "doc_id").collect()
+    got = search(postings, queries, "or", start, amount).select("query_id", "number", "doc_id").collect()
+    assert got == want
+    stored = search(postings, queries, "or", start, amount, terms=term_stats(postings), blocks=block_maxima(postings))
+    assert stored.select("query_id", "number", "doc_id").collect() == want
+
+
+def test_most_pairs_of_query_and_document_are_never_scored(spark):
+    postings = random_postings(spark, 20_000, 1).cache()
+    queries = spark.createDataFrame([(i, f"taa tab tac ta{chr(100 + i)} tb{chr(97 + i)}") for i in range(20)], "query_id bigint, query string")
+    pairs = or_scores(postings, queries).count()
+    assert best_or_scores(postings, queries, 10).count() * 4 < pairs
+
+
+@pytest.mark.parametrize("cap", [1, 3, 20, 500])
+def test_pruning_against_plain_python(spark, cap):
+    postings = random_postings(spark, 900, cap)
+    lists = {}
+    for r in postings.collect():
+        lists.setdefault(r.term, []).append((-r.tf, r.doc_id))
+    want = {(t, d, -f) for t, rows in lists.items() for f, d in sorted(rows)[:cap]}
+    assert {(r.term, r.doc_id, r.tf) for r in prune_postings(postings, max_postings=cap, splits=3).collect()} == want
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_common_terms_against_counts(spark, parts):
+    r = random.Random(parts)
+    texts = [" ".join(w for i, w in enumerate("abcdefghij") if r.random() * 10 < i) for _ in range(300)] + [None, "", "!"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(parts)
+    counts = Counter(w for t in texts for w in set((t or "").split()))
+    got = {r.term: r.df for r in common_terms(docs, 0.4).collect()}
+    assert got == {w: n for w, n in counts.items() if n > 0.4 * len(texts)}
+    assert common_terms(docs.limit(0), 0.4).count() == 0
+
+
+def test_a_range_of_ids_is_decoded_alone(spark):
+    rows = [(t, d, 1 + d % 3, [d + 7 * k for k in range(1 + d % 3)]) for t in ("a", "b") for d in range(0, 900, 1 + len(t))]
+    postings = spark.createDataFrame(rows, "term string, doc_id bigint, tf bigint, positions array<int>")
+    for order in ("id", "tf_id"):
+        lists = encode_lists(postings, order, segment_rows=100, block_bits=4)
+        got = {(r.term, r.doc_id, r.tf, tuple(r.positions)) for r in decode_lists(lists, order, ids=(100, 250)).collect()}
+        assert got == {(t, d, n, tuple(p)) for t, d, n, p in rows if 100 <= d <= 250}
