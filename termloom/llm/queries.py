@@ -229,6 +229,20 @@ _BASE32 = " || ".join(
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_OP2 = rf"""WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+                                          WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a AS doc_id, min(b) AS least FROM r GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(least(least, doc_id), doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)"""
+
 _OP5 = f"""WITH d AS (
     SELECT doc_id, source, len({_WORDS})::BIGINT AS size,
            ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 12))::BIGINT AS place
@@ -313,6 +327,7 @@ last AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS newest FROM p)
 SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
        CASE WHEN page_id IS NOT DISTINCT FROM newest THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id IS DISTINCT FROM newest THEN newest END AS refers_to FROM last""",
+    "op2_ngram_jaccard": _OP2,
     "op5_mixing": _OP5,
     "op6_quality_rules": _OP6,
     "op10_substring_dedup": _OP10,
