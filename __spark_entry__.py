@@ -27,6 +27,7 @@ from termloom.operators.tokens import tokenize, tokenize_positions, tokenize_pos
 from termloom.plans.index_tables import IndexTables, open_index, write_index
 from termloom.operators.wordcount import word_count, words
 from termloom.session import scratch_path
+from termloom.sources.offsets import source_columns, with_byte_offsets
 from termloom.sources.text_files import (
     read_lists,
     read_metadata,
@@ -57,6 +58,7 @@ COMMON_RATIO = 0.3
 # Ids are scattered over 97 blocks of this many, far from each other within each.
 SPARSE_BLOCK = 1 << 50
 SPARSE_STEP = 7_919
+RANGE_BYTES = 1 << 16
 INDEX_CAPS = {"max_term_length": 8, "max_postings": 50}
 
 
@@ -442,21 +444,40 @@ def xml_without_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_documents(pages).select("doc_id", "title", "text")
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    """Files of a folder as they are."""
-    name = F.element_at(F.split("path", "/"), -1).alias("file_name")
-    return spark.read.format("binaryFile").load(path).select(name, "content")
+def _in_ranges(rows: DataFrame, start: str, size: str) -> DataFrame:
+    """The rows, once for each range of ``RANGE_BYTES`` bytes of the file that they reach into."""
+    first, last = (F.expr(f"({x}) div {RANGE_BYTES}") for x in (start, f"{start} + greatest({size}, 1) - 1"))
+    return rows.withColumn("first_range", first).withColumn("range", F.explode(F.sequence(first, last)))
 
 
-def _bytes_at(placed: DataFrame, files: DataFrame, start: str, size: str, kept: list[str], digest: str) -> DataFrame:
-    """The kept columns and the digest of the bytes of the file at each place; a file is looked through once."""
-    places = placed.groupBy("file_name").agg(F.collect_list(F.struct(*dict.fromkeys([*kept, start, size]))).alias("places"))
+def _bytes_at(spark: SparkSession, path: str, placed: DataFrame, start: str, size: str, kept: list[str], digest: str) -> DataFrame:
+    """The kept columns and the digest of the bytes of the file at each place.
 
-    def read(place: Column) -> Column:
-        there = F.substring("content", (place[start] + 1).cast("int"), place[size].cast("int"))
-        return F.struct(*[place[c].alias(c) for c in kept], F.sha2(there, 256).alias(digest))
-
-    return places.join(files, "file_name").select(F.inline(F.transform("places", read)))
+    The files are read again line by line. Lines and places meet by ranges of bytes, so that no
+    task holds more of a file than a range and the places in it.
+    """
+    whole = F.encode(F.concat("value", F.lit("\n")), "UTF-8")
+    lines = spark.read.option("lineSep", "\n").text(path).select(*source_columns(), whole.alias("line"))
+    lines = with_byte_offsets(lines.withColumn("n_bytes", F.octet_length("line")))
+    lines = _in_ranges(lines.select("file_name", "byte_offset", "n_bytes", "line"), "byte_offset", "n_bytes")
+    places = placed.select(
+        "file_name", F.col(start).alias("at"), F.col(size).cast("bigint").alias("bytes"), F.struct(*kept).alias("kept")
+    )
+    places = _in_ranges(places, "at", "bytes").withColumnRenamed("first_range", "own_first")
+    both = places.join(lines, ["file_name", "range"]).filter(
+        # Both may reach into several ranges; they meet in the first that they share.
+        (F.col("range") == F.greatest("first_range", "own_first"))
+        & (F.col("byte_offset") < F.col("at") + F.col("bytes"))
+        & (F.col("byte_offset") + F.col("n_bytes") > F.col("at"))
+    )
+    begin = F.greatest(F.col("at") - F.col("byte_offset"), F.lit(0))
+    end = F.least(F.col("at") + F.col("bytes") - F.col("byte_offset"), F.col("n_bytes"))
+    part = F.substring("line", (begin + 1).cast("int"), (end - begin).cast("int"))
+    whole = both.groupBy("file_name", "at").agg(
+        F.first("kept").alias("kept"), F.sort_array(F.collect_list(F.struct("byte_offset", part.alias("part")))).alias("parts")
+    )
+    there = F.aggregate("parts", F.lit(b""), lambda text, x: F.concat(text, x["part"]))
+    return whole.select("kept.*", F.sha2(there, 256).alias(digest))
 
 
 def xml_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -464,7 +485,7 @@ def xml_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _written_dump(spark, sf_dir)
     metadata = document_metadata(read_chunks(spark, path), keep_file=True)
     kept = ["doc_id", "title", "contributor_name", "contributor_id", "ts", "text_len"]
-    return _bytes_at(metadata, _files(spark, path), "text_start", "text_bytes", kept, "text_sha256")
+    return _bytes_at(spark, path, metadata, "text_start", "text_bytes", kept, "text_sha256")
 
 
 def metadata_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -481,7 +502,7 @@ def xml_page_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page of the written dump by the bytes that stand at its offset."""
     path = _written_dump(spark, sf_dir)
     offsets = read_page_offsets(spark, path)
-    return _bytes_at(offsets, _files(spark, path), "byte_offset", "page_bytes", ["page_bytes"], "page_sha256")
+    return _bytes_at(spark, path, offsets, "byte_offset", "page_bytes", ["page_bytes"], "page_sha256")
 
 
 def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
