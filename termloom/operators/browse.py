@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.tokens import cutter, term_positions
+from termloom.operators.search import rows_of
 from termloom.session import staged
 
 
@@ -44,9 +45,7 @@ def term_documents(
         "number", (F.row_number().over(Window.orderBy(*by)) - 1 + start).cast("int")
     )
     columns = [c for c in documents.columns if c != "doc_id"]
-    # Only the page's documents take part in the outer join.
-    shown = documents.join(page.select("doc_id"), "doc_id", "left_semi")
-    return numbered.join(shown, "doc_id", "left").select("number", "doc_id", "tf", *columns).orderBy("number")
+    return numbered.join(rows_of(documents, page), "doc_id", "left").select("number", "doc_id", "tf", *columns).orderBy("number")
 
 
 def snippets(hits: DataFrame, documents: DataFrame, width: int = 10) -> DataFrame:

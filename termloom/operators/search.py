@@ -230,13 +230,27 @@ def result_page(
     if documents is None:
         titled = page.withColumn("title", F.lit(None).cast("string"))
     else:
-        titles = documents.select("doc_id", F.col(title).alias("title"))
-        # Only the page's documents take part in the outer join.
-        shown = titles.join(page.select("doc_id"), "doc_id", "left_semi")
-        titled = page.join(shown, "doc_id", "left")
+        page = staged(page, "page")
+        titled = page.join(rows_of(documents.select("doc_id", F.col(title).alias("title")), page), "doc_id", "left")
     return titled.select("query_id", "number", "title", "doc_id", "score", "url").orderBy("query_id", "number")
 
 
+#: Ids of a page that are looked up as a list.
+LISTED_IDS = 1000
+
+
+def rows_of(documents: DataFrame, page: DataFrame) -> DataFrame:
+    """The documents of a stored page.
+
+    The ids of a page of usual size are a literal list, which reaches the Parquet scan: of
+    documents that are sorted by id, only row groups that can hold one are read.
+    """
+    ids = [row.doc_id for row in page.select("doc_id").distinct().limit(LISTED_IDS + 1).collect()]
+    if len(ids) <= LISTED_IDS:
+        return documents.filter(F.col("doc_id").isin(ids) if ids else F.lit(False))
+    return documents.join(page.select("doc_id"), "doc_id", "left_semi")
+
+
 def search(
     postings: DataFrame,
     queries: Queries,

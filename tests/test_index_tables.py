@@ -70,3 +70,29 @@ def test_dump_to_answers(spark, tmp_path):
     index = index_dump(spark, str(tmp_path / "dump.xml"), str(tmp_path / "index"))
     rows = index.search("quartz glass", "and").orderBy("number").collect()
     assert [(r.doc_id, r.title, r.score) for r in rows] == [(7, "note 7", 2.0), (1003, "note 1003", 2.0)]
+
+
+def test_a_page_reads_the_row_groups_of_its_documents_only(index):
+    plan = index.search("the", "or", amount=3)._jdf.queryExecution().executedPlan().toString()
+    assert "In(doc_id" in plan or "EqualTo(doc_id" in plan
+
+
+def test_dictionary_and_block_maxima(index):
+    postings = index.postings.select("term", "doc_id", "tf").collect()
+    counts, best = {}, {}
+    for r in postings:
+        df, high, total = counts.get(r.term, (0, 0, 0))
+        counts[r.term] = df + 1, max(high, r.tf), total + r.tf
+        key = r.term, r.doc_id >> 7
+        best[key] = max(best.get(key, 0), r.tf)
+    assert {r.term: (r.df, r.max_tf, r.total_tf) for r in index.terms.collect()} == counts
+    assert {(r.term, r.block): r.top for r in index.blocks.collect()} == best
+    assert all(r.df == counts[r.term][0] for r in index.top_terms().collect())
+
+
+def test_snippets_of_a_table_of_ids(spark, index):
+    page = index.search("the", "or", amount=2).select("doc_id")
+    ids = [r.doc_id for r in page.collect()]
+    of_page = {tuple(r) for r in index.snippets(["the"], page).collect()}
+    assert of_page == {tuple(r) for r in index.snippets(["THE"], ids).collect()} and of_page
+    assert of_page < {tuple(r) for r in index.snippets(["the"]).collect()}
