@@ -130,6 +130,8 @@ def count_tokens(docs: DataFrame, path: str, column: str = "text", keep: list[st
 
     ``path`` is a sentencepiece model. A kept column with the name of a new one gives way to it.
     """
+    if not path.endswith(".model"):
+        raise ValueError(f"{path}: units of texts without a space before them are not independent")
     made = ("n_bytes", "n_tokens")
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in made]
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -190,3 +190,8 @@ def test_empty_tables(spark, table):
     empty = table([(1, "x")]).limit(0)
     assert token_counts.count_tokens(empty, B).count() == 0
     assert alignment.alignments(empty, A, B).count() == 0
+
+
+def test_only_models_that_put_a_space_before_texts_are_counted(table):
+    with pytest.raises(ValueError, match="space"):
+        token_counts.count_tokens(table([(1, "x")]), A)
