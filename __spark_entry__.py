@@ -356,6 +356,12 @@ def term_documents_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return term_documents(postings, _docs(spark, sf_dir).drop("text"), TERM, "tf", 5, 10)
 
 
+def term_documents_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page whose place is found by counting."""
+    postings = scan_postings(_texts(spark, sf_dir), [TERM])
+    return term_documents(postings, _docs(spark, sf_dir).drop("text"), TERM, "tf", 5, 10, deep=1)
+
+
 def term_documents_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     postings = scan_postings(_texts(spark, sf_dir), [TERM])
     return term_documents(postings, _docs(spark, sf_dir).drop("text"), TERM, "id", 5, 10)
@@ -607,6 +613,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_batch_and": search_batch_and,
         "document_lookup": document_lookup,
         "term_documents_tf": term_documents_tf,
+        "term_documents_deep": term_documents_deep,
         "term_documents_id": term_documents_id,
         "snippets": query_snippets,
         "snippets_of_hits": snippets_of_hits,
@@ -823,6 +830,7 @@ def oracle_sql() -> dict[str, str]:
         "document_lookup": f"""SELECT doc_id, text, lower(source) AS title FROM documents
             WHERE doc_id IN ({_LOOKED_UP})""",
         "term_documents_tf": _term_page_sql("tf DESC, doc_id"),
+        "term_documents_deep": _term_page_sql("tf DESC, doc_id"),
         "term_documents_id": _term_page_sql("doc_id"),
         "snippets": _SNIPPETS,
         "word_count": r"""SELECT word, count(*)::BIGINT AS n FROM (

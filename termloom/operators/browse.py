@@ -8,10 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.tokens import cutter, term_positions
+from termloom.operators.groups import rows_from_rank
 from termloom.operators.search import rows_of
 from termloom.session import staged
 
 
+#: Pages that begin there, or later, are found by counting.
+DEEP_START = 10_000
+
+
 def get_documents(documents: DataFrame, ids: Sequence[int]) -> DataFrame:
     """The documents with these ids; unknown ids have no row. The filter reaches the scan."""
     return documents.filter(F.col("doc_id").isin([int(i) for i in ids]))
@@ -24,21 +29,21 @@ def term_documents(
     order: str = "tf",
     start: int = 0,
     amount: int = 10,
+    deep: int = DEEP_START,
 ) -> DataFrame:
     """One page of a term's documents, by falling frequency or by id.
 
     ``(number, doc_id, tf, <other document columns>)``, ``number`` counting from 0
-    over the whole list. Each task keeps its first ``start + amount`` rows only. A document
-    without a row in ``documents`` keeps its place, with nulls.
+    over the whole list. Each task keeps its first ``start + amount`` rows only; for pages
+    from ``deep`` on, the place of the page is found by counting first, and a task keeps
+    ``amount`` rows. A document without a row in ``documents`` keeps its place, with nulls.
     """
     by = [F.asc("doc_id")] if order == "id" else [F.desc("tf"), F.asc("doc_id")]
-    page = (
-        postings.filter(F.col("term") == term.lower())
-        .select("doc_id", "tf")
-        .orderBy(*by)
-        .offset(start)
-        .limit(amount)
-    )
+    hits, before = postings.filter(F.col("term") == term.lower()).select("doc_id", "tf"), start
+    if start >= deep:
+        keys = [("doc_id", False)] if order == "id" else [("tf", True), ("doc_id", False)]
+        hits, before = rows_from_rank(staged(hits, "hits"), keys, start)
+    page = hits.orderBy(*by).offset(before).limit(amount)
     # At most ``amount`` rows are left: they are found once, and ordering them in one group is cheap.
     page = staged(page, "page")
     numbered = page.withColumn(

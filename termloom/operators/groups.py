@@ -35,3 +35,31 @@ def top_per_group(
         )
     whole = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(whole)).filter(F.col(rank) <= n)
+
+
+#: Bits of a number that tell the cells of one histogram apart.
+CELL_BITS = 16
+
+
+def rows_from_rank(df: DataFrame, order: Sequence[tuple[str, bool]], start: int) -> tuple[DataFrame, int]:
+    """The rows from rank ``start`` (from 0) on, and how many rows before it are still among them.
+
+    ``order`` names BIGINT columns, each with whether it falls. Nothing is sorted: rows are
+    counted by the first bits of a column, the cell in which the rank lies is found from
+    running sums over at most 2**16 cells, and only that cell is counted by the next bits.
+    Rows that agree in all columns stay together. ``df`` is read once for each 16 bits.
+    """
+    beyond, inside = F.lit(False), F.lit(True)
+    for name, falls in order:
+        value = -F.col(name) if falls else F.col(name)
+        for shift in range(64 - CELL_BITS, -1, -CELL_BITS):
+            cell = F.shiftright(value, shift)
+            counts = df.filter(inside).groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+            upto = F.sum("n").over(Window.orderBy("cell")).alias("upto")
+            found = counts.select("cell", "n", upto).filter(F.col("upto") > start).orderBy("cell").first()
+            if found is None:
+                return df.limit(0), 0
+            start -= found["upto"] - found["n"]
+            beyond |= inside & (cell > found["cell"])
+            inside &= cell == found["cell"]
+    return df.filter(beyond | inside), start

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions.codec import running_sums
 from termloom.operators.browse import get_documents, snippets, term_documents, text_snippets
-from termloom.operators.groups import top_per_group
+from termloom.operators.groups import rows_from_rank, top_per_group
 from termloom.operators.lists import decode_lists, encode_lists, posting_lists
 from termloom.operators.postings import build_postings, prune_postings, scan_postings, term_stats
 from termloom.operators.search import best_or_scores, block_maxima, or_scores, result_page, search, tf_idf_scores
@@ -247,3 +247,15 @@ def test_a_range_of_ids_is_decoded_alone(spark):
         lists = encode_lists(postings, order, segment_rows=100, block_bits=4)
         got = {(r.term, r.doc_id, r.tf, tuple(r.positions)) for r in decode_lists(lists, order, ids=(100, 250)).collect()}
         assert got == {(t, d, n, tuple(p)) for t, d, n, p in rows if 100 <= d <= 250}
+
+
+@pytest.mark.parametrize("start", [0, 1, 250, 898, 899, 5000])
+def test_rows_from_a_rank_on(spark, start):
+    r = random.Random(start)
+    rows = [(d * r.choice([1, 1 << 20, 1 << 45, -7]), r.randrange(1, 5) << r.choice([0, 30])) for d in range(900)]
+    df = spark.createDataFrame(rows, "doc_id bigint, tf bigint").repartition(3)
+    ranked = sorted(rows, key=lambda x: (-x[1], x[0]))
+    found, before = rows_from_rank(df, [("tf", True), ("doc_id", False)], start)
+    got = sorted((tuple(x) for x in found.collect()), key=lambda x: (-x[1], x[0]))
+    assert got[before:] == ranked[start:] and before < 900
+    assert start >= 900 or before == start - ranked.index(ranked[start])
