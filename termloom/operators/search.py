@@ -265,13 +265,14 @@ def search(
     """Answer one query, several, or a table ``(query_id, query)``.
 
     ``mode="or"`` ranks documents with any term, everything else means "and".
-    Unknown terms match nothing; a query without letters has no rows. A table of queries is
-    answered in "or" by way of block maxima, so that most pairs of a query and a document are
-    never scored. ``terms`` and ``blocks`` are the dictionary and the maxima of a stored index.
+    Unknown terms match nothing; a query without letters has no rows. ``terms`` and ``blocks``
+    are the dictionary and the maxima of a stored index. With both, a table of queries is
+    answered in "or" by way of block maxima, so that a pair of a query and a document is
+    scored only where the document's block can reach the page.
     """
     if mode.strip().lower() not in ("or", "tf"):
         scores = and_scores(postings, queries, terms)
-    elif isinstance(queries, DataFrame):
+    elif isinstance(queries, DataFrame) and terms is not None and blocks is not None:
         scores = best_or_scores(postings, queries, start + amount, terms, blocks)
     else:
         scores = or_scores(postings, queries, terms)
