@@ -7,6 +7,8 @@ documents that hold every term (AND).
 
 from __future__ import annotations
 
+import functools
+import operator
 import re
 from collections.abc import Sequence
 
@@ -137,15 +139,24 @@ def best_or_scores(
     return scored(opened)
 
 
-def and_scores(postings: DataFrame, queries: Queries, terms: DataFrame | None = None) -> DataFrame:
+def and_scores(
+    postings: DataFrame, queries: Queries, terms: DataFrame | None = None, blocks: DataFrame | None = None
+) -> DataFrame:
     """``(query_id, doc_id, score)`` of every document that holds all terms.
 
-    Only documents with a query's rarest term can hold all: those are its candidates,
-    and the other terms are looked up for them. ``terms (term, df)`` of a stored index
-    tells the rarest without a look through the postings.
+    One query, given as a string, has a column for each of its terms, so that a document's
+    frequencies meet in one aggregation. Of several queries, or a table of them, only
+    documents with a query's rarest term can hold all: those are its candidates, and the
+    other terms are looked up for them. ``terms (term, df)`` of a stored index tells the
+    rarest without a look through the postings, ``blocks (term, block)`` which blocks of
+    documents hold all terms of one query.
     """
-    found, wanted = _matches(postings, queries)
+    if isinstance(queries, str):
+        return _and_scores_of_one(postings, queries, blocks)
+    wanted, found = _wanted(postings, queries, postings.select("term", "doc_id", "tf"))
     if terms is None:
+        # The counts, the candidates and the look-up read this.
+        found = staged(found, "wanted-postings")
         counts = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     else:
         counts = terms.select("term", "df")
@@ -168,6 +179,24 @@ def and_scores(postings: DataFrame, queries: Queries, terms: DataFrame | None =
     )
 
 
+def _and_scores_of_one(postings: DataFrame, query: str, blocks: DataFrame | None) -> DataFrame:
+    literals = literal_terms([query])
+    known = F.col("term").isin(literals) if literals else F.lit(False)
+    found = postings.select("term", "doc_id", "tf").filter(known)
+    if blocks is not None:
+        # Where a term is rare, few blocks hold all terms, and only their postings are shuffled.
+        held = blocks.filter(known).groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+        held = held.filter(F.col("n") == len(literals)).select("block")
+        found = found.withColumn("block", F.shiftright("doc_id", BLOCK_BITS)).join(held, "block", "left_semi")
+    names = [f"tf_{i}" for i in range(len(literals))]
+    by_term = [F.max(F.when(F.col("term") == t, F.col("tf"))).alias(n) for t, n in zip(literals, names, strict=True)]
+    whole = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), *by_term).filter(F.col("n") == len(literals))
+    scale = whole.agg(F.array(*[F.max(n) for n in names]).alias("scale")).scalar()
+    parts = [F.col(n) / F.element_at(scale, i + 1) for i, n in enumerate(names)]
+    score = functools.reduce(operator.add, parts, F.lit(0.0))
+    return whole.select(F.lit(0).cast("bigint").alias("query_id"), "doc_id", score.alias("score"))
+
+
 def tf_idf_scores(
     postings: DataFrame, documents: DataFrame, queries: Queries, terms: DataFrame | None = None
 ) -> DataFrame:
@@ -271,7 +300,7 @@ def search(
     scored only where the document's block can reach the page.
     """
     if mode.strip().lower() not in ("or", "tf"):
-        scores = and_scores(postings, queries, terms)
+        scores = and_scores(postings, queries, terms, blocks)
     elif isinstance(queries, DataFrame) and terms is not None and blocks is not None:
         scores = best_or_scores(postings, queries, start + amount, terms, blocks)
     else:

@@ -15,7 +15,7 @@ from termloom.operators.browse import get_documents, snippets, term_documents, t
 from termloom.operators.groups import rows_from_rank, top_per_group
 from termloom.operators.lists import decode_lists, encode_lists, posting_lists
 from termloom.operators.postings import build_postings, prune_postings, scan_postings, term_stats
-from termloom.operators.search import best_or_scores, block_maxima, or_scores, result_page, search, tf_idf_scores
+from termloom.operators.search import and_scores, best_or_scores, block_maxima, or_scores, result_page, search, tf_idf_scores
 from termloom.operators.stopwords import common_terms, drop_common_terms, drop_listed_terms
 from termloom.operators.tokens import tokenize_positions, tokenize_positions_in_pieces
 from termloom.operators.wordcount import word_count
@@ -259,3 +259,16 @@ def test_rows_from_a_rank_on(spark, start):
     got = sorted((tuple(x) for x in found.collect()), key=lambda x: (-x[1], x[0]))
     assert got[before:] == ranked[start:] and before < 900
     assert start >= 900 or before == start - ranked.index(ranked[start])
+
+
+@pytest.mark.parametrize("query", ["taa tab", "tad tbz taa", "tch", "taa zzz", "", "12 !", "taa TAA taa"])
+def test_and_of_one_query_against_plain_python(spark, query):
+    postings = random_postings(spark, 700, 3).cache()
+    rows = {(r.term, r.doc_id): r.tf for r in postings.collect()}
+    asked = sorted(set(re.findall("[a-z]+", query.lower())))
+    docs = {d for t, d in rows if asked} & {d for _, d in rows if all((t, d) in rows for t in asked)}
+    scale = {t: max((rows[t, d] for d in docs), default=1) for t in asked}
+    want = {d: pytest.approx(sum(rows[t, d] / scale[t] for t in asked)) for d in docs}
+    for blocks in (None, block_maxima(postings)):
+        assert {r.doc_id: r.score for r in and_scores(postings, query, blocks=blocks).collect()} == want
+    assert {r.doc_id: r.score for r in and_scores(postings, [query]).collect()} == want
