@@ -213,12 +213,14 @@ def decode_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decoded(spark, sf_dir, "tf_id")
 
 
-def _search(spark: SparkSession, sf_dir: str, queries, mode: str, start=0, amount=10, caps=None) -> DataFrame:
+def _search(
+    spark: SparkSession, sf_dir: str, queries, mode: str, start=0, amount=10, caps=None, **options
+) -> DataFrame:
     terms = literal_terms([queries]) if isinstance(queries, str) else None
     postings = scan_postings(_texts(spark, sf_dir), terms)
     if caps:
         postings = prune_postings(postings, **caps)
-    return _scored(search(postings, queries, mode, start, amount, _docs(spark, sf_dir)))
+    return _scored(search(postings, queries, mode, start, amount, _docs(spark, sf_dir), **options))
 
 
 def search_or(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,6 +239,11 @@ def search_page2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _search(spark, sf_dir, QUERY, "or", start=10)
 
 
+def search_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page of each query whose place is found by counting."""
+    return _search(spark, sf_dir, _batch(spark, sf_dir), "or", start=10, deep=1)
+
+
 def search_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _search(spark, sf_dir, _batch(spark, sf_dir), "or")
 
@@ -597,6 +604,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_or_pruned": search_or_pruned,
         "search_and": search_and,
         "search_page2": search_page2,
+        "search_page_deep": search_page_deep,
         "search_nothing": search_nothing,
         "search_exported_lists": search_exported_lists,
         "stored_search_or": stored_search_or,
@@ -825,6 +833,7 @@ def oracle_sql() -> dict[str, str]:
         "search_or_pruned": _page_sql(f"{_TF},{pruned_tf},{_ONE_QUERY},{_OR.format('pruned')}"),
         "search_and": _page_sql(f"{_TF},{_ONE_QUERY},{_AND.format('tf')}"),
         "search_page2": _page_sql(f"{_TF},{_ONE_QUERY},{_OR.format('tf')}", start=10),
+        "search_page_deep": _page_sql(f"{_TF},{_BATCH},{_OR.format('tf')}", start=10),
         "search_batch": _page_sql(f"{_TF},{_BATCH},{_OR.format('tf')}"),
         "search_batch_and": _page_sql(f"{_TF},{_BATCH},{_AND.format('tf')}"),
         "document_lookup": f"""SELECT doc_id, text, lower(source) AS title FROM documents

@@ -9,14 +9,10 @@ from pyspark.sql import functions as F
 
 from termloom.functions.tokens import cutter, term_positions
 from termloom.operators.groups import rows_from_rank
-from termloom.operators.search import rows_of
+from termloom.operators.search import DEEP_START, rows_of
 from termloom.session import staged
 
 
-#: Pages that begin there, or later, are found by counting.
-DEEP_START = 10_000
-
-
 def get_documents(documents: DataFrame, ids: Sequence[int]) -> DataFrame:
     """The documents with these ids; unknown ids have no row. The filter reaches the scan."""
     return documents.filter(F.col("doc_id").isin([int(i) for i in ids]))

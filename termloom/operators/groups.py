@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from termloom.session import staged
+
 
 def top_per_group(
     df: DataFrame,
@@ -63,3 +65,35 @@ def rows_from_rank(df: DataFrame, order: Sequence[tuple[str, bool]], start: int)
             beyond |= inside & (cell > found["cell"])
             inside &= cell == found["cell"]
     return df.filter(beyond | inside), start
+
+
+def rows_from_ranks(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool]], start: int) -> DataFrame:
+    """Of each group the rows from rank ``start`` (from 0) on.
+
+    As :func:`rows_from_rank`, in all groups at once: the cells in which the ranks lie are a
+    table of one row per group, staged for each 16 bits. ``order`` tells all rows of a group
+    apart. Groups of at most ``start`` rows, and rows with a null key, have none.
+    """
+    cells: list[Column] = []
+    for name, falls in order:
+        value = -F.col(name) if falls else F.col(name)
+        cells += [F.shiftright(value, shift) for shift in range(64 - CELL_BITS, -1, -CELL_BITS)]
+    names = [f"_cell{i}" for i in range(len(cells))]
+    edge = df.select(*keys).distinct().withColumn("_left", F.lit(start).cast("bigint"))
+    for i, name in enumerate(names):
+        known = [*keys, *names[:i]]
+        counts = (
+            df.select(*keys, *[c.alias(n) for c, n in zip(cells, names[: i + 1])])
+            .join(edge, known)
+            .groupBy(*known, name)
+            .agg(F.count(F.lit(1)).alias("_n"), F.first("_left").alias("_left"))
+        )
+        upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy(name))
+        ends = counts.withColumn("_upto", upto).filter((F.col("_upto") > F.col("_left")) & (F.col("_upto") - F.col("_n") <= F.col("_left")))
+        left = F.col("_left") - F.col("_upto") + F.col("_n")
+        edge = staged(ends.select(*known, name, left.alias("_left")), "rank-edge")
+    # The last bits of each column are in its finest cell, which is the value itself.
+    whole = range(64 // CELL_BITS - 1, len(cells), 64 // CELL_BITS)
+    at = edge.select(*keys, F.struct(*[F.col(names[i]).alias(f"c{i}") for i in whole]).alias("_edge"))
+    place = F.struct(*[cells[i].alias(f"c{i}") for i in whole])
+    return df.join(at, list(keys)).filter(place >= F.col("_edge")).select(*df.columns)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions.tokens import distinct_terms
-from termloom.operators.groups import top_per_group
+from termloom.operators.groups import rows_from_ranks, top_per_group
 from termloom.session import staged
 
 Queries = str | Sequence[str] | DataFrame
@@ -227,19 +227,30 @@ def corpus_size(documents: DataFrame) -> DataFrame:
     return documents.agg(F.count(F.lit(1)).alias("n_documents"))
 
 
+#: Pages that begin there, or later, are found by counting.
+DEEP_START = 10_000
+
+
 def result_page(
     scores: DataFrame,
     start: int = 0,
     amount: int = 10,
     documents: DataFrame | None = None,
     title: str = "title",
+    deep: int = DEEP_START,
 ) -> DataFrame:
     """Rows ``[start, start + amount)`` of each query by falling score, ties by id.
 
     ``(query_id, number, title, doc_id, score, url)``; ``number`` counts from 0 on
     the page, and rows come in its order. A document without metadata keeps its row
-    with a null title.
+    with a null title. A task ranks its first ``start + amount`` rows of a query; for pages
+    from ``deep`` on, the first row of the page is found by counting, and a task ranks ``amount``.
     """
+    if start >= deep:
+        points = F.round(F.round("score", 9) * 1e9).cast("bigint")
+        counted = staged(scores.withColumn("_points", points), "scores")
+        scores = rows_from_ranks(counted, ["query_id"], [("_points", True), ("doc_id", False)], start).drop("_points")
+        start = 0
     last = start + amount
     ranked = top_per_group(
         scores,
@@ -290,6 +301,7 @@ def search(
     title: str = "title",
     terms: DataFrame | None = None,
     blocks: DataFrame | None = None,
+    deep: int = DEEP_START,
 ) -> DataFrame:
     """Answer one query, several, or a table ``(query_id, query)``.
 
@@ -301,8 +313,8 @@ def search(
     """
     if mode.strip().lower() not in ("or", "tf"):
         scores = and_scores(postings, queries, terms, blocks)
-    elif isinstance(queries, DataFrame) and terms is not None and blocks is not None:
+    elif isinstance(queries, DataFrame) and terms is not None and blocks is not None and start < deep:
         scores = best_or_scores(postings, queries, start + amount, terms, blocks)
     else:
         scores = or_scores(postings, queries, terms)
-    return result_page(scores, start, amount, documents, title)
+    return result_page(scores, start, amount, documents, title, deep)

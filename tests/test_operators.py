@@ -272,3 +272,19 @@ def test_and_of_one_query_against_plain_python(spark, query):
     for blocks in (None, block_maxima(postings)):
         assert {r.doc_id: r.score for r in and_scores(postings, query, blocks=blocks).collect()} == want
     assert {r.doc_id: r.score for r in and_scores(postings, [query]).collect()} == want
+
+
+@pytest.mark.parametrize("start,amount", [(1, 5), (37, 10), (699, 3), (100_000, 3)])
+def test_deep_pages_are_the_same_rows(spark, start, amount):
+    r = random.Random(start)
+    rows = [(q, d, r.choice([0.5, 1.0, r.random() * 4])) for q, n in ((1, 700), (5, 40), (9, 1)) for d in r.sample(range(5000), n)]
+    scores = spark.createDataFrame(rows, "query_id bigint, doc_id bigint, score double").repartition(3)
+    pages = [result_page(scores, start, amount, deep=deep).collect() for deep in (1, start + 1)]
+    assert pages[0] == pages[1] and len(pages[0]) == sum(max(0, min(amount, n - start)) for n in (700, 40, 1))
+
+
+def test_a_deep_page_ranks_few_rows(spark):
+    rows = [(d % 2, (d * 48271) % 65521, 1.0 + d % 3) for d in range(4000)]
+    scores = spark.createDataFrame(rows, "query_id bigint, doc_id bigint, score double")
+    plan = result_page(scores, 1900, 5, deep=1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "<= 5" in plan and "1905" not in plan
