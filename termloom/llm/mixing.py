@@ -97,7 +97,9 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     threshold = F.col("cell") + (over < F.col("rest") - F.col("before")).cast("long")
     e = edge.select(F.col("source").alias("e_source"), threshold.alias("threshold"))
     plan = goals.join(e, goals["source"].eqNullSafe(e["e_source"]), "left")
-    return plan.select("source", "source_size", "target", "passes", F.coalesce("threshold", F.lit(0)).alias("threshold"))
+    plan = plan.select("source", "source_size", "target", "passes", F.coalesce("threshold", F.lit(0)).alias("threshold"))
+    # As a table its size is known: Spark sends a small one to all tasks, so that no text is shuffled for it.
+    return staged(plan, "mix-plan")
 
 
 def mix(docs: DataFrame, plan: DataFrame) -> DataFrame:
