@@ -165,9 +165,11 @@ def and_scores(
         F.min_by("term", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term")).alias("rarest"),
         F.collect_list("term").alias("terms"),
     )
-    rare = asked.select("query_id", "terms", F.col("rarest").alias("term"))
+    # A row for each query: stored, so that its size is known, and it is the side that is sent around.
+    rare = staged(asked.select("query_id", "terms", F.col("rarest").alias("term")), "rarest-terms")
     candidates = found.join(rare, "term").select("query_id", "doc_id", F.size("terms").alias("n"), F.explode("terms").alias("term"))
-    matched = candidates.join(found, ["doc_id", "term"])
+    # Stored postings are many times larger in memory than their files say, and are never broadcast.
+    matched = candidates.join(found.hint("merge"), ["doc_id", "term"])
     hits = matched.groupBy("query_id", "doc_id").agg(F.collect_list(F.struct("term", "tf")).alias("hits"), F.first("n").alias("n"))
     # A document has as many hits of a query as the query has terms, or it goes.
     whole = hits.filter(F.size("hits") == F.col("n")).select("query_id", "doc_id", F.inline("hits"))

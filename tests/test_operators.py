@@ -288,3 +288,17 @@ def test_a_deep_page_ranks_few_rows(spark):
     scores = spark.createDataFrame(rows, "query_id bigint, doc_id bigint, score double")
     plan = result_page(scores, 1900, 5, deep=1)._jdf.queryExecution().optimizedPlan().toString()
     assert "<= 5" in plan and "1905" not in plan
+
+
+def test_looking_up_the_terms_of_queries_broadcasts_no_postings(spark):
+    """A few megabytes of stored postings take many times that in a broadcast table."""
+    postings = random_postings(spark, 2000, 5).cache()
+    queries = spark.createDataFrame([(0, "taa tab"), (1, "tac tad taa"), (2, "zzz taa")], "query_id bigint, query string")
+    plan = and_scores(postings, queries)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan
+    texts = {0: ["taa", "tab"], 1: ["tac", "tad", "taa"]}
+    held = {}
+    for r in postings.collect():
+        held.setdefault(r.doc_id, {})[r.term] = r.tf
+    want = {(q, d) for q, terms in texts.items() for d, found in held.items() if all(t in found for t in terms)}
+    assert {(r.query_id, r.doc_id) for r in and_scores(postings, queries).collect()} == want
