@@ -19,50 +19,32 @@ ORDERS = ("id", "tf", "tf_id")
 # list begins at the first block of ids before which SEGMENT_ROWS postings stand.
 SEGMENT_ROWS = 100_000
 BLOCK_BITS = 16
-# Counts of blocks are summed within ranges of this many blocks, then of ranges, and so on.
-RANGE_BITS = 16
-RANGE_LEVELS = 2
 # Lines that a task decodes at a time.
 DECODED_LINES = 256
 
 
-def _before(within: list[str], by: str) -> Column:
-    window = Window.partitionBy(*within).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum("n").over(window), F.lit(0).cast("bigint"))
+def _segments(rows: DataFrame, lead: list[str], segment_rows: int) -> DataFrame:
+    """``rows`` with ``segment`` and ``df``: their line, and the postings of the term in all.
 
-
-def _block_places(rows: DataFrame, lead: list[str]) -> DataFrame:
-    """``(*lead, block, before, df)``: postings of the term before each block, and in all.
-
-    Blocks are counted into ranges of blocks and ranges into ranges; sums run within
-    one range of each level, so that no task sums along a whole term, whether its ids
-    are dense or hashed.
+    Rows are sorted by ranges of the list order, a block in one range. Within a range, a row's
+    place is its number there less that of the term's first; before that stand the term's
+    counts in the ranges before, of which there is one row for each range and term. So no task
+    sums along a term, and nothing is counted by block, whether ids are dense or hashed.
     """
-    levels = [rows.groupBy(*lead, "block").agg(F.count(F.lit(1)).alias("n"))]
-    for _ in range(RANGE_LEVELS):
-        outer = F.shiftright("block", RANGE_BITS).alias("block")
-        levels.append(levels[-1].groupBy(*lead, outer).agg(F.sum("n").alias("n")))
-    runs = levels[-1].groupBy(*lead).agg(F.sum("n").alias("n"))
-    if len(lead) > 1:  # one run per frequency
-        places = runs.select(
-            *lead,
-            _before(["term"], "neg_tf").alias("base"),
-            F.sum("n").over(Window.partitionBy("term")).alias("df"),
-        )
-    else:
-        places = runs.select("term", F.lit(0).cast("bigint").alias("base"), F.col("n").alias("df"))
-    joined = lead
-    for i in range(RANGE_LEVELS, -1, -1):
-        level = levels[i]
-        if i < RANGE_LEVELS:
-            level = level.withColumn("outer", F.shiftright("block", RANGE_BITS))
-            joined = [*lead, "outer"]
-            places = places.withColumnRenamed("block", "outer")
-        level = level.withColumn("inside", _before(joined, "block"))
-        places = level.join(places, joined).select(
-            *lead, "block", (F.col("base") + F.col("inside")).alias("base"), "df"
-        )
-    return places.withColumnRenamed("base", "before")
+    order = [*lead, "block"]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = ordered.withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.spark_partition_id())
+    # Blocks are whole in their ranges: this needs no shuffle.
+    blocks = numbered.withColumn("first", F.min("at").over(Window.partitionBy(*order)))
+    placed = staged(blocks, "placed-rows")
+    parts = placed.groupBy("term", "part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("begin"))
+    term = Window.partitionBy("term")
+    upto = F.sum("n").over(term.orderBy("part").rowsBetween(Window.unboundedPreceding, 0))
+    parts = parts.select("term", "part", (upto - F.col("n") - F.col("begin")).alias("base"), F.sum("n").over(term).alias("df"))
+    # One row for each long list and range: stored, so that its size is known.
+    joined = placed.filter(F.col("block").isNotNull()).join(staged(parts, "term-parts"), ["term", "part"])
+    segment = F.expr(f"(base + first) div {int(segment_rows)}")
+    return joined.withColumn("segment", segment).drop("part", "at", "first", "base", "block")
 
 
 def posting_lists(
@@ -85,7 +67,7 @@ def posting_lists(
 
     Postings are staged, so that ``postings`` is computed once. A list of at most
     ``segment_rows`` is one line by this rule and is gathered by its term. Only the others,
-    of which there is one for each ``segment_rows`` postings at most, are counted by block.
+    of which there is one for each ``segment_rows`` postings at most, are sorted by ranges.
     """
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}")
@@ -119,8 +101,7 @@ def posting_lists(
         return single(rows)
     lead = ["term", "neg_tf"] if by_tf else ["term"]
     long = rows.join(several, "term", "left_semi").withColumn("block", F.shiftright("doc_id", block_bits))
-    placed = long.join(_block_places(long, lead), [*lead, "block"])
-    placed = placed.withColumn("segment", F.expr(f"before div {int(segment_rows)}"))
+    placed = _segments(long, lead, segment_rows)
     return single(rows.join(several, "term", "left_anti")).unionByName(lines(placed, F.first("df")))
 
 

@@ -302,3 +302,16 @@ def test_looking_up_the_terms_of_queries_broadcasts_no_postings(spark):
         held.setdefault(r.doc_id, {})[r.term] = r.tf
     want = {(q, d) for q, terms in texts.items() for d, found in held.items() if all(t in found for t in terms)}
     assert {(r.query_id, r.doc_id) for r in and_scores(postings, queries).collect()} == want
+
+
+@pytest.mark.parametrize("order", ["id", "tf_id"])
+def test_long_lists_are_placed_without_counting_blocks(spark, hot, order):
+    """Ids far apart make as many blocks as postings; one shuffle gathers each kind of lists."""
+    sparse = hot.withColumn("doc_id", F.shiftleft(F.col("doc_id") * 524287 % 262147, 44))
+    lists = posting_lists(sparse, order, positions=False, segment_rows=700, block_bits=6)
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2
+    lines = lists.filter("term = 'hot'").orderBy("segment").collect()
+    assert [r.posting_list.count(";") - 1 for r in lines] == [700, 700, 700, 700, 200]
+    ranked = sorted((-r.tf if order == "tf_id" else 0, r.doc_id) for r in sparse.filter("term = 'hot'").collect())
+    assert [int(x.split("-")[0]) for r in lines for x in r.posting_list.split(";")[1:-1]] == [d for _, d in ranked]
