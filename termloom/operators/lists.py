@@ -19,8 +19,8 @@ ORDERS = ("id", "tf", "tf_id")
 # list begins at the first block of ids before which SEGMENT_ROWS postings stand.
 SEGMENT_ROWS = 100_000
 BLOCK_BITS = 16
-# Lines that a task decodes at a time.
-DECODED_LINES = 256
+# Bytes of text that a task decodes at a time.
+DECODED_BYTES = 1 << 20
 
 
 def _segments(rows: DataFrame, lead: list[str], segment_rows: int) -> DataFrame:
@@ -110,8 +110,18 @@ def encode_lists(postings: DataFrame, order: str = "id", **options) -> DataFrame
     return posting_lists(postings, order, positions=True, delta=True, **options)
 
 
+def _cuts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Stretches of about ``DECODED_BYTES``, of one text at least."""
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(ends):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + DECODED_BYTES, "right")))
+        yield at, stop
+        at = stop
+
+
 def _decode(with_sums_by_tf: bool, positions: bool, ids: tuple[int, int] | None):
-    """Lines of Arrow batches to postings, column by column, with one running sum over a batch."""
+    """Lines of Arrow batches to postings, column by column, some bytes of lines or a part of a long one at a time."""
 
     def sums(steps: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Running sums that start anew at ``starts``."""
@@ -119,25 +129,22 @@ def _decode(with_sums_by_tf: bool, positions: bool, ids: tuple[int, int] | None)
         before = (upto - steps)[starts]
         return upto - np.repeat(before, np.diff(np.append(starts, len(steps))))
 
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lines = pc.utf8_rtrim(batch.column("posting_list").fill_null(""), ";")
-        items = pc.split_pattern(lines, ";")
-        # The first item of a line is its count.
-        sizes = np.maximum(pc.list_value_length(items).to_numpy(zero_copy_only=False) - 1, 0)
-        items = pc.list_flatten(pc.list_slice(items, 1))
+    def postings_of(terms: pa.Array, line: np.ndarray, items: pa.Array, last: tuple[int, int, int] | None):
+        """The postings of some items, and the last one's line, id and frequency, with which the next go on."""
         fields = pc.split_pattern(items, "-", max_splits=2)
-        starts = (np.cumsum(sizes) - sizes)[sizes > 0]
         steps, tfs = (pc.list_element(fields, i).cast(pa.int64()).to_numpy() for i in (0, 1))
+        begins = np.append(True, np.diff(line) != 0)
         if with_sums_by_tf:  # sums start anew with each frequency
-            changed = np.flatnonzero(np.diff(tfs)) + 1
-            starts = np.union1d(starts, changed)
-        doc_ids = sums(steps, starts) if len(steps) else steps
-        line = np.repeat(np.arange(len(sizes)), sizes)
+            begins[1:] |= np.diff(tfs) != 0
+        if last is not None and last[0] == line[0] and not (with_sums_by_tf and last[2] != tfs[0]):
+            steps = np.append(steps[0] + last[1], steps[1:])
+        doc_ids = sums(steps, np.flatnonzero(begins))
+        last = int(line[-1]), int(doc_ids[-1]), int(tfs[-1])
         if ids is not None:
             inside = (doc_ids >= ids[0]) & (doc_ids <= ids[1])
             line, doc_ids, tfs = line[inside], doc_ids[inside], tfs[inside]
             fields = fields.filter(pa.array(inside))
-        columns = [batch.column("term").take(pa.array(line)), pa.array(doc_ids), pa.array(tfs)]
+        columns = [terms.take(pa.array(line)), pa.array(doc_ids), pa.array(tfs)]
         if positions:
             places = pc.split_pattern(pc.list_element(fields, 2), ",") if len(line) else pa.array([], pa.list_(pa.string()))
             counts = pc.list_value_length(places).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -145,12 +152,23 @@ def _decode(with_sums_by_tf: bool, positions: bool, ids: tuple[int, int] | None)
             flat = sums(flat, np.cumsum(counts) - counts) if len(flat) else flat
             offsets = np.append(0, np.cumsum(counts))
             columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32())))
-        return pa.RecordBatch.from_arrays(columns, names=["term", "doc_id", "tf", "positions"][: len(columns)])
+        return pa.RecordBatch.from_arrays(columns, names=["term", "doc_id", "tf", "positions"][: len(columns)]), last
+
+    def some_lines(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        lines = pc.utf8_rtrim(batch.column("posting_list").fill_null(""), ";")
+        items = pc.split_pattern(lines, ";")
+        # The first item of a line is its count.
+        sizes = np.maximum(pc.list_value_length(items).to_numpy(zero_copy_only=False) - 1, 0)
+        items = pc.list_flatten(pc.list_slice(items, 1))
+        line, last = np.repeat(np.arange(len(sizes)), sizes), None
+        for at, stop in _cuts(items):
+            found, last = postings_of(batch.column("term"), line[at:stop], items.slice(at, stop - at), last)
+            yield found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, DECODED_LINES):
-                yield one(batch.slice(at, DECODED_LINES))
+            for at, stop in _cuts(batch.column("posting_list")):
+                yield from some_lines(batch.slice(at, stop - at))
 
     return run
 
@@ -161,6 +179,8 @@ def decode_lists(
     """Postings from lines written by :func:`encode_lists`: ``(term, doc_id, tf[, positions])``.
 
     Every line is decoded by itself: nothing is shuffled, and no row is made for a position.
+    Beside its lines, a task holds what it makes of ``DECODED_BYTES`` of them; a longer line goes on
+    from the last posting of the part before.
     With ``ids``, only postings from the first to the last of both; of the others no positions
     are read.
     """

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -11,6 +12,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from termloom.functions.codec import running_sums
+from termloom.operators import lists
 from termloom.operators.browse import get_documents, snippets, term_documents, text_snippets
 from termloom.operators.groups import rows_from_rank, top_per_group
 from termloom.operators.lists import decode_lists, encode_lists, posting_lists
@@ -315,3 +317,16 @@ def test_long_lists_are_placed_without_counting_blocks(spark, hot, order):
     assert [r.posting_list.count(";") - 1 for r in lines] == [700, 700, 700, 700, 200]
     ranked = sorted((-r.tf if order == "tf_id" else 0, r.doc_id) for r in sparse.filter("term = 'hot'").collect())
     assert [int(x.split("-")[0]) for r in lines for x in r.posting_list.split(";")[1:-1]] == [d for _, d in ranked]
+
+
+@pytest.mark.parametrize("order", ["id", "tf_id"])
+def test_long_lines_are_decoded_in_parts(spark, monkeypatch, order):
+    rows = [(t, d, 1 + d % 3, [d + 7 * k for k in range(1 + d % 3)]) for t in ("a", "b") for d in range(0, 900, 1 + ord(t) % 3)]
+    postings = spark.createDataFrame(rows, "term string, doc_id bigint, tf bigint, positions array<int>")
+    batch = pa.RecordBatch.from_pandas(encode_lists(postings, order).select("term", "posting_list").toPandas())
+    monkeypatch.setattr(lists, "DECODED_BYTES", 200)
+    for ids in (None, (100, 250)):
+        parts = list(lists._decode(order != "id", True, ids)([batch]))
+        assert len(parts) > 20 and max(p.num_rows for p in parts) <= 100
+        got = sorted((r["term"], r["doc_id"], r["tf"], r["positions"]) for p in parts for r in p.to_pylist())
+        assert got == sorted(r for r in rows if ids is None or ids[0] <= r[1] <= ids[1])
