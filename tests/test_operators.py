@@ -330,3 +330,16 @@ def test_long_lines_are_decoded_in_parts(spark, monkeypatch, order):
         assert len(parts) > 20 and max(p.num_rows for p in parts) <= 100
         got = sorted((r["term"], r["doc_id"], r["tf"], r["positions"]) for p in parts for r in p.to_pylist())
         assert got == sorted(r for r in rows if ids is None or ids[0] <= r[1] <= ids[1])
+
+
+def test_postings_within_the_cap_are_not_shuffled(spark):
+    postings = random_postings(spark, 2000, 3).cache()
+    kept = prune_postings(postings, max_postings=100)
+    # Only those at a term's last frequency are ranked: by parts, then in all.
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2 and "SortMergeJoin" not in plan
+    lists = {}
+    for r in postings.collect():
+        lists.setdefault(r.term, []).append((-r.tf, r.doc_id))
+    want = {(t, d) for t, found in lists.items() for _, d in sorted(found)[:100]}
+    assert {(r.term, r.doc_id) for r in kept.collect()} == want and kept.count() == len(want)
