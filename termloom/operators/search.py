@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions.tokens import distinct_terms
-from termloom.operators.groups import rows_from_ranks, top_per_group
+from termloom.operators.groups import range_count, rows_from_ranks, top_per_group
 from termloom.session import staged
 
 Queries = str | Sequence[str] | DataFrame
@@ -87,10 +87,15 @@ BLOCK_BITS = 7
 SLACK = 1e-6
 
 
-def block_maxima(postings: DataFrame) -> DataFrame:
-    """``(term, block, top)``: the highest frequency of a term within each block of documents."""
-    block = F.shiftright("doc_id", BLOCK_BITS).alias("block")
-    return postings.groupBy("term", block).agg(F.max("tf").alias("top"))
+def block_maxima(postings: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``(term, block, top)``: the highest frequency of a term within each block of documents.
+
+    Range-partitioned and sorted by (term, block). All of a block's rows of a term are in one range, so
+    that no more is shuffled and a task holds the maxima of its range only.
+    """
+    rows = postings.select("term", F.shiftright("doc_id", BLOCK_BITS).alias("block"), "tf")
+    placed = rows.repartitionByRange(*range_count(rows, partitions), "term", "block")
+    return placed.groupBy("term", "block").agg(F.max("tf").alias("top")).sortWithinPartitions("term", "block")
 
 
 def best_or_scores(

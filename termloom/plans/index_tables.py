@@ -78,18 +78,16 @@ def write_index(
     Each table is read back before the next is derived from it, so no stage depends on a
     long lineage and a lost executor costs only its own tasks. Documents are parsed once:
     they are staged in the shared folder before their ranges are found. ``partitions`` is
-    the number of ranges of the sorted tables (default: ``spark.sql.shuffle.partitions``).
+    the least number of ranges of the sorted tables (default: as many as Spark makes); there are
+    more where a task would have much to sort. Maxima are taken within such ranges, too.
     """
     sorted_by_id(staged(documents, "documents"), partitions).write.parquet(f"{path}/documents")
     stored = spark.read.parquet(f"{path}/documents")
     postings = staged(build_postings(stored), "postings")
     sorted_by_term(postings, partitions).write.parquet(f"{path}/postings")
-    top = prune_postings(postings.drop("positions"), **caps)
+    top = staged(prune_postings(postings.drop("positions"), **caps), "top-postings")
     sorted_by_term(top, partitions).write.parquet(f"{path}/top_postings")
-    maxima = block_maxima(postings)
-    maxima.repartitionByRange(*([partitions] if partitions else []), "term", "block").sortWithinPartitions(
-        "term", "block"
-    ).write.parquet(f"{path}/blocks")
+    block_maxima(postings, partitions).write.parquet(f"{path}/blocks")
     dictionary = term_stats(postings)
     dictionary.repartitionByRange(*([partitions] if partitions else []), "term").sortWithinPartitions("term").write.parquet(
         f"{path}/terms"

@@ -96,3 +96,38 @@ def test_snippets_of_a_table_of_ids(spark, index):
     of_page = {tuple(r) for r in index.snippets(["the"], page).collect()}
     assert of_page == {tuple(r) for r in index.snippets(["THE"], ids).collect()} and of_page
     assert of_page < {tuple(r) for r in index.snippets(["the"]).collect()}
+
+
+def test_ranges_grow_with_the_rows(spark, monkeypatch):
+    from termloom.operators import groups
+    from termloom.operators.documents import sorted_by_id
+    from termloom.operators.postings import sorted_by_term
+    from termloom.operators.search import block_maxima
+
+    monkeypatch.setattr(groups, "RANGE_BYTES", 1 << 13)
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(4000).selectExpr("concat('t', id % 3) as term", "4000 - id as doc_id", "id % 7 as tf", "'some text' as text")
+    for sort, key in ((sorted_by_id, ("doc_id",)), (sorted_by_term, ("term", "doc_id")), (block_maxima, ("term", "block"))):
+        for asked in (None, 2):
+            parts = [[tuple(r[k] for k in key) for r in part] for part in sort(rows, asked).rdd.glom().collect()]
+            assert max(map(len, parts)) < 1000 and len(parts) > max(most, 20)
+            assert [k for part in parts for k in part] == sorted(k for part in parts for k in part)
+    assert {tuple(r) for r in block_maxima(rows).collect()} == {
+        tuple(r) for r in rows.selectExpr("term", "doc_id div 128 as block", "tf").groupBy("term", "block").max("tf").collect()
+    }
+    assert len(sorted_by_id(rows.limit(0), 2).collect()) == 0
+
+
+def test_common_terms_move_no_posting(spark):
+    from termloom.operators.postings import build_postings
+    from termloom.operators.stopwords import drop_common_terms
+
+    docs = spark.range(20000).selectExpr("id as doc_id", "concat('all ', if(id % 2 = 0, 'half ', ''), 'x') as text")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        kept = drop_common_terms(build_postings(docs, positions=False), docs, 0.6)
+        assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r) for r in kept.groupBy("term").count().collect()} == {("half", 10000)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
