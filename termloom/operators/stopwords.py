@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions.tokens import letter_runs
 from termloom.operators.search import corpus_size
+from termloom.session import staged
 
 
 def drop_listed_terms(postings: DataFrame, terms: Sequence[str]) -> DataFrame:
@@ -45,7 +46,8 @@ def common_terms(documents: DataFrame, max_ratio: float) -> DataFrame:
     are counted, so that there is never a count of every term.
     """
     terms = documents.select(F.array_distinct(letter_runs(F.col("text"))).alias("terms"))
-    named = terms.mapInArrow(_often_in_a_part(max_ratio), "term string").distinct()
+    # Stored, so that its size is known, and no term of a text is shuffled to meet it.
+    named = staged(terms.mapInArrow(_often_in_a_part(max_ratio), "term string").distinct(), "named-terms")
     found = terms.select(F.explode("terms").alias("term")).join(named, "term", "left_semi")
     counts = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     total = corpus_size(documents).scalar()
@@ -54,5 +56,6 @@ def common_terms(documents: DataFrame, max_ratio: float) -> DataFrame:
 
 def drop_common_terms(postings: DataFrame, documents: DataFrame, max_ratio: float) -> DataFrame:
     """Postings whose term is in at most ``max_ratio`` of all documents."""
-    common = common_terms(documents, max_ratio).select("term")
+    # No more of them than (terms per document) / max_ratio: stored, so that no posting is shuffled.
+    common = staged(common_terms(documents, max_ratio).select("term"), "common-terms")
     return postings.join(common, "term", "left_anti")
