@@ -256,7 +256,7 @@ def result_page(
     if start >= deep:
         points = F.round(F.round("score", 9) * 1e9).cast("bigint")
         counted = staged(scores.withColumn("_points", points), "scores")
-        scores = rows_from_ranks(counted, ["query_id"], [("_points", True), ("doc_id", False)], start).drop("_points")
+        scores = rows_from_ranks(counted, ["query_id"], [("_points", True), ("doc_id", False)], start, amount).drop("_points")
         start = 0
     last = start + amount
     ranked = top_per_group(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from termloom.functions.codec import running_sums
 from termloom.operators import lists
 from termloom.operators.browse import get_documents, snippets, term_documents, text_snippets
-from termloom.operators.groups import rows_from_rank, top_per_group
+from termloom.operators.groups import rows_from_rank, rows_from_ranks, top_per_group
 from termloom.operators.lists import decode_lists, encode_lists, posting_lists
 from termloom.operators.postings import build_postings, prune_postings, scan_postings, term_stats
 from termloom.operators.search import and_scores, best_or_scores, block_maxima, or_scores, result_page, search, tf_idf_scores
@@ -343,3 +343,23 @@ def test_postings_within_the_cap_are_not_shuffled(spark):
         lists.setdefault(r.term, []).append((-r.tf, r.doc_id))
     want = {(t, d) for t, found in lists.items() for _, d in sorted(found)[:100]}
     assert {(r.term, r.doc_id) for r in kept.collect()} == want and kept.count() == len(want)
+
+
+@pytest.mark.parametrize("amount", [None, 3])
+def test_ranks_in_groups_of_any_values(spark, amount):
+    """Values over all 64 bits, equal ones, ties beyond a page, small groups and null keys."""
+    far = 2**63 - 1
+    points = {0: [5, 5, 5, 5, 5, 5], 1: [-far, far, 0, 7, 7, 1 << 40], 2: [1, 2], None: [1, 2, 3, 4]}
+    rows = [(g, p, i * 70000) for g, found in points.items() for i, p in enumerate(found)]
+    df = spark.createDataFrame(rows, "g int, p bigint, id bigint")
+    for chosen in (df, df.filter("g = 0"), df.filter("p between -1 and 10")):
+        got = [tuple(r) for r in rows_from_ranks(chosen, ["g"], [("p", True), ("id", False)], 2, amount).collect()]
+        left = [tuple(r) for r in chosen.collect()]
+        for g in (0, 1, 2):
+            want = sorted((r for r in left if r[0] == g), key=lambda r: (-r[1], r[2]))[2:]
+            have = sorted((r for r in got if r[0] == g), key=lambda r: (-r[1], r[2]))
+            assert have == want if amount is None else have[:amount] == want[:amount]
+        assert all(r[0] is not None for r in got)
+    if amount:
+        many = spark.range(3000).selectExpr("0 as g", "id as p", "id")
+        assert rows_from_ranks(many, ["g"], [("p", True), ("id", False)], 10, amount).count() < 100
