@@ -48,18 +48,22 @@ def page_timestamp(page: Column) -> Column:
     return first_group(page, TIMESTAMP_PATTERN)
 
 
-def contributor_block(page: Column) -> Column:
-    """Text between the contributor tags; null when either tag is missing."""
-    opened = F.locate(CONTRIBUTOR_OPEN, plain_case(page))
-    closed = F.locate(CONTRIBUTOR_CLOSE, plain_case(page))
+def contributor_block(page: Column, plain: Column | None = None) -> Column:
+    """Text between the contributor tags; null when either tag is missing.
+
+    Here and below, ``plain`` is ``plain_case(page)`` where a caller has it as a column.
+    """
+    plain = plain_case(page) if plain is None else plain
+    opened = F.locate(CONTRIBUTOR_OPEN, plain)
+    closed = F.locate(CONTRIBUTOR_CLOSE, plain)
     start = opened + F.lit(len(CONTRIBUTOR_OPEN))
     inner = F.substring(page, start, F.greatest(closed - start, F.lit(0)))
     return F.when((opened > 0) & (closed > 0), inner)
 
 
-def contributor(page: Column) -> Column:
+def contributor(page: Column, plain: Column | None = None) -> Column:
     """Lower-case ``struct(name, id)``; empty strings for an anonymous edit, null without a block."""
-    block = contributor_block(page)
+    block = contributor_block(page, plain)
     fields = F.struct(
         F.lower(first_group(block, USERNAME_PATTERN)).alias("name"),
         F.lower(first_group(block, ID_PATTERN)).alias("id"),
@@ -71,26 +75,26 @@ def _locate_from(needle: str, text: Column, position: Column) -> Column:
     return F.call_function("locate", F.lit(needle), text, position)
 
 
-def body_start(page: Column, tag: str = "text") -> Column:
+def body_start(page: Column, tag: str = "text", plain: Column | None = None) -> Column:
     """1-based index of the first character after the opening tag, null if absent.
 
     The opening tag may span lines: the start is the first ``>`` after ``<tag``.
     """
-    opened = F.locate(f"<{tag}", plain_case(page))
+    opened = F.locate(f"<{tag}", plain_case(page) if plain is None else plain)
     bracket = _locate_from(">", page, opened)
     return F.when((opened > 0) & (bracket > 0), bracket + F.lit(1))
 
 
-def body_length(page: Column, tag: str = "text") -> Column:
+def body_length(page: Column, tag: str = "text", plain: Column | None = None) -> Column:
     """Length in code points of the body, null when absent, empty or self-closing."""
-    closed = F.locate(f"</{tag}>", plain_case(page))
-    size = closed - body_start(page, tag)
+    closed = F.locate(f"</{tag}>", plain_case(page) if plain is None else plain)
+    size = closed - body_start(page, tag, plain)
     return F.when((closed > 0) & (size > 0), size)
 
 
-def body_by_index(page: Column, tag: str = "text") -> Column:
+def body_by_index(page: Column, tag: str = "text", plain: Column | None = None) -> Column:
     """Body between the first opening and the first closing tag; null if none."""
-    return F.substring(page, body_start(page, tag), body_length(page, tag))
+    return F.substring(page, body_start(page, tag, plain), body_length(page, tag, plain))
 
 
 def body_by_regex(page: Column, tag: str = "text") -> Column:

@@ -176,3 +176,11 @@ def test_many_patterns_are_no_part_of_the_plan(spark, tmp_path):
     counted = word_count(lines, True, text_files.read_skip_patterns(spark, str(tmp_path / "skip.txt")))
     assert "q77z" not in counted._jdf.queryExecution().toString()
     assert {r.word: r.n for r in counted.collect()} == {"ac": 1, "xy": 1, "q20000z": 1}
+
+
+def test_a_page_is_put_in_plain_case_once(spark):
+    """Not again for the filter and for each field."""
+    pages = spark.createDataFrame([("<page><ID>3</ID><Title>A</Title><TEXT x='y'>Some <b>T</b></TEXT></page>",), (None,), ("",)], "page string")
+    docs = build_documents(pages)
+    assert docs._jdf.queryExecution().optimizedPlan().toString().count("translate(") == 1
+    assert [(r.doc_id, r.title, r.contributor, r.text) for r in docs.collect()] == [(3, "a", None, "Some <b>T</b>")]
