@@ -8,43 +8,49 @@ from __future__ import annotations
 
 import numpy as np
 
+#: Patterns searched at a time: what a step makes of so many stays in the processor's cache.
+TOGETHER = 1 << 14
+#: Bits of a symbol that one level of the tree tells apart.
+DIGIT_BITS = 4
+_BELOW = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
 
-class Bits:
-    """A bit vector with counts of ones up to every 64th bit."""
 
-    def __init__(self, bits: np.ndarray) -> None:
-        padded = np.zeros((len(bits) // 64 + 1) * 64, np.uint8)
-        padded[: len(bits)] = bits
-        self.words = np.packbits(padded, bitorder="little").view("<u8")
-        self.before = np.zeros(len(self.words), np.int64)
-        np.cumsum(np.bitwise_count(self.words[:-1]), out=self.before[1:])
+class Digits:
+    """A sequence of digits: a bit vector for each value, with counts up to every 64th place."""
 
-    def ones(self, upto: np.ndarray) -> np.ndarray:
-        """Ones among the first ``upto`` bits."""
-        word = upto >> 6
-        mask = (np.uint64(1) << (upto & 63).astype(np.uint64)) - np.uint64(1)
-        return self.before[word] + np.bitwise_count(self.words[word] & mask)
+    def __init__(self, digits: np.ndarray) -> None:
+        self.stride = len(digits) // 64 + 1
+        padded = np.full(self.stride * 64, 1 << DIGIT_BITS, np.uint8)
+        padded[: len(digits)] = digits
+        vectors = [np.packbits(padded == d, bitorder="little").view("<u8") for d in range(1 << DIGIT_BITS)]
+        self.words = np.concatenate(vectors)
+        # Counts go on from one digit's vector to the next.
+        counts = np.bitwise_count(self.words).astype(np.int64)
+        self.before = np.cumsum(counts) - counts
+
+    def sorted_place(self, digit: np.ndarray, upto: np.ndarray) -> np.ndarray:
+        """Smaller digits in all, and equal ones among the first ``upto``."""
+        word = digit * self.stride + (upto >> 6)
+        return self.before[word] + np.bitwise_count(self.words[word] & _BELOW[upto & 63])
 
 
 class WaveletTree:
-    """A sequence as one bit vector per bit of its symbols: level by level, zeros go before ones."""
+    """A sequence by the digits of its symbols: level by level, it is sorted by one digit, the highest first."""
 
     def __init__(self, symbols: np.ndarray, largest: int) -> None:
-        self.depth = max(1, int(largest).bit_length())
-        self.levels: list[tuple[Bits, int]] = []
-        for shift in range(self.depth - 1, -1, -1):
-            bits = ((symbols >> shift) & 1).astype(bool)
-            self.levels.append((Bits(bits), int(len(bits) - bits.sum())))
-            symbols = np.concatenate([symbols[~bits], symbols[bits]])
+        depth = -(-max(1, int(largest).bit_length()) // DIGIT_BITS)
+        self.levels: list[tuple[int, Digits]] = []
+        for shift in range((depth - 1) * DIGIT_BITS, -1, -DIGIT_BITS):
+            digits = ((symbols >> shift) & ((1 << DIGIT_BITS) - 1)).astype(np.uint8)
+            self.levels.append((shift, Digits(digits)))
+            symbols = symbols[np.argsort(digits, kind="stable")]
 
     def rank(self, symbol: np.ndarray, *places: np.ndarray) -> list[np.ndarray]:
         """Where the symbols before each place stand at the end: differences of these are counts."""
         at = list(places)
-        for level, (bits, zeros) in enumerate(self.levels):
-            one = ((symbol >> (self.depth - 1 - level)) & 1).astype(bool)
-            for i, place in enumerate(at):
-                ones = bits.ones(place)
-                at[i] = np.where(one, zeros + ones, place - ones)
+        for shift, digits in self.levels:
+            digit = (symbol >> shift) & ((1 << DIGIT_BITS) - 1)
+            at = [digits.sorted_place(digit, place) for place in at]
         return at
 
 
@@ -71,6 +77,13 @@ class FMIndex:
         low = np.zeros(len(ends), np.int64)
         high = np.full(len(ends), len(self.text), np.int64)
         matched = np.zeros(len(ends), np.int64)
+        for first in range(0, len(ends), TOGETHER):
+            part = slice(first, first + TOGETHER)
+            self._search(ends[part], source, length, matched[part], low[part], high[part])
+        return matched, low, high
+
+    def _search(self, ends, source, length, matched, low, high) -> None:
+        """Search some patterns, and write what is found into the last three arrays."""
         alive = np.arange(len(ends))
         for step in range(1, length + 1):
             at = ends[alive] - step
@@ -80,26 +93,44 @@ class FMIndex:
             alive, symbol = alive[known], symbol[known]
             if not len(alive):
                 break
-            lower, upper = self.tree.rank(symbol, low[alive], high[alive])
+            if step == 1:  # all suffixes that begin with the symbol
+                lower, upper = self.starts[symbol], self.starts[symbol + 1]
+                shift = 0
+            else:
+                lower, upper = self.tree.rank(symbol, low[alive], high[alive])
+                shift = self.shift[symbol]
             found = upper > lower
-            alive, shift = alive[found], self.shift[symbol[found]]
-            low[alive], high[alive] = lower[found] + shift, upper[found] + shift
+            if not found.all():
+                alive, lower, upper = alive[found], lower[found], upper[found]
+                shift = shift[found] if step > 1 else 0
+            low[alive], high[alive] = lower + shift, upper + shift
             matched[alive] = step
-        return matched, low, high
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first ``depth`` symbols at least, by doubling."""
-    _, rank = np.unique(text, return_inverse=True)
-    rank = rank.astype(np.int64) + 1
+    """Suffixes in the order of their first ``depth`` symbols at least.
+
+    A sort puts as many ranks side by side as a 64-bit key holds, two or more, so that
+    each multiplies the symbols that count. Suffixes that agree in all of these may stand in any order.
+    """
+    n = len(text)
+    if int(text.max(initial=0)) <= n:
+        rank = text.astype(np.int64) + 1
+    else:
+        rank = np.unique(text, return_inverse=True)[1].astype(np.int64) + 1
+    together = max(2, 63 // (n + 2).bit_length())
     done = 1
     while True:
-        key = rank * (len(text) + 2)
-        key[:-done] += rank[done:]
-        order = np.argsort(key, kind="stable")
-        new = np.ones(len(text), np.int64)
-        new[1:] += np.cumsum(key[order][1:] != key[order][:-1])
+        key = rank.copy()
+        for i in range(1, together):
+            key *= n + 2
+            if i * done < n:
+                key[: n - i * done] += rank[i * done :]
+        order = np.argsort(key)
+        ordered = key[order]
+        new = np.ones(n, np.int64)
+        new[1:] += np.cumsum(ordered[1:] != ordered[:-1])
         rank[order] = new
-        done *= 2
-        if done >= depth or new[-1] == len(text):
+        done *= together
+        if done >= depth or not n or new[-1] == n:
             return order

@@ -25,12 +25,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.llm.batches import add_columns, byte_slices
 from termloom.llm.fm_index import FMIndex
-from termloom.llm.words import Words, find_words, gram_hashes, gram_starts, word_hashes
+from termloom.llm.words import Words, find_words, gram_hashes, gram_starts, text_bytes, word_hashes
 from termloom.session import staged
 
 LENGTH = 13
@@ -80,7 +81,12 @@ def _piece_hashes(whole: np.ndarray, first: np.ndarray, count: np.ndarray) -> np
 
 def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The order that sorts by the keys, and where equal rows begin in it."""
-    order = np.lexsort(keys[::-1])
+    order = np.argsort(keys[0])
+    # Few rows share their first key: only those are sorted by the others.
+    new = np.append(True, keys[0][order][1:] != keys[0][order][:-1])[: len(order)]
+    several = np.flatnonzero(~new | ~np.append(new[1:], True)[: len(order)])
+    rest = np.sort(order[several])
+    order[several] = rest[np.lexsort([key[rest] for key in keys[::-1]])]
     new = np.ones(len(order), bool)
     if len(order):
         new[1:] = False
@@ -153,28 +159,26 @@ def _text_key(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
 
+def _listed(lists: pa.Array, doc: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    """Which anchors are in the list of their text."""
+    values = lists.flatten().to_numpy(zero_copy_only=False)
+    if not len(values):
+        return np.zeros(len(anchors), bool)
+    owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    # An anchor by its number among all values, so that it has one number together with its text.
+    known = np.unique(values)
+    at = np.minimum(np.searchsorted(known, anchors), len(known) - 1)
+    listed = np.searchsorted(known, values) + owner * len(known)
+    return (known[at] == anchors) & np.isin(at + doc.astype(np.int64) * len(known), listed)
+
+
 def _located(part: pa.RecordBatch, length: int) -> tuple[Words, dict[str, np.ndarray]]:
     """The pieces that shared anchors make of each text: shard, second hash, text, first word, windows."""
     words = find_words(part.column("text"))
     inside, anchor, whole = _windows(words, length)
     first, count = _pieces(inside, anchor)
     anchors, doc = anchor[first], words.doc[first]
-    chosen, crowded = np.zeros(len(first), bool), np.zeros(len(first), bool)
-    for name, flags in (("anchors", chosen), ("crowded", crowded)):
-        lists = part.column(name)
-        values = lists.flatten().to_numpy(zero_copy_only=False)
-        owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-        # (text, anchor) pairs of both sides, as one sort
-        keys = np.concatenate([anchors, values]), np.concatenate([doc, owner]), np.repeat([1, 0], [len(first), len(values)])
-        order = np.lexsort((keys[2], keys[0], keys[1]))
-        new = np.ones(len(order), bool)
-        new[1:] = (keys[0][order][1:] != keys[0][order][:-1]) | (keys[1][order][1:] != keys[1][order][:-1])
-        run = np.cumsum(new) - 1
-        listed = np.zeros(int(new.sum()), bool)
-        listed[run[keys[2][order] == 0]] = True
-        hit = np.zeros(len(order), bool)
-        hit[order] = listed[run]
-        flags[:] = hit[: len(first)]
+    chosen, crowded = (_listed(part.column(name), doc, anchors) for name in ("anchors", "crowded"))
     single = np.repeat(first[crowded], count[crowded])
     steps = np.arange(len(single)) - np.repeat(np.cumsum(count[crowded]) - count[crowded], count[crowded])
     single = single + steps
@@ -184,10 +188,6 @@ def _located(part: pa.RecordBatch, length: int) -> tuple[Words, dict[str, np.nda
     return words, {"shard": shard, "second": _piece_hashes(whole, at, windows), "first": at, "windows": windows}
 
 
-def _piece_text(words: Words, first: int, last: int) -> bytes:
-    return words.data[words.start[first] : words.end[last]].tobytes()
-
-
 def _to_shards(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Distinct pieces of each slice, with the smallest and largest document that has them."""
 
@@ -205,7 +205,9 @@ def _to_shards(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                 lasts = np.append(starts[1:], len(order)) - 1 if len(starts) else starts
                 one = order[starts]
                 first, windows = found["first"][one], found["windows"][one]
-                texts = [_piece_text(words, f, f + n + length - 2) for f, n in zip(first.tolist(), windows.tolist(), strict=True)]
+                raw = words.data.tobytes()
+                starts_at, ends_at = words.start[first].tolist(), words.end[first + windows + length - 2].tolist()
+                texts = [raw[a:b] for a, b in zip(starts_at, ends_at, strict=True)]
                 arrays = [
                     pa.array(found["shard"][one]),
                     pa.array(found["second"][one]),
@@ -239,58 +241,85 @@ def _in_documents(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
     return run
 
 
-def index_pieces(pieces: list[bytes], docs: np.ndarray, length: int) -> list[np.ndarray]:
+def index_pieces(pieces: list[bytes] | pa.Array, docs: np.ndarray, length: int) -> list[np.ndarray]:
     """Of each window of each piece, the smallest document of the pieces in which it stands."""
-    words = find_words(pa.array(pieces, pa.binary()))
-    _, symbols = np.unique(word_hashes(words), return_inverse=True)
+    least, counts = _least_documents(pa.array(pieces, pa.binary()), docs, length)
+    return np.split(least, np.cumsum(counts)[:-1])
+
+
+def _least_documents(pieces: pa.Array, docs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """What :func:`index_pieces` tells, all pieces in one array, and the windows of each piece."""
+    words = find_words(pieces)
+    hashes = word_hashes(words)
+    _, symbols = np.unique(hashes, return_inverse=True)
     # A separator follows every piece.
     text = np.zeros(len(symbols) + len(pieces), np.int64)
     at = np.arange(len(symbols)) + words.doc
     text[at] = symbols + 1
     index = FMIndex(text, length)
-    windows = gram_starts(words, length)
-    ends = at[: len(windows)][windows] + length
-    matched, low, high = index.search(ends, text, length)
+    windows = np.flatnonzero(gram_starts(words, length))
+    # A window that stands in several pieces is searched once.
+    _, one, same = np.unique(gram_hashes(hashes, length)[windows], return_index=True, return_inverse=True)
+    matched, low, high = index.search(at[windows[one]] + length, text, length)
     assert (matched == length).all()  # every window is in the index
     owner = np.repeat(np.arange(len(pieces)), words.counts + 1)
     of_suffix = np.append(docs[owner][index.suffixes], np.iinfo(np.int64).max)
-    bounds, inverse = np.unique(low, return_inverse=True)
-    until = np.zeros(len(bounds), np.int64)
-    until[inverse] = high
-    least = np.minimum.reduceat(of_suffix, np.column_stack([bounds, until]).ravel())[::2] if len(bounds) else bounds
-    per_piece = np.bincount(words.doc[: len(windows)][windows], minlength=len(pieces))
-    return np.split(least[inverse], np.cumsum(per_piece)[:-1])
+    order = np.argsort(low)
+    bounds = np.column_stack([low[order], high[order]]).ravel()
+    least = np.empty(len(one), np.int64)
+    least[order] = np.minimum.reduceat(of_suffix, bounds)[::2] if len(bounds) else bounds
+    return least[same], np.bincount(words.doc[windows], minlength=len(pieces))
 
 
 def _search_shards(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Index and search the pieces of a partition that is sorted by shard and piece."""
 
-    def flush(rows: list[list]) -> pa.RecordBatch:
-        low = np.array([row[2] for row in rows], np.int64)
-        least = index_pieces([row[4] for row in rows], low, length)
-        told = [(row[0], row[1], m.astype("<i8").tobytes()) for row, m in zip(rows, least, strict=True) if (m < row[3]).any()]
-        columns = list(zip(*told, strict=True)) or [(), (), ()]
-        kinds = (pa.int64(), pa.int64(), pa.binary())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["shard", "second", "least"]
-        )
+    def merged(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        """The rows, those of a piece that several slices sent as one."""
+        columns = [pa.concat_arrays(arrays) for arrays in zip(*(part.columns for part in parts), strict=True)]
+        shard, second, low, high = (column.to_numpy() for column in columns[:4])
+        starts = np.flatnonzero(np.append(True, (shard[1:] != shard[:-1]) | (second[1:] != second[:-1])))
+        ends = pa.array(np.minimum.reduceat(low, starts)), pa.array(np.maximum.reduceat(high, starts))
+        arrays = [pa.array(shard[starts]), pa.array(second[starts]), *ends, columns[4].take(pa.array(starts))]
+        return pa.RecordBatch.from_arrays(arrays, names=["shard", "second", "low", "high", "piece"])
+
+    def flush(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        pieces = merged(parts)
+        shard, second, low, high = (column.to_numpy() for column in pieces.columns[:4])
+        least, counts = _least_documents(pieces.column("piece"), low, length)
+        ends = np.append(0, np.cumsum(counts))
+        told = np.add.reduceat(least < np.repeat(high, counts), ends[:-1]) > 0
+        kept = pa.py_buffer(least[np.repeat(told, counts)].astype("<i8"))
+        offsets = pa.py_buffer(np.append(0, np.cumsum(8 * counts[told])).astype(np.int32))
+        arrays = [
+            pa.array(shard[told]),
+            pa.array(second[told]),
+            pa.Array.from_buffers(pa.binary(), int(told.sum()), [None, offsets, kept]),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, names=["shard", "second", "least"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[list] = []
-        held, before = 0, None
+        held: list[pa.RecordBatch] = []
+        size, before = 0, None
         for batch in batches:
-            for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                if rows and rows[-1][:2] == list(row[:2]):
-                    rows[-1][2], rows[-1][3] = min(rows[-1][2], row[2]), max(rows[-1][3], row[3])
-                    continue
-                if row[0] != before and held >= INDEX_SYMBOLS:
-                    yield flush(rows)
-                    rows, held = [], 0
-                rows.append(list(row))
-                held += row[4].count(b" ") + 1
-                before = row[0]
-        if rows:
-            yield flush(rows)
+            if not batch.num_rows:
+                continue
+            batch = merged([batch])
+            shard = batch.column("shard").to_numpy()
+            words = np.cumsum(pc.count_substring(batch.column("piece"), " ").to_numpy() + 1, dtype=np.int64)
+            # Where another anchor begins, and the words that stand before it here.
+            new = np.flatnonzero(np.append(shard[0] != before, shard[1:] != shard[:-1]))
+            upto = np.append(0, words)[new]
+            at = told = 0
+            while (cut := int(np.searchsorted(upto, INDEX_SYMBOLS - size + told))) < len(new):
+                if new[cut] > at:
+                    held.append(batch.slice(at, new[cut] - at))
+                yield flush(held)
+                held, size, at, told = [], 0, int(new[cut]), int(upto[cut])
+            held.append(batch.slice(at))
+            size, before = size + int(words[-1]) - told, shard[-1]
+        if held:
+            yield flush(held)
 
     return run
 
@@ -320,18 +349,45 @@ def _texts(docs: DataFrame, doc_id: str, column: str) -> DataFrame:
     return texts.filter("doc_id IS NOT NULL AND text IS NOT NULL")
 
 
-def repeated_mask(n_words: int, doc_id: int, text_key: int, repeats: list[dict], length: int) -> np.ndarray:
-    """Which words of a text are covered by windows that a smaller document has."""
-    edge = np.zeros(n_words + 1, np.int64)
-    for piece in repeats:
-        if piece["text_key"] == text_key:
-            least = np.frombuffer(piece["least"], "<i8")
-            at = piece["first"] + np.flatnonzero(least < doc_id)
-            np.add.at(edge, at, 1)
-            np.add.at(edge, at + length, -1)
+def _repeated(part: pa.RecordBatch, words: Words, length: int) -> np.ndarray:
+    """Which words of each text are covered by windows that a smaller document has."""
+    lists = part.column("repeats")
+    owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).fill_null(0).to_numpy())
+    if not len(owner):
+        return np.zeros(len(words.start), bool)
+    repeats = pa.table(lists.flatten().flatten(), names=["text_key", "first", "least"])
+    keys = np.zeros(len(lists), np.int64)
+    some = np.unique(owner)
+    keys[some] = [_text_key(text) for text in part.column("text").take(pa.array(some)).to_pylist()]
+    of_text = repeats["text_key"].to_numpy() == keys[owner]
+    repeats, owner = repeats.filter(pa.array(of_text)).combine_chunks(), owner[of_text]
+    raw, ends = text_bytes(repeats["least"].combine_chunks())
+    least, ends = raw.view("<i8"), ends // 8
+    sizes = np.diff(ends)
+    # By the texts' words one after another, where each window begins.
+    shift = words.first[owner] + repeats["first"].to_numpy() - ends[:-1]
+    at = np.arange(len(least)) + np.repeat(shift, sizes)
+    at = at[least < np.repeat(part.column("doc_id").to_numpy()[owner], sizes)]
+    total = len(words.start) + 1
+    edge = np.bincount(at, minlength=total) - np.bincount(at + length, minlength=total)
     return np.cumsum(edge[:-1]) > 0
 
 
+def _kept_texts(words: Words, gone: np.ndarray) -> pa.Array:
+    """The words that stay of each text, with one space between them."""
+    bytes_kept = np.zeros(len(words.data), bool)
+    bytes_kept[words.solid] = np.repeat(~gone, words.end - words.start)
+    stays = np.flatnonzero(~gone)
+    # A word that another one of its text follows has white space behind it.
+    behind = words.end[stays[:-1][words.doc[stays[1:]] == words.doc[stays[:-1]]]]
+    bytes_kept[behind] = True
+    data = words.data.copy()
+    data[behind] = 0x20
+    ends = np.append(0, np.cumsum(bytes_kept))[words.texts]
+    buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data[bytes_kept])]
+    return pa.Array.from_buffers(pa.string(), len(ends) - 1, buffers)
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", column: str = "text") -> DataFrame:
     """``(doc_id, n_words, n_removed, intervals, kept_text)``, a row per row of ``docs``.
 
@@ -344,24 +400,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
     """
 
     def make(part: pa.RecordBatch) -> dict[str, pa.Array]:
-        counts, removed, intervals, kept = [], [], [], []
-        rows = zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "repeats")), strict=True)
-        for number, text, repeats in rows:
-            words = (text or "").encode().split()
-            gone = np.zeros(len(words), bool)
-            if repeats:
-                gone = repeated_mask(len(words), number, _text_key(text), repeats, length)
-            turns = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-            counts.append(len(words))
-            removed.append(int(gone.sum()))
-            intervals.append([{"start": int(a), "end": int(b)} for a, b in turns.reshape(-1, 2)])
-            kept.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if repeats else words).decode())
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        words = find_words(part.column("text"))
+        gone = _repeated(part, words, length)
+        same = words.doc[1:] == words.doc[:-1]
+        starts = np.flatnonzero(gone & ~np.append(False, gone[:-1] & same)[: len(gone)])
+        ends = np.flatnonzero(gone & ~np.append(gone[1:] & same, False)[: len(gone)]) + 1
+        before = words.first[words.doc[starts]]
+        intervals = pa.StructArray.from_arrays([pa.array(starts - before), pa.array(ends - before)], names=["start", "end"])
+        offsets = pa.array(np.searchsorted(starts, words.first).astype(np.int32))
+        removed = np.append(0, np.cumsum(gone))[words.first]
         return {
-            "n_words": pa.array(counts, pa.int64()),
-            "n_removed": pa.array(removed, pa.int64()),
-            "intervals": pa.array(intervals, kind),
-            "kept_text": pa.array(kept, pa.string()),
+            "n_words": pa.array(words.counts),
+            "n_removed": pa.array(np.diff(removed)),
+            "intervals": pa.ListArray.from_arrays(offsets, intervals),
+            "kept_text": _kept_texts(words, gone),
         }
 
     ddl = "n_words bigint, n_removed bigint, intervals array<struct<start: bigint, end: bigint>>, kept_text string"

@@ -34,6 +34,13 @@ def _powers(n: int, base: np.uint64) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+_BLOCK = 1 << 12
+_INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
+_ODD_POWERS, _INVERSE_POWERS = _powers(_BLOCK, _ODD), _powers(_BLOCK, _INVERSE)
+# From block to block.
+_ODD_BLOCK, _INVERSE_BLOCK = (np.uint64(pow(int(x), _BLOCK, 1 << 64)) for x in (_ODD, _INVERSE))
+
+
 @dataclass
 class Words:
     """``data``: bytes of all texts; word i is ``data[start[i]:end[i]]`` of text ``doc[i]``.
@@ -91,14 +98,22 @@ def find_words(column: pa.Array, lower: bool = False) -> Words:
 
 def word_hashes(words: Words) -> np.ndarray:
     """A 64-bit value of each word's bytes."""
-    lengths = words.end - words.start
-    if not len(lengths):
+    if not len(words.start):
         return np.zeros(0, np.uint64)
-    begins = np.cumsum(lengths) - lengths
-    place = np.arange(int(lengths.sum()), dtype=np.int32) - np.repeat(begins.astype(np.int32), lengths)
-    values = words.data[words.solid].astype(np.uint64) + np.uint64(1)
-    values *= _powers(int(lengths.max()), _ODD)[place]
-    return mix(np.add.reduceat(values, begins) + lengths.astype(np.uint64) * _STEP)
+    # Of all bytes, each times a power by its place: sums up to a place tell the sum along a
+    # word, and the inverse power (odd numbers have one) makes it as if the word came first.
+    blocks = -(-len(words.data) // _BLOCK)
+    total = np.zeros(1 + blocks * _BLOCK, np.uint64)
+    values = total[1:]
+    values[: len(words.data)] = words.data
+    values += np.uint64(1)
+    values = values.reshape(blocks, _BLOCK)
+    values *= _ODD_POWERS
+    values *= _powers(blocks, _ODD_BLOCK)[:, None]
+    np.cumsum(total, out=total)
+    back = _INVERSE_POWERS[words.start % _BLOCK] * _powers(blocks, _INVERSE_BLOCK)[words.start // _BLOCK]
+    lengths = (words.end - words.start).astype(np.uint64)
+    return mix((total[words.end] - total[words.start]) * back + lengths * _STEP)
 
 
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:

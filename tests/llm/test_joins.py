@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from termloom.llm import fingerprints, ngram_jaccard, queries, substring_dedup
 from termloom.llm.components import components
-from termloom.llm.fm_index import FMIndex
+from termloom.llm.fm_index import FMIndex, WaveletTree
+from termloom.llm.words import find_words, mix, word_hashes
 
 SMALL = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -177,6 +178,43 @@ def test_intervals_and_texts(table):
     assert [tuple(i) for i in rows[2]["intervals"]] == [(1, 21)] and rows[2]["kept_text"] == "new end"
 
 
+def test_equal_windows_are_searched_once_and_told_to_every_piece(monkeypatch):
+    searched, search = [], FMIndex.search
+
+    def counted(self, ends, source, length):
+        searched.append(len(ends))
+        return search(self, ends, source, length)
+
+    monkeypatch.setattr(FMIndex, "search", counted)
+    pieces = [" ".join([f"c{i}", *(f"w{k}" for k in range(30))]).encode() for i in range(50)]
+    least = substring_dedup.index_pieces(pieces, np.arange(100, 50, -1), 13)
+    assert [m.tolist() for m in least] == [[100 - i] + [51] * 18 for i in range(50)]
+    assert searched == [50 + 18]
+
+
+@pytest.mark.parametrize("largest", [1, 15, 16, 3000])
+def test_tree_has_a_level_for_four_bits_and_counts(largest):
+    r = np.random.default_rng(largest)
+    symbols = np.append(r.integers(0, largest + 1, 700), largest)
+    tree = WaveletTree(symbols, largest)
+    assert len(tree.levels) == -(-largest.bit_length() // 4)
+    wanted, low, high = symbols[r.integers(0, 701, 300)], r.integers(0, 350, 300), r.integers(350, 702, 300)
+    lower, upper = tree.rank(wanted, low, high)
+    plain = [(symbols[a:b] == s).sum() for s, a, b in zip(wanted, low, high, strict=True)]
+    assert (upper - lower).tolist() == plain
+
+
+def test_word_hashes_are_sums_of_powers():
+    step, odd, every = 0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15, (1 << 64) - 1
+    texts = ["ab " * 1500 + "x" * 9000 + " é", None, "", "b", "x" * 9000, " ab\tab"]
+    words = find_words(pa.array(texts))
+    plain = []
+    for word in (w for t in texts for w in (t or "").encode().split()):
+        value = sum((b + 1) * pow(odd, i, 1 << 64) for i, b in enumerate(word)) + len(word) * step
+        plain.append(value & every)
+    assert word_hashes(words).tolist() == mix(np.array(plain, np.uint64)).tolist()
+
+
 def test_index_counts_and_lengths():
     r = np.random.default_rng(0)
     text = r.integers(1, 5, 1500)
