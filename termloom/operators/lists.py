@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.functions.codec import join_positions, list_text, position_deltas
+from termloom.functions.codec import join_positions, position_deltas
 from termloom.session import staged
 
 ORDERS = ("id", "tf", "tf_id")
@@ -47,6 +47,72 @@ def _segments(rows: DataFrame, lead: list[str], segment_rows: int) -> DataFrame:
     return joined.withColumn("segment", segment).drop("part", "at", "first", "base", "block")
 
 
+def _lines(delta: str | None, positions: bool):
+    """Lines of the postings of a partition, which is sorted by line and in list order within.
+
+    Without a ``segment``, a term is one line, and its own count. Ids are written as differences along
+    a line (``delta`` is ``"list"``), along its postings of equal frequency (``"run"``) or as they are.
+    """
+
+    def same_as_before(column: pa.Array) -> np.ndarray:
+        """Of all rows but the first; nulls are equal."""
+        codes = column.dictionary_encode(null_encoding="encode").indices.to_numpy()
+        return codes[1:] == codes[:-1]
+
+    def begins(rows: pa.RecordBatch, names: list[str]) -> np.ndarray:
+        same = [same_as_before(rows.column(c)) for c in names]
+        return np.flatnonzero(np.append(True, ~np.logical_and.reduce(same)))
+
+    def texts(rows: pa.RecordBatch, names: list[str]) -> pa.RecordBatch:
+        starts = begins(rows, names)
+        counts = np.diff(np.append(starts, rows.num_rows))
+        ids, neg_tf = rows.column("doc_id"), rows.column("neg_tf")
+        if delta is not None:
+            related = np.ones(rows.num_rows, bool)
+            related[starts] = False
+            if delta == "run":
+                related[1:] &= same_as_before(neg_tf) & neg_tf.is_valid().to_numpy(zero_copy_only=False)[1:]
+            earlier = np.where(related, np.arange(rows.num_rows) - 1, 0)
+            # What follows an unknown id has no difference.
+            ids = pc.subtract(ids, pc.if_else(pa.array(related), ids.take(pa.array(earlier)), 0))
+        fields = [ids.cast(pa.string()), pc.negate(neg_tf).cast(pa.string()), *([rows.column("coded")] if positions else [])]
+        postings = pc.binary_join_element_wise(*fields, "-", null_handling="skip")
+        ends = pa.array(np.append(starts, rows.num_rows).astype(np.int32))
+        first = pa.array(starts)
+        segment = rows.column("segment").take(first) if "segment" in names else pa.array(np.zeros(len(starts), np.int64))
+        df = rows.column("df").take(first) if "segment" in names else pa.array(counts)
+        body = pc.binary_join(pa.ListArray.from_arrays(ends, postings), ";")
+        text = pc.binary_join_element_wise(df.cast(pa.string()), body, "", ";")
+        arrays = [rows.column("term").take(first), segment, df, text]
+        return pa.RecordBatch.from_arrays(arrays, names=["term", "segment", "df", "posting_list"])
+
+    def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        arrays = [pa.concat_arrays(columns) for columns in zip(*(part.columns for part in parts), strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=parts[0].schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The beginning of a line that may go on: a line has a bounded number of postings.
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = [c for c in ("term", "segment") if c in batch.schema.names]
+            # Lines begin in the batch as they do after the last row before it.
+            seen = joined([held[-1].slice(held[-1].num_rows - 1), batch]) if held else batch
+            cut = int(begins(seen, names)[-1]) - (seen.num_rows - batch.num_rows)
+            if cut < 0:  # all of it goes on with the line before
+                held.append(batch)
+                continue
+            done = [*held, *([batch.slice(0, cut)] if cut else [])]
+            if done:
+                yield texts(joined(done), names)
+            held = [batch.slice(cut)]
+        if held:
+            yield texts(joined(held), names)
+
+    return run
+
+
 def posting_lists(
     postings: DataFrame,
     order: str = "id",
@@ -87,22 +153,18 @@ def posting_lists(
     sort_key = ["neg_tf", "doc_id"] if by_tf else ["doc_id", "neg_tf"]
     scheme = None if not delta else ("run" if by_tf else "list")
 
-    def lines(of: DataFrame, df: Column) -> DataFrame:
-        entries = F.sort_array(F.collect_list(F.struct(*sort_key, "coded")))
-        grouped = of.groupBy("term", "segment").agg(entries.alias("entries"), df.alias("df"))
-        text = list_text(F.col("entries"), F.col("df"), scheme, positions)
-        return grouped.select("term", "segment", "df", text.alias("posting_list"))
-
-    def single(of: DataFrame) -> DataFrame:
-        # A list of one line is its own count.
-        return lines(of.withColumn("segment", F.lit(0).cast("bigint")), F.count(F.lit(1)))
+    def lines(of: DataFrame) -> DataFrame:
+        # Sorted rows, put together by batches: no array of a line's postings is shuffled or sorted.
+        line = [c for c in ("term", "segment") if c in of.columns]
+        placed = of.repartition(*line).sortWithinPartitions(*line, *sort_key, "coded")
+        return placed.mapInArrow(_lines(scheme, positions), "term string, segment bigint, df bigint, posting_list string")
 
     if several.isEmpty():
-        return single(rows)
+        return lines(rows)
     lead = ["term", "neg_tf"] if by_tf else ["term"]
     long = rows.join(several, "term", "left_semi").withColumn("block", F.shiftright("doc_id", block_bits))
     placed = _segments(long, lead, segment_rows)
-    return single(rows.join(several, "term", "left_anti")).unionByName(lines(placed, F.first("df")))
+    return lines(rows.join(several, "term", "left_anti")).unionByName(lines(placed))
 
 
 def encode_lists(postings: DataFrame, order: str = "id", **options) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions.codec import running_sums
 from termloom.operators import lists
+from termloom.operators import postings as postings_module
 from termloom.operators.browse import get_documents, snippets, term_documents, text_snippets
 from termloom.operators.groups import rows_from_rank, rows_from_ranks, top_per_group
 from termloom.operators.lists import decode_lists, encode_lists, posting_lists
@@ -363,3 +364,47 @@ def test_ranks_in_groups_of_any_values(spark, amount):
     if amount:
         many = spark.range(3000).selectExpr("0 as g", "id as p", "id")
         assert rows_from_ranks(many, ["g"], [("p", True), ("id", False)], 10, amount).count() < 100
+
+
+@pytest.mark.parametrize("size", [1, 90, 1 << 20])
+def test_placed_terms_of_slices(monkeypatch, size):
+    monkeypatch.setattr(postings_module, "PLACED_BYTES", size)
+    texts = ["ab cd ab", None, "", "cd", "\U0001f600 é ab-cd", "", "zz" * 60 + " ab", "é", "ab", None]
+    ids = [5, 6, None, 8, 9, 10, 11, 12, 5, 14]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string())})
+    want = []
+    for number, text in zip(ids, texts, strict=True):
+        places = {}
+        for m in re.finditer("[a-z]+", text or ""):
+            places.setdefault(m.group(), []).append(m.start())
+        want += [(number, term, at) for term, at in places.items()]
+    got = [tuple(r.values()) for b in postings_module._find_placed(iter([batch.slice(0, 4), batch.slice(4)])) for r in b.to_pylist()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("delta", [None, "list", "run"])
+@pytest.mark.parametrize("size", [1, 3, 100])
+def test_lines_over_batches(delta, size):
+    r = random.Random(size)
+    rows, want = [], []
+    for term, segment, n in [("a", 0, 7), ("a", 2, 1), ("b", 2, 1), ("c", 0, 6), (None, 0, 2)]:
+        key = (lambda p: p) if delta != "run" else (lambda p: (p[1], p[0]))
+        found = sorted(((r.randrange(50), -r.randrange(1, 3), f"{i}") for i in range(n)), key=key)
+        rows += [(term, segment, *p, 90 + n) for p in found]
+        told = []
+        for i, (number, neg_tf, coded) in enumerate(found):
+            related = i > 0 and (delta == "list" or delta == "run" and found[i - 1][1] == neg_tf)
+            told.append(f"{number - found[i - 1][0] if related else number}-{-neg_tf}-{coded}")
+        want.append((term, segment, 90 + n, f"{90 + n};{';'.join(told)};"))
+    names = ["term", "segment", "doc_id", "neg_tf", "coded", "df"]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+    whole = pa.RecordBatch.from_arrays(columns, names=names)
+    parts = [whole.slice(at, size) for at in range(0, len(rows), size)]
+    got = [tuple(line.values()) for b in lists._lines(delta, True)(iter(parts)) for line in b.to_pylist()]
+    assert got == want
+
+
+def test_lines_need_no_array_of_postings(spark, hot):
+    plan = encode_lists(hot)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
