@@ -46,6 +46,8 @@ BITS = 512
 #: A combination with more members is compared in blocks of about so many.
 BLOCK = 2048
 GATHER_BYTES = 4 << 20
+#: Tokens of all sets for each task that writes, at least; smaller partitions share a file.
+TASK_TOKENS = 250_000
 #: Places over which the rows of equal sets are spread.
 PARTS = 16
 
@@ -403,7 +405,9 @@ def join_similar(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(column).alias("text"))
     described = texts.mapInArrow(_describe(rule), "doc_id bigint, n bigint, key_a bigint, key_b bigint, bits binary")
     described = staged(described, "sets")
-    members = staged(_equal_sets(described.filter("n > 0 AND doc_id IS NOT NULL")), "members")
+    size, grams = described.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    tasks = max(1, -(-grams // TASK_TOKENS))
+    members = staged(_equal_sets(described.filter("n > 0 AND doc_id IS NOT NULL")), "members", size)
     nodes = members.filter("doc_id = node").select("node", "n", "bits").dropDuplicates(["node", "n"])
     members = members.select("doc_id", "n", "node")
 
@@ -411,13 +415,13 @@ def join_similar(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
     # Slices may fall differently whenever the texts are read, so one reading makes both kinds of rows.
     found = staging.keep("tokens", usable.mapInArrow(_tokens(rule), "token bigint, doc_id bigint, count int"))
     tokens = found.filter("count > 0").repartition("token").sortWithinPartitions("token")
-    classed = staging.keep("classed", tokens.mapInArrow(_classes, "a bigint, b bigint, token bigint"))
+    classed = staging.keep("classed", tokens.mapInArrow(_classes, "a bigint, b bigint, token bigint").coalesce(tasks))
     crowded = found.filter("count = 0").select("doc_id", "token")
     frequent = classed.filter("b IS NULL").select(F.col("a").alias("doc_id"), "token").unionByName(crowded)
     # Sets that several slices hold have one node.
     node_of = members.select("doc_id", "node").distinct()
     frequent = frequent.join(node_of, "doc_id").select(F.col("node").alias("doc_id"), "token").distinct()
-    combinations = staging.keep("combinations", _combinations(frequent, members, rule))
+    combinations = staging.keep("combinations", _combinations(frequent, members, rule).coalesce(tasks))
     staging.drop("tokens")
     pairs = classed.filter("b IS NOT NULL").select("a", "b").distinct()
     for end in ("a", "b"):
@@ -426,23 +430,23 @@ def join_similar(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
     pairs = pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).filter("a < b")
     rows = _apart(combinations, docs.sparkSession.createDataFrame([], "node bigint, component bigint"))
     pairs = pairs.unionByName(_stars(rows)).distinct()
-    pairs = staging.keep("pairs", possible_pairs(pairs, nodes, rule))
+    pairs = staging.keep("pairs", possible_pairs(pairs, nodes, rule), size)
     staging.drop("classed")
 
     # From here on only texts of nodes with a candidate matter.
     wanted = [pairs.select("a"), pairs.select("b"), rows.select("node")]
     wanted = reduce(DataFrame.union, wanted).distinct().toDF("doc_id")
-    chosen = staging.keep("candidates", usable.join(wanted, "doc_id"))
-    links = [staged(similar_pairs(pairs, chosen, rule), "similar")]
+    chosen = staging.keep("candidates", usable.join(wanted, "doc_id").coalesce(tasks))
+    links = [staged(similar_pairs(pairs, chosen, rule), "similar", size)]
     staging.drop("pairs")
     same = named_links(members)
-    labels = components(links[0].union(same))
+    labels = components(links[0].union(same), size)
     apart = _apart(combinations, labels)
-    pairs = staging.keep("blocks", _in_blocks(apart, nodes, rule))
+    pairs = staging.keep("blocks", _in_blocks(apart, nodes, rule), size)
     staging.drop("combinations")
-    links.append(staged(similar_pairs(pairs, chosen, rule), "similar"))
+    links.append(staged(similar_pairs(pairs, chosen, rule), "similar", size))
     staging.drop("blocks", "candidates")
-    labels = components(reduce(DataFrame.union, links).union(same))
+    labels = components(reduce(DataFrame.union, links).union(same), size)
     found = labels.withColumnRenamed("node", "__node")
     return described.join(found, F.col("doc_id") == F.col("__node"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from termloom import session
 from termloom.llm import fingerprints, ngram_jaccard, queries, substring_dedup
 from termloom.llm.components import components
 from termloom.llm.fm_index import FMIndex, WaveletTree
@@ -131,6 +132,33 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_files_of_a_join_follow_from_its_rows(spark, table, monkeypatch):
+    rows = copies_with_edits(6, 24)
+    paths = {}
+
+    def noted(of, name, make=session.scratch_path):
+        path = make(of, name)
+        paths.setdefault(name, []).append(path)
+        return path
+
+    monkeypatch.setattr(session, "scratch_path", noted)
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        monkeypatch.setattr(session.Staging, "drop", lambda self, *names: None)
+        got = {r[0]: tuple(r)[1:] for r in ngram_jaccard.join_similar(table(rows), 4, 85).collect()}
+        made = set(paths) - {"sets", "tokens"}  # those have a file of each task that reads texts
+        files = {name: [len(spark.read.parquet(path).inputFiles()) for path in paths[name]] for name in made}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == plain_components(rows, 4, 85)
+    assert set(files) == {"members", "classed", "combinations", "pairs", "candidates", "similar", "links", "labels", "blocks"}
+    assert {n for counts in files.values() for n in counts} == {1}
+
+
 # --- substring dedup ---------------------------------------------------------------
 
 
